@@ -8,103 +8,106 @@ statistic at every level.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def hundredths(c: Column) -> Column:
+def hundredths(c: str) -> str:
     """A two-decimal number as a whole number of hundredths."""
-    return F.rint(c.cast("double") * 100).cast("bigint")
+    return f"CAST(rint(CAST({c} AS DOUBLE) * 100) AS BIGINT)"
 
 
-def from_hundredths(c: Column) -> Column:
-    """Whole hundredths as ``decimal(18,2)``."""
-    return (c.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
+def from_hundredths(c: str) -> str:
+    """Whole hundredths as ``DECIMAL(18,2)``."""
+    return f"CAST(CAST({c} AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(18,2))"
 
 
-def rounded_mean(total: Column, n: Column) -> Column:
+def rounded_mean(total: str, n: str) -> str:
     """``total / n`` rounded half away from zero, in whole-number arithmetic.
 
     Null when ``n`` is zero. With ``total`` in hundredths this is the mean
     rounded to two decimals, without the second rounding that an average over
     decimals of limited scale would add.
     """
-    halves = F.call_function("div", F.abs(total) * 2 + n, n * 2)
-    return F.when(n > 0, F.when(total < 0, -halves).otherwise(halves))
+    size = f"(abs({total}) * 2 + {n}) div ({n} * 2)"
+    return f"CASE WHEN {n} > 0 THEN CASE WHEN {total} < 0 THEN -({size}) ELSE {size} END END"
 
 
-def sample_deviation(n: Column, total: Column, squares: Column, digits: int = 2) -> Column:
+def sample_deviation(n: str, total: str, squares: str, digits: int = 2) -> str:
     """Sample deviation of hundredths, in original units; null below two rows."""
-    s = total.cast("double")
-    spread = F.greatest(n * squares - s * s, F.lit(0.0))
-    deviation = F.sqrt(spread / (n.cast("double") * (n - 1))) / 100
-    return F.when(n > 1, F.round(deviation.cast("decimal(28,10)"), digits).cast(f"decimal(18,{digits})"))
+    spread = f"greatest({n} * {squares} - CAST({total} AS DOUBLE) * {total}, 0D)"
+    deviation = f"sqrt({spread} / (CAST({n} AS DOUBLE) * ({n} - 1))) / 100"
+    rounded = f"round(CAST({deviation} AS DECIMAL(28,10)), {digits})"
+    return f"CASE WHEN {n} > 1 THEN CAST({rounded} AS DECIMAL(18,{digits})) END"
+
 
+# --- sums that describe the pairs of two columns ------------------------------
 
-# One pair (x, y) of columns is summarised by these, with their merge functions.
+# Each part with the aggregate that merges it.
 _PAIR_PARTS = {
-    "n": F.sum, "x": F.sum, "y": F.sum, "xx": F.sum, "yy": F.sum, "xy": F.sum,
-    "xmin": F.min, "xmax": F.max, "ymin": F.min, "ymax": F.max,
+    "n": "sum", "x": "sum", "y": "sum", "xx": "sum", "yy": "sum", "xy": "sum",
+    "xmin": "min", "xmax": "max", "ymin": "min", "ymax": "max",
 }
 
 
-def pair_sums(name: str, x: Column, y: Column) -> list[Column]:
-    """Aggregates that describe the pairs where both sides are present.
+def pair_sums(x: str, y: str) -> list[str]:
+    """Aggregates over the rows where both whole-number columns are present.
 
-    ``x`` must already be null wherever ``y`` is.
+    ``y`` must not be null where ``x`` is not. Squares and products are summed
+    as doubles, which stay exact up to 2^53 and never overflow.
     """
-    yy = F.when(x.isNotNull(), y)
-    xd, yd = x.cast("double"), yy.cast("double")
+    y_if = f"CASE WHEN {x} IS NOT NULL THEN {y} END"
+    xd, yd = f"CAST({x} AS DOUBLE)", f"CAST({y_if} AS DOUBLE)"
     parts = {
-        "n": F.count(x), "x": F.sum(x), "y": F.sum(yy),
-        "xx": F.sum(xd * xd), "yy": F.sum(yd * yd), "xy": F.sum(xd * yd),
-        "xmin": F.min(x), "xmax": F.max(x), "ymin": F.min(yy), "ymax": F.max(yy),
+        "n": f"count({x})", "x": f"sum({x})", "y": f"sum({y_if})",
+        "xx": f"sum({xd} * {xd})", "yy": f"sum({yd} * {yd})", "xy": f"sum({xd} * {yd})",
+        "xmin": f"min({x})", "xmax": f"max({x})", "ymin": f"min({y_if})", "ymax": f"max({y_if})",
     }
-    return [c.alias(f"{name}_{p}") for p, c in parts.items()]
+    return [f"{text} AS {x}_{part}" for part, text in parts.items()]
 
 
-def merged_pair_sums(name: str) -> list[Column]:
-    """Aggregates that add up ``pair_sums`` of finer groups."""
-    return [merge(f"{name}_{p}").alias(f"{name}_{p}") for p, merge in _PAIR_PARTS.items()]
+def merged_pair_sums(x: str) -> list[str]:
+    """Aggregates that add up the ``pair_sums`` of finer groups."""
+    return [f"{merge}({x}_{part}) AS {x}_{part}" for part, merge in _PAIR_PARTS.items()]
 
 
-def pair_correlation(name: str) -> Column:
+def pair_correlation(x: str) -> str:
     """Pearson's r from ``pair_sums``; null if either side is constant."""
-    p = {k: F.col(f"{name}_{k}") for k in _PAIR_PARTS}
-    n, x, y = (p[k].cast("double") for k in ("n", "x", "y"))
-    vx = n * p["xx"] - x * x
-    vy = n * p["yy"] - y * y
-    varies = (p["xmin"] < p["xmax"]) & (p["ymin"] < p["ymax"]) & (vx > 0) & (vy > 0)
-    r = (n * p["xy"] - x * y) / (F.sqrt(vx) * F.sqrt(vy))
-    return F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    n, sx, sy = (f"CAST({x}_{part} AS DOUBLE)" for part in ("n", "x", "y"))
+    vx = f"({n} * {x}_xx - {sx} * {sx})"
+    vy = f"({n} * {x}_yy - {sy} * {sy})"
+    r = f"({n} * {x}_xy - {sx} * {sy}) / (sqrt({vx}) * sqrt({vy}))"
+    varies = f"{x}_xmin < {x}_xmax AND {x}_ymin < {x}_ymax AND {vx} > 0 AND {vy} > 0"
+    return f"CASE WHEN {varies} THEN greatest(-1D, least(1D, {r})) END"
 
 
-def correlation(x: Column, y: Column) -> Column:
+def correlation(x: str, y: str) -> str:
     """Pearson's r as an aggregate; pairs with a null are left out.
 
     ``corr`` itself raises on a constant column under ANSI rules, so the parts
     are combined only when both sides vary.
     """
-    both = x.isNotNull() & y.isNotNull()
-    xx, yy = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    varies = (F.min(xx) < F.max(xx)) & (F.min(yy) < F.max(yy))
-    spread = F.stddev_samp(xx) * F.stddev_samp(yy)
-    return F.when(varies, F.try_divide(F.covar_samp(xx, yy), spread))
+    both = f"({x}) IS NOT NULL AND ({y}) IS NOT NULL"
+    xx, yy = (f"CASE WHEN {both} THEN CAST({c} AS DOUBLE) END" for c in (x, y))
+    varies = f"min({xx}) < max({xx}) AND min({yy}) < max({yy})"
+    spread = f"stddev_samp({xx}) * stddev_samp({yy})"
+    return f"CASE WHEN {varies} THEN try_divide(covar_samp({xx}, {yy}), {spread}) END"
 
 
-def rounded_correlation(r: Column) -> Column:
-    return F.round(r.cast("decimal(28,12)"), 4).cast("decimal(5,4)")
+def rounded_correlation(r: str) -> str:
+    return f"CAST(round(CAST({r} AS DECIMAL(28,12)), 4) AS DECIMAL(5,4))"
 
 
-def strongest(names: list[str], correlations: list[Column], default_first: bool = True) -> Column:
+def strongest(correlations: dict[str, str], default_first: bool = True) -> str:
     """Name of the largest absolute correlation.
 
     Compared at ten decimals, so float noise does not decide between equals;
     the first listed wins a tie. Nulls never win; when all are null the first
     name is returned, or null with ``default_first=False``.
     """
-    sizes = [F.round(F.abs(r), 10) for r in correlations]
-    known = F.array(*[F.coalesce(s, F.lit(-1.0)) for s in sizes])
-    best = F.array_max(known)
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position(known, best).cast("int"))
-    return name if default_first else F.when(best >= 0, name)
+    names = ", ".join(f"'{n}'" for n in correlations)
+    sizes = [f"round(abs({r}), 10)" for r in correlations.values()]
+    best = f"greatest({', '.join(sizes)})"
+    known = ", ".join(f"coalesce({s}, -1D)" for s in sizes)
+    name = (
+        f"element_at(array({names}), "
+        f"CAST(array_position(array({known}), coalesce({best}, -1D)) AS INT))"
+    )
+    return name if default_first else f"CASE WHEN {best} IS NOT NULL THEN {name} END"

@@ -2,53 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from guestlens.schemas import NULL_TOKENS
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_INTEGER = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
+_INTEGER = r"^\\s*[+-]?\\d+\\s*$"
+
+
+def literal(text: str) -> str:
+    """Text as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def null_tokens(c: Column) -> Column:
+def null_tokens(c: str) -> str:
     """The text, or null where it is one of the tokens that mean missing."""
-    return F.when(~c.isin(NULL_TOKENS), c)
+    return f"CASE WHEN {c} NOT IN ({', '.join(map(literal, NULL_TOKENS))}) THEN {c} END"
 
 
-def whole_number(c: Column, kind: str = "bigint") -> Column:
+def whole_number(c: str, kind: str = "BIGINT") -> str:
     """Text to an integer, cut toward zero.
 
     Digits are cast straight to the integer type, so long ids keep every digit;
     only text such as ``4.9`` goes through a double. Other text raises.
     """
-    return F.when(c.rlike(_INTEGER), c.cast(kind)).otherwise(c.cast("double").cast(kind))
+    return (
+        f"CASE WHEN {c} RLIKE '{_INTEGER}' THEN CAST({c} AS {kind}) "
+        f"ELSE CAST(CAST({c} AS DOUBLE) AS {kind}) END"
+    )
 
 
-def lenient_decimal(c: Column, kind: str = "decimal(5,2)") -> Column:
+def lenient_decimal(c: str, kind: str = "DECIMAL(5,2)") -> str:
     """Text to a decimal rounded half up; text that is no number becomes null.
 
     The pattern comes first because a cast alone also reads ``8.5d`` and ``NaN``.
     A number too big for the type still raises.
     """
-    return F.when(c.rlike(_NUMBER), c.cast(kind))
+    return f"CASE WHEN {c} RLIKE '{_NUMBER}' THEN CAST({c} AS {kind}) END"
 
 
-def flag(c: Column) -> Column:
+def flag(c: str) -> str:
     """Text to a boolean: null and ``false`` are false, a number is true unless
     zero, any other text is true."""
     return (
-        F.when(c.isNull() | (F.lower(F.trim(c)) == "false"), F.lit(False))
-        .when(c.rlike(_NUMBER), c.cast("double") != 0)
-        .otherwise(F.lit(True))
+        f"CASE WHEN {c} IS NULL OR lower(trim({c})) = 'false' THEN false "
+        f"WHEN {c} RLIKE '{_NUMBER}' THEN CAST({c} AS DOUBLE) <> 0 ELSE true END"
     )
 
 
-def text_key(*parts: Column | str) -> Column:
-    """Parts joined by ``|``; null if any part is null."""
-    spaced: list[Column] = []
-    for part in parts:
-        if spaced:
-            spaced.append(F.lit("|"))
-        spaced.append(F.lit(part) if isinstance(part, str) else part.cast("string"))
-    return F.concat(*spaced)
+def text_key(*parts: str) -> str:
+    """Parts joined by ``|``; null if any part is null (``concat_ws`` would
+    skip it)."""
+    return "concat(" + ", '|', ".join(parts) + ")"

@@ -12,16 +12,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guestlens.functions.text import literal
 from guestlens.schemas import Table
 
 
-def report_row(rule: str, table: str, column: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        violations.cast("bigint").alias("violations"),
-    )
+def _report(rows: list[tuple[str, str, str, str]]) -> str:
+    """Report rows of (rule, table, column, SQL for the violations) as text."""
+    structs = [
+        f"struct('{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, "
+        f"CAST({n} AS BIGINT) AS violations)"
+        for rule, table, column, n in rows
+    ]
+    return f"inline(array({', '.join(structs)}))"
 
 
 def row_rules(
@@ -33,35 +35,41 @@ def row_rules(
     domains: dict[str, list] | None = None,
 ) -> DataFrame:
     """Missing values, over-long text, numbers out of range, unknown values."""
-    counts = {("required", c): F.col(c).isNull() for c in required}
-    counts |= {("length", c): F.length(c) > n for c, n in (lengths or {}).items()}
-    counts |= {
-        ("precision", c): F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
-        for c, t in (decimals or {}).items()
+    tests = {("required", c): f"{c} IS NULL" for c in required}
+    tests |= {("length", c): f"length({c}) > {n}" for c, n in (lengths or {}).items()}
+    tests |= {
+        ("precision", c): f"{c} IS NOT NULL AND try_cast({c} AS {kind}) IS NULL"
+        for c, kind in (decimals or {}).items()
+    }
+    tests |= {
+        ("domain", c): f"{c} NOT IN ({', '.join(_constant(v) for v in values)})"
+        for c, values in (domains or {}).items()
     }
-    counts |= {("domain", c): ~F.col(c).isin(values) for c, values in (domains or {}).items()}
-    names = {pair: f"_{i}" for i, pair in enumerate(counts)}
-    totals = df.agg(*[F.count_if(test).alias(names[pair]) for pair, test in counts.items()])
-    rows = [report_row(rule, table, c, F.col(names[rule, c])) for rule, c in counts]
-    return totals.select(F.inline(F.array(*rows)))
+    totals = df.agg(*[F.expr(f"count_if({t}) AS _{i}") for i, t in enumerate(tests.values())])
+    rows = [(rule, table, c, f"_{i}") for i, (rule, c) in enumerate(tests)]
+    return totals.selectExpr(_report(rows))
+
+
+def _constant(value) -> str:
+    return literal(value) if isinstance(value, str) else str(value)
 
 
 def unique_rule(df: DataFrame, table: str, key: list[str]) -> DataFrame:
     """Rows beyond the first of each key; a key with a null is not compared."""
     per_key = df.na.drop("any", subset=key).groupBy(*key).agg(F.count("*").alias("n"))
-    surplus = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
-    return surplus.select(F.inline(F.array(report_row("unique", table, ",".join(key), F.col("n")))))
+    surplus = per_key.agg(F.expr("coalesce(sum(n - 1), 0) AS n"))
+    return surplus.selectExpr(_report([("unique", table, ",".join(key), "n")]))
 
 
 def parent_rule(
     df: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
     """Rows whose value does not exist in the parent; nulls are not checked."""
-    per_value = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    per_value = df.where(f"{column} IS NOT NULL").groupBy(column).agg(F.count("*").alias("n"))
     known = parent.select(F.col(parent_column).alias(column))
     lost = per_value.join(known, column, "left_anti")
-    total = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return total.select(F.inline(F.array(report_row("parent", table, column, F.col("n")))))
+    total = lost.agg(F.expr("coalesce(sum(n), 0) AS n"))
+    return total.selectExpr(_report([("parent", table, column, "n")]))
 
 
 def table_report(df: DataFrame, table: Table, parents: dict[str, DataFrame] | None = None) -> DataFrame:

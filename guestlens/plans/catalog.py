@@ -182,11 +182,17 @@ def fill_defaults(spark, folder):
             for v in pair
         ]
     )
-    return star.table(spark, folder, "customer").select(
+    texts = star.table(spark, folder, "customer").select(
         "c_custkey",
-        F.coalesce(whole_number(balance), F.lit(0)).cast("bigint").alias("balance"),
-        flag(F.try_element_at(text, segment)).alias("flagged"),
-        F.coalesce(F.when(segment != "BUILDING", F.col("c_name")), F.lit("nan")).alias("name"),
+        balance.alias("balance"),
+        F.try_element_at(text, segment).alias("flagged"),
+        F.when(segment != "BUILDING", F.col("c_name")).alias("name"),
+    )
+    return texts.selectExpr(
+        "c_custkey",
+        f"coalesce({whole_number('balance')}, 0) AS balance",
+        f"{flag('flagged')} AS flagged",
+        "coalesce(name, 'nan') AS name",
     )
 
 
@@ -204,8 +210,9 @@ def coerce_numeric(spark, folder):
         .when(kind == "error", F.lit("NaN"))
         .otherwise(F.col("props"))
     )
-    events = star.table(spark, folder, "events")
-    return plain(events.select("event_id", lenient_decimal(text, "decimal(20,1)").alias("number")))
+    events = star.table(spark, folder, "events").select("event_id", text.alias("text"))
+    number = lenient_decimal("text", "DECIMAL(20,1)")
+    return plain(events.selectExpr("event_id", f"{number} AS number"))
 
 
 _TOKEN_LIST = ", ".join(f"'{t}'" for t in NULL_TOKENS)
@@ -224,8 +231,8 @@ def null_tokens_in_text(spark, folder):
         .when(role == "user", F.col("text"))
         .otherwise(F.concat(F.lit("NA"), F.col("text")))
     )
-    turns = star.table(spark, folder, "conversations")
-    return turns.select("conv_id", "turn", null_tokens(word).alias("word"))
+    turns = star.table(spark, folder, "conversations").select("conv_id", "turn", word.alias("word"))
+    return turns.selectExpr("conv_id", "turn", f"{null_tokens('word')} AS word")
 
 
 @query(
@@ -247,9 +254,9 @@ def insert_if_absent_rows(spark, folder):
 def group_key_nulls(spark, folder):
     """A null part makes the whole key null."""
     status = F.when(F.col("l_linestatus") != "O", F.col("l_linestatus"))
-    key = text_key(F.col("l_returnflag"), status, "city", F.col("l_linenumber"))
-    lines = star.table(spark, folder, "lineitem")
-    return lines.select("l_orderkey", "l_linenumber", "l_partkey", key.alias("group_key"))
+    lines = star.table(spark, folder, "lineitem").withColumn("status", status)
+    key = text_key("l_returnflag", "status", "'city'", "l_linenumber")
+    return lines.selectExpr("l_orderkey", "l_linenumber", "l_partkey", f"{key} AS group_key")
 
 
 # -- aggregates ----------------------------------------------------------------
@@ -277,15 +284,17 @@ def distinct_counts(spark, folder):
     "FROM orders GROUP BY o_custkey"
 )
 def sample_stddev(spark, folder):
-    price = hundredths(F.col("o_totalprice"))
-    sums = star.table(spark, folder, "orders").groupBy("o_custkey").agg(
+    prices = star.table(spark, folder, "orders").selectExpr(
+        "o_custkey", f"{hundredths('o_totalprice')} AS price"
+    )
+    sums = prices.groupBy("o_custkey").agg(
         F.count("*").alias("n"),
-        F.sum(price).alias("total"),
-        F.sum(price.cast("double") * price).alias("squares"),
+        F.sum("price").alias("total"),
+        F.expr("sum(CAST(price AS DOUBLE) * price)").alias("squares"),
     )
-    deviation = sample_deviation(F.col("n"), F.col("total"), F.col("squares"))
-    mean = from_hundredths(rounded_mean(F.col("total"), F.col("n")))
-    return plain(sums.select("o_custkey", "n", mean.alias("mean"), deviation.alias("deviation")))
+    mean = from_hundredths(rounded_mean("total", "n"))
+    deviation = sample_deviation("n", "total", "squares")
+    return plain(sums.selectExpr("o_custkey", "n", f"{mean} AS mean", f"{deviation} AS deviation"))
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id DESC LIMIT 1")
@@ -431,18 +440,15 @@ def _tidy(house: Warehouse) -> DataFrame:
     parts = []
     for name, (key, measures, words) in _MEASURES.items():
         cells = [
-            F.struct(
-                F.lit(m).alias("measure"),
-                (F.lit(None) if m in words else F.col(m)).cast("double").alias("value"),
-                (F.col(m) if m in words else F.lit(None)).cast("string").alias("word"),
-            )
+            f"struct('{m}' AS measure, CAST({'null' if m in words else m} AS DOUBLE) AS value, "
+            f"CAST({m if m in words else 'null'} AS STRING) AS word)"
             for m in [*measures, *words]
         ]
         parts.append(
-            house.read(name).select(
-                F.lit(name).alias("table_name"),
-                F.expr(key).cast("string").alias("row_key"),
-                F.inline(F.array(*cells)),
+            house.read(name).selectExpr(
+                f"'{name}' AS table_name",
+                f"CAST({key} AS STRING) AS row_key",
+                f"inline(array({', '.join(cells)}))",
             )
         )
     return reduce(DataFrame.unionByName, parts)

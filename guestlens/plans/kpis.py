@@ -9,7 +9,7 @@ lodging rows only, never the reviews again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.functions.stats import (
@@ -34,35 +34,33 @@ from guestlens.schemas import (
 )
 
 _GROUP = ["star_rating", "type", "city_name"]
+_CITY_KEY = text_key("star_rating", "type", "'city'", "city_name")
+_MEAN = rounded_mean("overall_sum", "review_count")
 
 
-def _rated(reviews: DataFrame, *keep: str) -> DataFrame:
-    """Reviews with an overall rating; ratings as hundredths."""
-    return reviews.where(F.col("rating_overall").isNotNull()).select(
-        *keep,
-        hundredths(F.col("rating_overall")).alias("overall"),
-        *[hundredths(F.col(f"rating_{d}")).alias(d) for d in DIMENSIONS],
-    )
+def _exprs(texts: list[str]) -> list:
+    return [F.expr(t) for t in texts]
 
 
-def _overall_sums() -> list[Column]:
-    y = F.col("overall")
-    yd = y.cast("double")
-    return [
-        F.count("*").alias("review_count"),
-        F.sum(y).alias("overall_sum"),
-        F.sum(yd * yd).alias("overall_squares"),
-    ]
+def _rated(reviews: DataFrame, *keep: str) -> DataFrame:
+    """Reviews with an overall rating; ratings as hundredths."""
+    ratings = [f"{hundredths(f'rating_{d}')} AS {d}" for d in ["overall", *DIMENSIONS]]
+    return reviews.where("rating_overall IS NOT NULL").selectExpr(*keep, *ratings)
 
 
-def _dimension_sums() -> list[Column]:
-    return [c for d in DIMENSIONS for c in pair_sums(d, F.col(d), F.col("overall"))]
+_DIMENSION_SUMS = [text for d in DIMENSIONS for text in pair_sums(d, "overall")]
+_MERGED_SUMS = [text for d in DIMENSIONS for text in merged_pair_sums(d)]
 
 
 def lodging_sums(reviews: DataFrame) -> DataFrame:
     """One row per lodging with at least one rated review."""
+    overall = [
+        "count(*) AS review_count",
+        "sum(overall) AS overall_sum",
+        "sum(CAST(overall AS DOUBLE) * overall) AS overall_squares",
+    ]
     rated = _rated(reviews, "id_hostel")
-    return rated.groupBy("id_hostel").agg(*_overall_sums(), *_dimension_sums())
+    return rated.groupBy("id_hostel").agg(*_exprs(overall + _DIMENSION_SUMS))
 
 
 def coverage(lodgings: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -75,24 +73,19 @@ def coverage(lodgings: DataFrame, reviews: DataFrame) -> DataFrame:
         F.count_distinct("id_hostel").alias("hostels_with_reviews"),
         total.alias("total_hostels"),
     )
-    share = rounded_mean(F.col("hostels_with_reviews") * 10_000, F.col("total_hostels"))
-    return counted.select(
-        "total_hostels", "hostels_with_reviews", from_hundredths(share).alias("coverage_pct")
-    )
+    share = from_hundredths(rounded_mean("(hostels_with_reviews * 10000)", "total_hostels"))
+    return counted.selectExpr("total_hostels", "hostels_with_reviews", f"{share} AS coverage_pct")
 
 
 def lodging_ratings(sums: DataFrame) -> DataFrame:
     """Review count, seven averages and the deviation of the overall rating."""
-    averages = {"overall": rounded_mean(F.col("overall_sum"), F.col("review_count"))}
-    averages |= {d: rounded_mean(F.col(f"{d}_x"), F.col(f"{d}_n")) for d in DIMENSIONS}
-    deviation = sample_deviation(
-        F.col("review_count"), F.col("overall_sum"), F.col("overall_squares")
-    )
-    return sums.select(
+    means = {"overall": _MEAN} | {d: rounded_mean(f"{d}_x", f"{d}_n") for d in DIMENSIONS}
+    deviation = sample_deviation("review_count", "overall_sum", "overall_squares")
+    return sums.selectExpr(
         "id_hostel",
         "review_count",
-        *[from_hundredths(c).alias(f"avg_{n}") for n, c in averages.items()],
-        deviation.alias("stddev_overall"),
+        *[f"{from_hundredths(mean)} AS avg_{name}" for name, mean in means.items()],
+        f"{deviation} AS stddev_overall",
     )
 
 
@@ -101,10 +94,6 @@ def _with_lodging(sums: DataFrame, lodgings: DataFrame, *columns: str) -> DataFr
     return sums.join(lodgings.select("id_hostel", *columns), "id_hostel")
 
 
-def _city_key() -> Column:
-    return text_key(F.col("star_rating"), F.col("type"), "city", F.col("city_name"))
-
-
 def equivalent_groups(
     sums: DataFrame,
     lodgings: DataFrame,
@@ -118,38 +107,29 @@ def equivalent_groups(
     """
     place = {"city": "city_name", "country": "city_country"}
     wide = _with_lodging(sums, lodgings, "star_rating", "type", *place.values())
-    levelled = wide.select(
+    places = [f"struct('{n}' AS group_level, {place[n]} AS location)" for n in levels]
+    levelled = wide.selectExpr(
         "star_rating",
-        F.col("type").alias("hostel_type"),
+        "type AS hostel_type",
         "review_count",
         "overall_sum",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(n).alias("group_level"), F.col(place[n]).alias("location"))
-                    for n in levels
-                ]
-            )
-        ),
+        f"inline(array({', '.join(places)}))",
     )
     groups = levelled.groupBy("star_rating", "hostel_type", "group_level", "location").agg(
         F.count("*").alias("hostel_count"),
         F.sum("review_count").alias("review_count"),
         F.sum("overall_sum").alias("overall_sum"),
     )
-    mean = rounded_mean(F.col("overall_sum"), F.col("review_count"))
-    return groups.select(
-        text_key(
-            F.col("star_rating"), F.col("hostel_type"), F.col("group_level"), F.col("location")
-        ).alias("group_key"),
+    return groups.selectExpr(
+        f"{text_key('star_rating', 'hostel_type', 'group_level', 'location')} AS group_key",
         "group_level",
         "star_rating",
         "hostel_type",
         "location",
         "hostel_count",
         "review_count",
-        from_hundredths(mean).alias("avg_overall_group"),
-        (F.col("review_count") >= min_reviews).alias("is_valid"),
+        f"{from_hundredths(_MEAN)} AS avg_overall_group",
+        f"review_count >= {min_reviews} AS is_valid",
     )
 
 
@@ -165,37 +145,31 @@ def ranking(
     however many lodgings the group has. Ranks go back to the lodgings by an
     equi-join on group and average.
     """
-    wide = _with_lodging(sums, lodgings, *_GROUP).select(
-        "id_hostel",
-        *_GROUP,
-        "review_count",
-        "overall_sum",
-        rounded_mean(F.col("overall_sum"), F.col("review_count")).alias("mean"),
+    wide = _with_lodging(sums, lodgings, *_GROUP).selectExpr(
+        "id_hostel", *_GROUP, "review_count", "overall_sum", f"{_MEAN} AS mean"
     )
     steps = wide.groupBy(*_GROUP, "mean").agg(
         F.count("*").alias("lodgings"),
         F.sum("review_count").alias("reviews"),
         F.sum("overall_sum").alias("total"),
     )
-    group = Window.partitionBy(*_GROUP)
-    higher = group.orderBy(F.desc("mean")).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = steps.select(
+    group = f"PARTITION BY {', '.join(_GROUP)}"
+    higher = f"{group} ORDER BY mean DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    ranked = steps.selectExpr(
         *_GROUP,
         "mean",
-        (F.coalesce(F.sum("lodgings").over(higher), F.lit(0)) + 1).alias("rank_in_group"),
-        F.sum("reviews").over(group).alias("group_reviews"),
-        F.sum("total").over(group).alias("group_total"),
-    ).where(F.col("group_reviews") >= min_reviews)
-    group_mean = rounded_mean(F.col("group_total"), F.col("group_reviews"))
-    placed = ranked.select(
-        *_GROUP, "mean", "rank_in_group", (F.col("mean") - group_mean).alias("deviation")
-    )
-    return wide.join(placed, [*_GROUP, "mean"]).select(
+        f"coalesce(sum(lodgings) OVER ({higher}), 0) + 1 AS rank_in_group",
+        f"sum(reviews) OVER ({group}) AS group_reviews",
+        f"sum(total) OVER ({group}) AS group_total",
+    ).where(f"group_reviews >= {min_reviews}")
+    group_mean = rounded_mean("group_total", "group_reviews")
+    placed = ranked.selectExpr(*_GROUP, "mean", "rank_in_group", f"mean - ({group_mean}) AS deviation")
+    return wide.join(placed, [*_GROUP, "mean"]).selectExpr(
         "id_hostel",
-        _city_key().alias("group_key"),
-        from_hundredths(F.col("mean")).alias("avg_overall"),
+        f"{_CITY_KEY} AS group_key",
+        f"{from_hundredths('mean')} AS avg_overall",
         "rank_in_group",
-        from_hundredths(F.col("deviation")).alias("deviation_from_group"),
+        f"{from_hundredths('deviation')} AS deviation_from_group",
         "review_count",
     )
 
@@ -207,27 +181,28 @@ def volume_vs_rating(
     min_lodgings: int = MIN_LODGINGS_VOLUME,
 ) -> DataFrame:
     """Correlation of review count with average rating over a group's lodgings."""
-    wide = _with_lodging(sums, lodgings, *_GROUP)
-    mean = rounded_mean(F.col("overall_sum"), F.col("review_count"))
-    groups = wide.groupBy(*_GROUP).agg(
-        correlation(F.col("review_count"), mean).alias("r"),
+    wide = _with_lodging(sums, lodgings, *_GROUP).selectExpr(
+        f"{_CITY_KEY} AS group_key", "review_count", f"{_MEAN} AS mean"
+    )
+    groups = wide.groupBy("group_key").agg(
+        F.expr(correlation("review_count", "mean")).alias("r"),
         F.count("*").alias("sample_size"),
         F.sum("review_count").alias("reviews"),
     )
-    enough = (F.col("sample_size") >= min_lodgings) & (F.col("reviews") >= min_reviews)
-    return groups.where(enough).select(
-        _city_key().alias("group_key"),
-        rounded_correlation(F.col("r")).alias("pearson_r"),
-        "sample_size",
-    )
+    enough = groups.where(f"sample_size >= {min_lodgings} AND reviews >= {min_reviews}")
+    return enough.selectExpr("group_key", f"{rounded_correlation('r')} AS pearson_r", "sample_size")
 
 
-def _driver_columns(default_first: bool) -> list[Column]:
-    r = {d: pair_correlation(d) for d in DIMENSIONS}
-    return [
-        *[rounded_correlation(c).alias(f"corr_{d}") for d, c in r.items()],
-        strongest(DIMENSIONS, list(r.values()), default_first).alias("top_driver"),
-    ]
+def _with_drivers(groups: DataFrame, default_first: bool) -> DataFrame:
+    """Adds the correlations and the top driver. They are named first, so that
+    each is computed once."""
+    named = groups.selectExpr("*", *[f"{pair_correlation(d)} AS r_{d}" for d in DIMENSIONS])
+    top = strongest({d: f"r_{d}" for d in DIMENSIONS}, default_first)
+    rounded = [f"{rounded_correlation(f'r_{d}')} AS corr_{d}" for d in DIMENSIONS]
+    return named.selectExpr("*", *rounded, f"{top} AS top_driver")
+
+
+_DRIVER_COLUMNS = [*[f"corr_{d}" for d in DIMENSIONS], "top_driver", "sample_size"]
 
 
 def group_drivers(
@@ -241,14 +216,11 @@ def group_drivers(
     A group is valid exactly when it has enough rated reviews, so the groups
     table is not needed here.
     """
-    wide = _with_lodging(sums, lodgings, *_GROUP)
-    groups = wide.groupBy(*_GROUP).agg(
-        F.sum("review_count").alias("sample_size"),
-        *[c for d in DIMENSIONS for c in merged_pair_sums(d)],
-    )
-    return groups.where(F.col("sample_size") >= min_reviews).select(
-        _city_key().alias("group_key"), *_driver_columns(default_first), "sample_size"
-    )
+    wide = _with_lodging(sums, lodgings, *_GROUP).withColumn("group_key", F.expr(_CITY_KEY))
+    merged = ["sum(review_count) AS sample_size", *_MERGED_SUMS]
+    groups = wide.groupBy("group_key").agg(*_exprs(merged))
+    valid = groups.where(f"sample_size >= {min_reviews}")
+    return _with_drivers(valid, default_first).select("group_key", *_DRIVER_COLUMNS)
 
 
 def profile_drivers(
@@ -264,16 +236,15 @@ def profile_drivers(
     almost nothing before the last shuffle.
     """
     segment = ["trip_code", "gender_code", "age_range", "hostel_type"]
-    types = lodgings.select("id_hostel", F.col("type").alias("hostel_type"))
+    types = lodgings.selectExpr("id_hostel", "type AS hostel_type")
     profiles = users.select("id_user", *segment[:3]).na.drop("any", subset=segment[:3])
     rated = _rated(reviews, "id_hostel", "id_user")
     typed = lookup(rated, types, "id_hostel", counted=reviews)
     wide = lookup(typed, profiles, "id_user", counted=reviews)
-    groups = wide.groupBy(*segment).agg(F.count("*").alias("sample_size"), *_dimension_sums())
-    return groups.select(
+    groups = wide.groupBy(*segment).agg(*_exprs(["count(*) AS sample_size", *_DIMENSION_SUMS]))
+    return _with_drivers(groups, default_first).selectExpr(
         *segment,
-        text_key(*[F.col(c) for c in segment]).alias("segment_key"),
-        *_driver_columns(default_first),
-        "sample_size",
-        (F.col("sample_size") >= min_reviews).alias("is_valid"),
+        f"{text_key(*segment)} AS segment_key",
+        *_DRIVER_COLUMNS,
+        f"sample_size >= {min_reviews} AS is_valid",
     )

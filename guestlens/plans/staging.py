@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.functions.text import flag, lenient_decimal, whole_number
+from guestlens.functions.text import flag, lenient_decimal, literal, whole_number
 from guestlens.operators.rows import keep_first, lookup
 from guestlens.schemas import DIMENSIONS
 from guestlens.sources.delimited import ROW_ORDER
 
 # --- Fixed values: names in the input files -----------------------------------
+DETAIL_NAMES = {
+    "starRating": "star_rating",
+    "city.name": "city_name",
+    "city.country": "city_country",
+    "totalRatings": "total_ratings",
+    "freeCancellation.isAvailable": "free_cancellation",
+}
 DETAIL_REQUIRED = ["id_hostel", "type", "city_name", "city_country"]
 REVIEW_REQUIRED = ["id_review", "id_hostel", "id_user"]
 PROFILE = {
@@ -32,27 +39,18 @@ def clean_lodgings(raw: DataFrame, missing_name: str | None = "nan") -> DataFram
     A missing name is stored as the text ``nan``; pass ``missing_name=None`` to
     keep it null.
     """
-    columns = {
-        "id_hostel": F.col("id_hostel"),
-        "name": F.coalesce("name", F.lit(missing_name).cast("string")),
-        "type": F.col("type"),
-        "star_rating": F.col("starRating"),
-        "city_name": F.col("`city.name`"),
-        "city_country": F.col("`city.country`"),
-        "total_ratings": F.col("totalRatings"),
-        "free_cancellation": F.col("`freeCancellation.isAvailable`"),
-        ROW_ORDER: F.col(ROW_ORDER),
-    }
-    complete = raw.select(*[c.alias(n) for n, c in columns.items()]).na.drop(
-        "any", subset=DETAIL_REQUIRED
-    )
-    typed = complete.withColumns(
-        {
-            "id_hostel": whole_number(F.col("id_hostel"), "int"),
-            "star_rating": F.coalesce(whole_number(F.col("star_rating"), "int"), F.lit(0)),
-            "total_ratings": F.coalesce(whole_number(F.col("total_ratings"), "int"), F.lit(0)),
-            "free_cancellation": flag(F.col("free_cancellation")),
-        }
+    name = "name" if missing_name is None else f"coalesce(name, {literal(missing_name)}) AS name"
+    complete = raw.withColumnsRenamed(DETAIL_NAMES).na.drop("any", subset=DETAIL_REQUIRED)
+    typed = complete.selectExpr(
+        f"{whole_number('id_hostel', 'INT')} AS id_hostel",
+        name,
+        "type",
+        f"coalesce({whole_number('star_rating', 'INT')}, 0) AS star_rating",
+        "city_name",
+        "city_country",
+        f"coalesce({whole_number('total_ratings', 'INT')}, 0) AS total_ratings",
+        f"{flag('free_cancellation')} AS free_cancellation",
+        ROW_ORDER,
     )
     return keep_first(typed, ["id_hostel"], ROW_ORDER, keep_order=False)
 
@@ -62,15 +60,14 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
 
     Profile columns and the row order stay on, for ``clean_users``.
     """
-    complete = raw.na.drop("any", subset=REVIEW_REQUIRED)
-    typed = complete.select(
-        whole_number(F.col("id_review")).alias("id_review"),
-        whole_number(F.col("id_hostel"), "int").alias("id_hostel"),
-        whole_number(F.col("id_user")).alias("id_user"),
-        F.col("review_date").cast("date").alias("review_date"),
-        *[lenient_decimal(F.col(c)).alias(n) for c, n in RATINGS.items()],
-        *[F.col(c).alias(n) for c, n in PROFILE.items()],
-        whole_number(F.col("user_number_reviews"), "int").alias("number_reviews"),
+    typed = raw.na.drop("any", subset=REVIEW_REQUIRED).selectExpr(
+        f"{whole_number('id_review')} AS id_review",
+        f"{whole_number('id_hostel', 'INT')} AS id_hostel",
+        f"{whole_number('id_user')} AS id_user",
+        "CAST(review_date AS DATE) AS review_date",
+        *[f"{lenient_decimal(c)} AS {n}" for c, n in RATINGS.items()],
+        *[f"{c} AS {n}" for c, n in PROFILE.items()],
+        f"{whole_number('user_number_reviews', 'INT')} AS number_reviews",
         ROW_ORDER,
     )
     return keep_first(typed, ["id_review"], ROW_ORDER)

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestlens.functions.text import null_tokens
+from guestlens.functions.text import literal, null_tokens
 
 ROW_ORDER = "_row_order"
 _CORRUPT = "_corrupt_record"
@@ -74,8 +74,8 @@ def read_delimited(
         place.insert(0, F.col("_metadata.file_path"))
     ordered = raw.select("*", F.struct(*place).alias(ROW_ORDER))
 
-    unquoted = F.regexp_replace(_CORRUPT, '"[^"]*"', "")
-    separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
-    kept = ordered.where(F.col(_CORRUPT).isNull() | (separators <= len(names) - 1))
-    text = [null_tokens(F.col(f"`{n}`")).alias(n) for n in names]
-    return kept.select(*text, ROW_ORDER)
+    # Surplus separators outside quotes mark a row with too many fields.
+    bare = f"regexp_replace({_CORRUPT}, '\"[^\"]*\"', '')"
+    separators = f"length({bare}) - length(replace({bare}, {literal(sep)}, ''))"
+    kept = ordered.where(f"{_CORRUPT} IS NULL OR {separators} <= {len(names) - 1}")
+    return kept.selectExpr(*[f"{null_tokens(f'`{n}`')} AS `{n}`" for n in names], ROW_ORDER)
