@@ -37,8 +37,8 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    """The session's broadcast threshold in bytes; -1 switches broadcasts off."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_split: int, most: int) -> DataFrame:

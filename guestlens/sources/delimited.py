@@ -74,8 +74,11 @@ def read_delimited(
         place.insert(0, F.col("_metadata.file_path"))
     ordered = raw.select("*", F.struct(*place).alias(ROW_ORDER))
 
-    # Surplus separators outside quotes mark a row with too many fields.
-    bare = f"regexp_replace({_CORRUPT}, '\"[^\"]*\"', '')"
+    # Surplus separators outside quotes mark a row with too many fields. Spark
+    # refuses a scan of the corrupt column alone, as in a bare count, so the
+    # test also names a data column, of which it takes no characters.
+    record = f"concat_ws('', {_CORRUPT}, left(`{names[0]}`, 0))"
+    bare = f"regexp_replace({record}, '\"[^\"]*\"', '')"
     separators = f"length({bare}) - length(replace({bare}, {literal(sep)}, ''))"
     kept = ordered.where(f"{_CORRUPT} IS NULL OR {separators} <= {len(names) - 1}")
     return kept.selectExpr(*[f"{null_tokens(f'`{n}`')} AS `{n}`" for n in names], ROW_ORDER)

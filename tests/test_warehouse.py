@@ -1,0 +1,87 @@
+import pytest
+from pyspark.errors import PySparkException
+
+from guestlens.schemas import TABLES, dependants
+from guestlens.sources.warehouse import Warehouse
+
+HOSTELS = "id_hostel int, name string, type string, star_rating int, city_name string, city_country string, total_ratings int, free_cancellation boolean"
+
+
+def hostels(spark, *ids):
+    return spark.createDataFrame([(i, f"h{i}", "HOSTEL", 3, "Rome", "Italy", 0, False) for i in ids], HOSTELS)
+
+
+def ratings(spark, *ids, mean="9.00"):
+    cols = TABLES["kpi_hostel_ratings"].data_columns
+    df = spark.createDataFrame([(i,) for i in ids], "id_hostel int")
+    return df.selectExpr("id_hostel", "3 AS review_count", *[f"{mean} AS {c}" for c in cols[2:]])
+
+
+def coverage(spark):
+    return spark.sql("SELECT 2 AS total_hostels, 1 AS hostels_with_reviews, 50.0 AS coverage_pct")
+
+
+def ids(df):
+    return sorted(r.id_hostel for r in df.collect())
+
+
+def test_dependants():
+    assert dependants("stg_hostels") == {"stg_reviews", "kpi_hostel_ratings", "kpi_hostel_ranking"}
+    assert dependants("kpi_equivalent_groups") == {"kpi_hostel_ranking", "kpi_volume_vs_rating", "kpi_global_drivers"}
+    assert dependants("stg_users") == set()
+
+
+def test_refresh_replaces_and_is_repeatable(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    assert house.read("stg_hostels").count() == 0
+    house.refresh("stg_hostels", hostels(spark, 1, 2))
+    house.refresh("stg_hostels", hostels(spark, 2, 3))
+    house.refresh("stg_hostels", hostels(spark, 2, 3))
+    assert ids(house.read("stg_hostels")) == [2, 3]
+    assert house.read("stg_hostels").dtypes == [(c, t) for c, t in TABLES["stg_hostels"].columns.items()]
+    assert house.read("stg_hostels").where("loaded_at IS NULL").count() == 0
+
+
+def test_refresh_clears_dependants_only(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.refresh("stg_hostels", hostels(spark, 1))
+    house.refresh("kpi_hostel_ratings", ratings(spark, 1))
+    house.refresh("kpi_coverage", coverage(spark))
+    house.refresh("stg_hostels", hostels(spark, 1))
+    assert house.read("kpi_hostel_ratings").count() == 0
+    assert house.read("kpi_coverage").count() == 1
+
+
+def test_tables_published_together_are_not_cleared(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    version = house.new_version()
+    house.stage("stg_hostels", hostels(spark, 1), version)
+    house.stage("kpi_hostel_ratings", ratings(spark, 1), version)
+    assert house.read("stg_hostels").count() == 0
+    house.publish(["stg_hostels", "kpi_hostel_ratings"], version)
+    assert house.read("kpi_hostel_ratings").count() == 1
+
+
+def test_a_refresh_that_fails_leaves_the_old_table(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.refresh("kpi_hostel_ratings", ratings(spark, 1))
+    with pytest.raises(PySparkException):
+        house.refresh("kpi_hostel_ratings", ratings(spark, 2, mean="10000.00"))
+    assert ids(house.read("kpi_hostel_ratings")) == [1]
+
+
+def test_a_table_can_be_refreshed_from_itself(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.refresh("stg_hostels", hostels(spark, 1, 2, 3))
+    house.refresh("stg_hostels", house.read("stg_hostels").where("id_hostel > 1"))
+    assert ids(house.read("stg_hostels")) == [2, 3]
+
+
+def test_log_only_grows(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    assert house.read("pipeline_run_log").count() == 0
+    house.log("run", "a", "success", 3, 1, "why")
+    house.log("run", "b", "failed")
+    rows = {r.stage: r for r in house.read("pipeline_run_log").collect()}
+    assert (rows["a"].records_processed, rows["a"].records_excluded, rows["a"].exclusion_reason) == (3, 1, "why")
+    assert rows["b"].status == "failed" and rows["b"].started_at <= rows["b"].finished_at
