@@ -7,6 +7,7 @@ key first, so a frequent key does not pile up in one task.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,10 +38,7 @@ def row_rules(
     """Missing values, over-long text, numbers out of range, unknown values."""
     tests = {("required", c): f"{c} IS NULL" for c in required}
     tests |= {("length", c): f"length({c}) > {n}" for c, n in (lengths or {}).items()}
-    tests |= {
-        ("precision", c): f"{c} IS NOT NULL AND try_cast({c} AS {kind}) IS NULL"
-        for c, kind in (decimals or {}).items()
-    }
+    tests |= {("precision", c): f"abs({c}) >= {_limit(kind)}" for c, kind in (decimals or {}).items()}
     tests |= {
         ("domain", c): f"{c} NOT IN ({', '.join(_constant(v) for v in values)})"
         for c, values in (domains or {}).items()
@@ -50,6 +48,15 @@ def row_rules(
     return totals.selectExpr(_report(rows))
 
 
+def _limit(kind: str) -> Decimal:
+    """The smallest size that no longer fits ``decimal(p,s)`` once rounded.
+
+    A comparison, because a failed ``try_cast`` costs an exception per row.
+    """
+    precision, scale = map(int, kind.removeprefix("decimal(").removesuffix(")").split(","))
+    return Decimal(10) ** (precision - scale) - Decimal(5) * Decimal(10) ** (-scale - 1)
+
+
 def _constant(value) -> str:
     return literal(value) if isinstance(value, str) else str(value)
 

@@ -39,8 +39,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, which is how the SQL check returns them."""
-    return df.select(
-        *[F.col(c).cast("double").alias(c) if t.startswith("decimal") else c for c, t in df.dtypes]
+    return df.selectExpr(
+        *[f"CAST({c} AS DOUBLE) AS {c}" if t.startswith("decimal") else c for c, t in df.dtypes]
     )
 
 
@@ -103,7 +103,7 @@ def kpi_group_drivers(spark, folder):
 def kpi_profile_drivers(spark, folder):
     return plain(
         kpis.profile_drivers(
-            star.reviews(spark, folder), star.users(spark, folder), star.lodgings(spark, folder)
+            star.reviews(spark, folder), star.users(spark, folder), star.lodging_types(spark, folder)
         )
     )
 

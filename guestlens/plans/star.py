@@ -13,37 +13,52 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; its schema is read from the files once, as that is a job."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def places(spark: SparkSession, folder: str) -> DataFrame:
-    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"
+    nation = table(spark, folder, "nation").selectExpr(
+        "n_nationkey AS c_nationkey", "n_name", "n_regionkey AS r_regionkey"
     )
+    return nation.join(table(spark, folder, "region"), "r_regionkey").drop("r_regionkey")
 
 
 def lodgings(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
-    return customer.join(places(spark, folder), "c_nationkey").select(
-        F.col("c_custkey").alias("id_hostel"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("type"),
-        F.floor(F.greatest("c_acctbal", F.lit(0.0)) / 2000).cast("int").alias("star_rating"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("city_country"),
+    return customer.join(places(spark, folder), "c_nationkey").selectExpr(
+        "c_custkey AS id_hostel",
+        "c_name AS name",
+        "c_mktsegment AS type",
+        "CAST(floor(greatest(c_acctbal, 0D) / 2000) AS INT) AS star_rating",
+        "n_name AS city_name",
+        "r_name AS city_country",
     )
 
 
+def lodging_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Lodgings without their places: all that the profile drivers need. With no
+    join in it, Spark knows its size."""
+    customer = table(spark, folder, "customer")
+    return customer.selectExpr("c_custkey AS id_hostel", "c_mktsegment AS type")
+
+
 def users(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("id_user"),
-        F.col("p_brand").alias("gender_code"),
-        F.floor(F.col("p_size") / 10).cast("string").alias("age_range"),
-        F.col("p_type").alias("trip_code"),
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey AS id_user",
+        "p_brand AS gender_code",
+        "CAST(floor(p_size / 10) AS STRING) AS age_range",
+        "p_type AS trip_code",
     )
 
 
@@ -53,18 +68,18 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return order_lines(spark, folder).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_review"),
-        F.col("o_custkey").alias("id_hostel"),
-        F.col("l_partkey").alias("id_user"),
-        F.col("l_shipdate").cast("date").alias("review_date"),
-        F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("rating_overall"),
-        F.when(F.col("l_linestatus") != "O", F.col("l_discount")).alias("rating_safety"),
-        F.col("l_tax").alias("rating_location"),
-        F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 200).alias("rating_staff"),
-        F.floor(F.datediff("l_shipdate", "o_orderdate") / 10).alias("rating_atmosphere"),
-        F.floor(F.col("o_totalprice") / 1000).alias("rating_cleanliness"),
-        F.col("l_linenumber").alias("rating_facilities"),
+    return order_lines(spark, folder).selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id_review",
+        "o_custkey AS id_hostel",
+        "l_partkey AS id_user",
+        "CAST(l_shipdate AS DATE) AS review_date",
+        "CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS rating_overall",
+        "CASE WHEN l_linestatus <> 'O' THEN l_discount END AS rating_safety",
+        "l_tax AS rating_location",
+        "floor(l_extendedprice / l_quantity / 200) AS rating_staff",
+        "floor(datediff(l_shipdate, o_orderdate) / 10) AS rating_atmosphere",
+        "floor(o_totalprice / 1000) AS rating_cleanliness",
+        "l_linenumber AS rating_facilities",
     )
 
 
