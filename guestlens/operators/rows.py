@@ -3,7 +3,7 @@ balanced when one key holds a large part of the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,56 +36,60 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's broadcast threshold in bytes; -1 switches broadcasts off."""
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether the table is known to be below the session's broadcast threshold."""
+    conf = table.sparkSession._jsparkSession.sessionState().conf()
+    return planned_bytes(table) <= int(conf.autoBroadcastJoinThreshold())
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int, most: int) -> DataFrame:
+def hot_keys(
+    df: DataFrame,
+    key: list[str],
+    rows_per_split: int = 5_000_000,
+    most: int = 1_000,
+    count: str = "count(*)",
+) -> DataFrame:
     """Keys with more than ``rows_per_split`` rows and into how many splits
     their rows go. At most ``most`` keys, the biggest first: a key outside that
-    list cannot hold more than one part in ``most`` of all rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    biggest = counts.where(F.col("_n") > rows_per_split).orderBy(F.desc("_n"), key).limit(most)
-    splits = F.least(F.ceil(F.col("_n") / rows_per_split), F.lit(10_000)).cast("int")
-    return biggest.select(key, splits.alias("_splits"))
+    list cannot hold more than one part in ``most`` of all rows. ``count`` is
+    the aggregate that gives the number of rows of a key."""
+    counts = df.na.drop("any", subset=key).groupBy(*key).agg(F.expr(count).alias("_n"))
+    biggest = counts.where(f"_n > {rows_per_split}").orderBy(F.desc("_n"), *key).limit(most)
+    splits = f"CAST(least(ceil(_n / {rows_per_split}), 10000) AS INT) AS _splits"
+    return biggest.selectExpr(*key, splits)
 
 
 def lookup(
     rows: DataFrame,
     table: DataFrame,
-    key: str,
+    key: str | list[str],
     how: str = "inner",
-    rows_per_split: int = 5_000_000,
-    most_hot_keys: int = 1_000,
-    counted: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` that is unique on ``key``.
 
     A table below the session's broadcast threshold is broadcast. A larger one
     is shuffled, with the rows of hot keys spread over several splits and the
     matching table row repeated once per split, so that no task gets all rows
-    of one key. Hot keys are then counted in a pass over the key column of
-    ``counted``, a stored table that ``rows`` is derived from, or of ``rows``
-    itself. ``how`` may be inner, left, left_semi or left_anti.
+    of one key. ``hot`` names those keys; by default they are counted in a pass
+    over the key of ``rows``, which should then be a stored table. ``how`` may
+    be inner, left, left_semi or left_anti.
     """
-    limit = broadcast_limit(table)
-    if 0 <= planned_bytes(table) <= limit:
+    key = [key] if isinstance(key, str) else key
+    if fits_broadcast(table):
         return rows.join(F.broadcast(table), key, how)
 
-    source = rows if counted is None else counted
-    hot = F.broadcast(hot_keys(source, key, rows_per_split, most_hot_keys))
-    others = [c for c in rows.columns if c != key]
-    spread: Column = F.pmod(F.xxhash64(*others), F.col("_splits")) if others else F.lit(0)
+    hot = F.broadcast(hot_keys(rows, key) if hot is None else hot)
+    others = [c for c in rows.columns if c not in key]
+    spread = f"pmod(xxhash64({', '.join(f'`{c}`' for c in others)}), _splits)" if others else "0"
     split_rows = (
         rows.join(hot, key, "left")
-        .withColumn("_split", F.coalesce(spread, F.lit(0)).cast("int"))
+        .withColumn("_split", F.expr(f"CAST(coalesce({spread}, 0) AS INT)"))
         .drop("_splits")
     )
-    last = F.coalesce(F.col("_splits"), F.lit(1)) - 1
     split_table = (
         table.join(hot, key, "left")
-        .withColumn("_split", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("_split", F.expr("explode(sequence(0, coalesce(_splits, 1) - 1))"))
         .drop("_splits")
     )
-    return split_rows.join(split_table, [key, "_split"], how).drop("_split")
+    return split_rows.join(split_table, [*key, "_split"], how).drop("_split")

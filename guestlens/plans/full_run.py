@@ -7,10 +7,9 @@ from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from guestlens.operators.quality import row_rules
-from guestlens.operators.rows import keep_first
+from guestlens.operators.rows import fits_broadcast, keep_first
 from guestlens.plans import kpis, staging
 from guestlens.schemas import TABLES
 from guestlens.sources.delimited import read_delimited, require_inputs
@@ -65,6 +64,12 @@ def full_run(
     def save(name: str, df: DataFrame) -> DataFrame:
         return enforce(name, house.stage(name, df, version))
 
+    def store(name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate result, so that nothing before it runs again."""
+        folder = house.work_folder(version, name)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
     def save_unique(name: str, df: DataFrame) -> DataFrame:
         """Text keys may collide when a part holds a ``|``: keep one row."""
         key = list(TABLES[name].key)
@@ -85,6 +90,9 @@ def full_run(
         work = house.work_folder(version, "reviews")
         raw = read_delimited(spark, reviews, multi_line=multi_line)
         cleaned = staging.clean_reviews(raw)
+        if not fits_broadcast(staging.known_ids(lodgings)):
+            # The lookup then reads its rows twice, which must not parse twice.
+            cleaned = store("cleaned_reviews", cleaned)
         marked = staging.mark_known(cleaned, lodgings)
         marked.write.partitionBy("known").parquet(work)
         checked = spark.read.schema(marked.schema).parquet(work)
@@ -96,22 +104,20 @@ def full_run(
 
     # The only pass over the reviews for all KPIs but the profile drivers.
     with _logged(house, run_id, STAGE_RATINGS) as stage:
-        folder = house.work_folder(version, "lodging_sums")
-        kpis.lodging_sums(loaded).write.parquet(folder)
-        sums = spark.read.parquet(folder)
+        sums = store("lodging_sums", kpis.lodging_sums(loaded))
         stage.processed = save("kpi_hostel_ratings", kpis.lodging_ratings(sums)).count()
 
     with _logged(house, run_id, STAGE_COVERAGE) as stage:
-        stage.processed = save("kpi_coverage", kpis.coverage(lodgings, loaded)).count()
+        stage.processed = save("kpi_coverage", kpis.coverage(lodgings, sums)).count()
 
     with _logged(house, run_id, STAGE_GROUPS) as stage:
         groups = save_unique("kpi_equivalent_groups", kpis.equivalent_groups(sums, lodgings))
         save("kpi_hostel_ranking", kpis.ranking(sums, lodgings))
-        save_unique("kpi_volume_vs_rating", kpis.volume_vs_rating(sums, lodgings))
+        save("kpi_volume_vs_rating", kpis.volume_vs_rating(sums, lodgings))
         stage.processed = groups.where("is_valid").count()
 
     with _logged(house, run_id, STAGE_DRIVERS) as stage:
-        drivers = save_unique("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
+        drivers = save("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
         profiles = kpis.profile_drivers(loaded, users, lodgings)
         save_unique("kpi_user_profile_drivers", profiles)
         stage.processed = drivers.count()

@@ -25,7 +25,7 @@ from guestlens.functions.stats import (
     strongest,
 )
 from guestlens.functions.text import text_key
-from guestlens.operators.rows import lookup
+from guestlens.operators.rows import hot_keys, lookup
 from guestlens.schemas import (
     DIMENSIONS,
     MIN_LODGINGS_VOLUME,
@@ -42,10 +42,13 @@ def _exprs(texts: list[str]) -> list:
     return [F.expr(t) for t in texts]
 
 
-def _rated(reviews: DataFrame, *keep: str) -> DataFrame:
-    """Reviews with an overall rating; ratings as hundredths."""
-    ratings = [f"{hundredths(f'rating_{d}')} AS {d}" for d in ["overall", *DIMENSIONS]]
-    return reviews.where("rating_overall IS NOT NULL").selectExpr(*keep, *ratings)
+def _ratings(reviews: DataFrame, *keep: str) -> DataFrame:
+    """Ratings as hundredths; a review without an overall rating has none."""
+    dimensions = [
+        f"CASE WHEN rating_overall IS NOT NULL THEN {hundredths(f'rating_{d}')} END AS {d}"
+        for d in DIMENSIONS
+    ]
+    return reviews.selectExpr(*keep, f"{hundredths('rating_overall')} AS overall", *dimensions)
 
 
 _DIMENSION_SUMS = [text for d in DIMENSIONS for text in pair_sums(d, "overall")]
@@ -53,20 +56,22 @@ _MERGED_SUMS = [text for d in DIMENSIONS for text in merged_pair_sums(d)]
 
 
 def lodging_sums(reviews: DataFrame) -> DataFrame:
-    """One row per lodging with at least one rated review."""
+    """One row per lodging with any review; ``review_count`` and all sums are
+    over its rated reviews only."""
     overall = [
-        "count(*) AS review_count",
+        "count(overall) AS review_count",
         "sum(overall) AS overall_sum",
         "sum(CAST(overall AS DOUBLE) * overall) AS overall_squares",
     ]
-    rated = _rated(reviews, "id_hostel")
-    return rated.groupBy("id_hostel").agg(*_exprs(overall + _DIMENSION_SUMS))
+    ratings = _ratings(reviews, "id_hostel")
+    return ratings.groupBy("id_hostel").agg(*_exprs(overall + _DIMENSION_SUMS))
 
 
 def coverage(lodgings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Lodgings in all, lodgings with any review, and their share in percent.
 
-    The share is null when there are no lodgings.
+    ``reviews`` may also be ``lodging_sums``, which names the same lodgings. The
+    share is null when there are no lodgings.
     """
     total = lodgings.agg(F.count("*")).scalar()
     counted = reviews.agg(
@@ -81,7 +86,7 @@ def lodging_ratings(sums: DataFrame) -> DataFrame:
     """Review count, seven averages and the deviation of the overall rating."""
     means = {"overall": _MEAN} | {d: rounded_mean(f"{d}_x", f"{d}_n") for d in DIMENSIONS}
     deviation = sample_deviation("review_count", "overall_sum", "overall_squares")
-    return sums.selectExpr(
+    return sums.where("review_count > 0").selectExpr(
         "id_hostel",
         "review_count",
         *[f"{from_hundredths(mean)} AS avg_{name}" for name, mean in means.items()],
@@ -90,8 +95,9 @@ def lodging_ratings(sums: DataFrame) -> DataFrame:
 
 
 def _with_lodging(sums: DataFrame, lodgings: DataFrame, *columns: str) -> DataFrame:
-    """Both sides have one row per lodging, so there is no skew to handle."""
-    return sums.join(lodgings.select("id_hostel", *columns), "id_hostel")
+    """Rated lodgings. Both sides have one row per lodging, so no key is hot."""
+    rated = sums.where("review_count > 0")
+    return rated.join(lodgings.select("id_hostel", *columns), "id_hostel")
 
 
 def equivalent_groups(
@@ -142,8 +148,8 @@ def ranking(
     A lodging's rank is one more than the number of lodgings with a higher
     average, so it is worked out once per distinct average. The window then
     sees at most as many rows per group as there are two-decimal averages,
-    however many lodgings the group has. Ranks go back to the lodgings by an
-    equi-join on group and average.
+    however many lodgings the group has. Ranks go back to the lodgings by group
+    and average, a key that very many lodgings may share.
     """
     wide = _with_lodging(sums, lodgings, *_GROUP).selectExpr(
         "id_hostel", *_GROUP, "review_count", "overall_sum", f"{_MEAN} AS mean"
@@ -164,7 +170,9 @@ def ranking(
     ).where(f"group_reviews >= {min_reviews}")
     group_mean = rounded_mean("group_total", "group_reviews")
     placed = ranked.selectExpr(*_GROUP, "mean", "rank_in_group", f"mean - ({group_mean}) AS deviation")
-    return wide.join(placed, [*_GROUP, "mean"]).selectExpr(
+    step = [*_GROUP, "mean"]
+    shared = hot_keys(steps, step, count="sum(lodgings)")
+    return lookup(wide, placed, step, hot=shared).selectExpr(
         "id_hostel",
         f"{_CITY_KEY} AS group_key",
         f"{from_hundredths('mean')} AS avg_overall",
@@ -238,9 +246,9 @@ def profile_drivers(
     segment = ["trip_code", "gender_code", "age_range", "hostel_type"]
     types = lodgings.selectExpr("id_hostel", "type AS hostel_type")
     profiles = users.select("id_user", *segment[:3]).na.drop("any", subset=segment[:3])
-    rated = _rated(reviews, "id_hostel", "id_user")
-    typed = lookup(rated, types, "id_hostel", counted=reviews)
-    wide = lookup(typed, profiles, "id_user", counted=reviews)
+    rated = reviews.where("rating_overall IS NOT NULL")
+    typed = lookup(_ratings(rated, "id_hostel", "id_user"), types, "id_hostel")
+    wide = lookup(typed, profiles, "id_user", hot=hot_keys(rated, ["id_user"]))
     groups = wide.groupBy(*segment).agg(*_exprs(["count(*) AS sample_size", *_DIMENSION_SUMS]))
     return _with_drivers(groups, default_first).selectExpr(
         *segment,

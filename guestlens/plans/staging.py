@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from guestlens.functions.text import flag, lenient_decimal, literal, whole_number
 from guestlens.operators.rows import keep_first, lookup
@@ -73,11 +72,15 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
     return keep_first(typed, ["id_review"], ROW_ORDER)
 
 
+def known_ids(lodgings: DataFrame) -> DataFrame:
+    return lodgings.selectExpr("id_hostel", "true AS known")
+
+
 def mark_known(reviews: DataFrame, lodgings: DataFrame) -> DataFrame:
     """Add ``known``: whether the review's lodging exists. One join serves both
     the reviews to load and the orphans to set aside."""
-    ids = lodgings.select("id_hostel", F.lit(True).alias("known"))
-    return lookup(reviews, ids, "id_hostel", "left").fillna({"known": False})
+    marked = lookup(reviews, known_ids(lodgings), "id_hostel", "left")
+    return marked.fillna({"known": False})
 
 
 def clean_users(reviews: DataFrame) -> DataFrame:

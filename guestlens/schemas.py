@@ -1,7 +1,8 @@
 """Warehouse tables: column types, keys, limits and parent links.
 
 Everything the loader, the quality rules and the cascade need to know about a
-table is declared here once, so no other module repeats column lists.
+table is declared here once, so no other module repeats column lists. Counts
+and ranks are ``bigint``, so that one lodging may have more than 2^31 reviews.
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ _ALL = [
     Table(
         "kpi_coverage",
         {
-            "total_hostels": "int", "hostels_with_reviews": "int", "coverage_pct": _RATING,
+            "total_hostels": "bigint", "hostels_with_reviews": "bigint", "coverage_pct": _RATING,
             "calculated_at": "timestamp_ntz",
         },
         required=("total_hostels", "hostels_with_reviews", "coverage_pct"),
@@ -122,7 +123,7 @@ _ALL = [
     Table(
         "kpi_hostel_ratings",
         {
-            "id_hostel": "int", "review_count": "int",
+            "id_hostel": "int", "review_count": "bigint",
             **_each([f"avg_{d}" for d in ["overall", *DIMENSIONS]], _AVERAGE),
             "stddev_overall": _AVERAGE, "calculated_at": "timestamp_ntz",
         },
@@ -135,8 +136,8 @@ _ALL = [
         "kpi_equivalent_groups",
         {
             "group_key": "string", "group_level": "string", "star_rating": "int",
-            "hostel_type": "string", "location": "string", "hostel_count": "int",
-            "review_count": "int", "avg_overall_group": _AVERAGE, "is_valid": "boolean",
+            "hostel_type": "string", "location": "string", "hostel_count": "bigint",
+            "review_count": "bigint", "avg_overall_group": _AVERAGE, "is_valid": "boolean",
             "calculated_at": "timestamp_ntz",
         },
         key=("group_key",),
@@ -149,7 +150,7 @@ _ALL = [
         "kpi_hostel_ranking",
         {
             "id_hostel": "int", "group_key": "string", "avg_overall": _AVERAGE,
-            "rank_in_group": "int", "deviation_from_group": _AVERAGE, "review_count": "int",
+            "rank_in_group": "bigint", "deviation_from_group": _AVERAGE, "review_count": "bigint",
             "calculated_at": "timestamp_ntz",
         },
         key=("id_hostel",),
@@ -162,7 +163,7 @@ _ALL = [
     Table(
         "kpi_volume_vs_rating",
         {
-            "group_key": "string", "pearson_r": _CORRELATION, "sample_size": "int",
+            "group_key": "string", "pearson_r": _CORRELATION, "sample_size": "bigint",
             "calculated_at": "timestamp_ntz",
         },
         key=("group_key",),
@@ -173,7 +174,7 @@ _ALL = [
     Table(
         "kpi_global_drivers",
         {
-            "group_key": "string", **_CORRELATIONS, "top_driver": "string", "sample_size": "int",
+            "group_key": "string", **_CORRELATIONS, "top_driver": "string", "sample_size": "bigint",
             "calculated_at": "timestamp_ntz",
         },
         key=("group_key",),
@@ -187,7 +188,7 @@ _ALL = [
         {
             "trip_code": "string", "gender_code": "string", "age_range": "string",
             "hostel_type": "string", "segment_key": "string", **_CORRELATIONS,
-            "top_driver": "string", "sample_size": "int", "is_valid": "boolean",
+            "top_driver": "string", "sample_size": "bigint", "is_valid": "boolean",
             "calculated_at": "timestamp_ntz",
         },
         key=("segment_key",),
@@ -199,7 +200,7 @@ _ALL = [
         "pipeline_run_log",
         {
             "dag_run_id": "string", "stage": "string", "status": "string",
-            "records_processed": "int", "records_excluded": "int", "exclusion_reason": "string",
+            "records_processed": "bigint", "records_excluded": "bigint", "exclusion_reason": "string",
             "started_at": "timestamp_ntz", "finished_at": "timestamp_ntz",
         },
         required=("dag_run_id", "stage", "status"),

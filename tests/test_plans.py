@@ -38,8 +38,9 @@ def test_only_needed_columns_are_read(spark):
 
 def test_filters_reach_the_scan(spark, tmp_path):
     star.reviews(spark, FOLDER).write.parquet(str(tmp_path / "r"))
-    sums = kpis.lodging_sums(spark.read.parquet(str(tmp_path / "r")))
-    assert "PushedFilters: [IsNotNull(rating_overall)]" in plan(sums)
+    reviews = spark.read.parquet(str(tmp_path / "r"))
+    drivers = kpis.profile_drivers(reviews, star.users(spark, FOLDER), star.lodging_types(spark, FOLDER))
+    assert "PushedFilters: [IsNotNull(rating_overall)" in plan(drivers)
 
 
 def test_reviews_are_shuffled_once_for_the_groups(spark, tmp_path):

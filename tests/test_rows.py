@@ -25,7 +25,7 @@ def test_lookup_equals_a_plain_join(spark, how, limit):
     try:
         rows = skewed(spark)
         expected = sorted(map(str, rows.join(table(spark), "key", how).collect()))
-        found = lookup(rows, table(spark), "key", how, rows_per_split=100, most_hot_keys=5)
+        found = lookup(rows, table(spark), "key", how, hot=hot_keys(rows, ["key"], 100, 5))
         assert found.columns == rows.join(table(spark), "key", how).columns
         assert sorted(map(str, found.collect())) == expected
     finally:
@@ -36,7 +36,8 @@ def test_hot_key_is_split_over_many_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        found = lookup(skewed(spark), table(spark), "key", rows_per_split=100, most_hot_keys=5)
+        rows = skewed(spark)
+        found = lookup(rows, table(spark), "key", hot=hot_keys(rows, ["key"], 100, 5))
         sizes = found.where("key = 0").groupBy(F.spark_partition_id().alias("p")).count()
         assert len(sizes.collect()) > 4
     finally:
@@ -45,7 +46,7 @@ def test_hot_key_is_split_over_many_tasks(spark):
 
 
 def test_hot_keys_are_the_biggest(spark):
-    hot = {r.key: r._splits for r in hot_keys(skewed(spark), "key", 500, 10).collect()}
+    hot = {r.key: r._splits for r in hot_keys(skewed(spark), ["key"], 500, 10).collect()}
     assert set(hot) == {0, 1}
     assert hot[0] == 5  # 2,062 rows: a third, and every 97th of the rest
 
