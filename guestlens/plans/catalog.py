@@ -433,6 +433,7 @@ _MEASURES = {
     "kpi_volume_vs_rating": ("group_key", ["pearson_r", "sample_size"], []),
     "kpi_global_drivers": ("group_key", [*[f"corr_{d}" for d in DIMENSIONS], "sample_size"], ["top_driver"]),
     "kpi_user_profile_drivers": ("segment_key", [*[f"corr_{d}" for d in DIMENSIONS], "sample_size", "is_valid"], ["top_driver"]),
+    "pipeline_run_log": ("stage", ["records_processed", "records_excluded"], ["status", "exclusion_reason"]),
 }
 
 

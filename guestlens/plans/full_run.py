@@ -49,7 +49,12 @@ def full_run(
     Readers see the new tables only once all of them are written. Every stage
     leaves a row in the run log, a failed one too. Reviews whose lodging is
     unknown are kept in the run's work folder.
+
+    Needs ANSI mode, Spark's default: without it a number that does not fit its
+    column would become null instead of stopping the load.
     """
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled to true")
     house = Warehouse(spark, root)
     version = house.new_version()
 
@@ -129,7 +134,7 @@ def full_run(
 @contextmanager
 def _logged(house: Warehouse, run_id: str, name: str):
     stage = _Stage()
-    started = datetime.now(timezone.utc).replace(tzinfo=None)
+    started = datetime.now(timezone.utc)
     try:
         yield stage
     except Exception as e:

@@ -189,13 +189,29 @@ PROFILE_DRIVERS = _drivers(
 )
 
 
+# Rows of each stage: those it loaded, set aside, or found valid.
+RUN_LOG = """
+SELECT stage, records_processed, records_excluded, 'success' AS status, exclusion_reason
+FROM (VALUES
+  ('verificar_archivos', 0, 0, NULL),
+  ('cargar_staging_hostels', (SELECT count(*) FROM stg_hostels), 0, NULL),
+  ('cargar_staging_reviews', (SELECT count(*) FROM stg_reviews),
+   (SELECT count(*) FROM first_rows) - (SELECT count(*) FROM stg_reviews), 'hostel_no_encontrado_en_detail'),
+  ('calcular_kpi_cobertura', 1, 0, NULL),
+  ('calcular_kpi_ratings', (SELECT count(*) FROM kpi_hostel_ratings), 0, NULL),
+  ('calcular_kpi_grupos_y_rankings', (SELECT count(*) FROM kpi_equivalent_groups WHERE is_valid), 0, NULL),
+  ('calcular_kpi_drivers', (SELECT count(*) FROM kpi_global_drivers), 0, NULL)
+) log(stage, records_processed, records_excluded, exclusion_reason)
+"""
+
+
 def tidy(tables: dict[str, str]) -> str:
-    """Every measure of every KPI table as one row, from the files."""
+    """Every measure of every KPI table and of the run log as one row."""
     texts = {
         "kpi_coverage": COVERAGE, "kpi_hostel_ratings": RATINGS,
         "kpi_equivalent_groups": GROUPS, "kpi_hostel_ranking": RANKING,
         "kpi_volume_vs_rating": VOLUME, "kpi_global_drivers": GROUP_DRIVERS,
-        "kpi_user_profile_drivers": PROFILE_DRIVERS,
+        "kpi_user_profile_drivers": PROFILE_DRIVERS, "pipeline_run_log": RUN_LOG,
     }
     parts = []
     for name, (key, measures, words) in tables.items():

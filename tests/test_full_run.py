@@ -48,6 +48,36 @@ def test_small_run_and_rerun(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM kpi_equivalent_groups WHERE NOT is_valid").first()[0] == 2
 
 
+def test_shuffled_lookups_give_the_same_tables(spark, tmp_path):
+    """With broadcasts off, rows are stored before the lookup and keys may be split."""
+    details, reviews, root = files(tmp_path)
+    house = full_run(spark, details, reviews, root, "broadcast")
+    names = [n for n, t in TABLES.items() if t.stamp]
+    before = {n: content(house, n) for n in names}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        full_run(spark, details, reviews, root, "shuffled")
+        assert {n: content(house, n) for n in names} == before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_lodgings_break_a_rule(spark, tmp_path):
+    """The share of nothing is null, and the table does not take a null."""
+    details, reviews, root = files(tmp_path, details=DETAILS.splitlines()[0] + "\n")
+    with pytest.raises(BrokenRule, match="coverage_pct"):
+        full_run(spark, details, reviews, root, "run")
+
+
+def test_ansi_mode_is_required(spark, tmp_path):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            full_run(spark, *files(tmp_path), "run")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_types_are_the_declared_ones(spark, tmp_path):
     house = full_run(spark, *files(tmp_path), "run")
     for name, table in TABLES.items():
