@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from guestlens.operators.quality import row_rules
@@ -101,8 +103,12 @@ def full_run(
         marked = staging.mark_known(cleaned, lodgings)
         marked.write.partitionBy("known").parquet(work)
         checked = spark.read.schema(marked.schema).parquet(work)
-        users = save("stg_users", staging.clean_users(checked.where("known")))
-        loaded = save("stg_reviews", checked.where("known"))
+        known = checked.where("known")
+        users, loaded = _together(
+            spark,
+            lambda: save("stg_users", staging.clean_users(known)),
+            lambda: save("stg_reviews", known),
+        )
         stage.processed = loaded.count()
         stage.excluded = checked.where("NOT known").count()
         stage.reason = ORPHAN_REASON
@@ -112,23 +118,36 @@ def full_run(
         sums = store("lodging_sums", kpis.lodging_sums(loaded))
         stage.processed = save("kpi_hostel_ratings", kpis.lodging_ratings(sums)).count()
 
-    with _logged(house, run_id, STAGE_COVERAGE) as stage:
-        stage.processed = save("kpi_coverage", kpis.coverage(lodgings, sums)).count()
-
-    with _logged(house, run_id, STAGE_GROUPS) as stage:
-        groups = save_unique("kpi_equivalent_groups", kpis.equivalent_groups(sums, lodgings))
-        save("kpi_hostel_ranking", kpis.ranking(sums, lodgings))
-        save("kpi_volume_vs_rating", kpis.volume_vs_rating(sums, lodgings))
-        stage.processed = groups.where("is_valid").count()
+    def coverage() -> None:
+        with _logged(house, run_id, STAGE_COVERAGE) as stage:
+            stage.processed = save("kpi_coverage", kpis.coverage(lodgings, sums)).count()
+
+    def groups() -> None:
+        with _logged(house, run_id, STAGE_GROUPS) as stage:
+            found = save_unique("kpi_equivalent_groups", kpis.equivalent_groups(sums, lodgings))
+            save("kpi_hostel_ranking", kpis.ranking(sums, lodgings))
+            save("kpi_volume_vs_rating", kpis.volume_vs_rating(sums, lodgings))
+            stage.processed = found.where("is_valid").count()
+
+    def drivers() -> None:
+        with _logged(house, run_id, STAGE_DRIVERS) as stage:
+            profiles = kpis.profile_drivers(loaded, users, lodgings)
+            save_unique("kpi_user_profile_drivers", profiles)
+            found = save("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
+            stage.processed = found.count()
+
+    _together(spark, coverage, groups, drivers)
+    house.publish([n for n, t in TABLES.items() if t.stamp], version)
+    return house
 
-    with _logged(house, run_id, STAGE_DRIVERS) as stage:
-        drivers = save("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
-        profiles = kpis.profile_drivers(loaded, users, lodgings)
-        save_unique("kpi_user_profile_drivers", profiles)
-        stage.processed = drivers.count()
-        house.publish([n for n, t in TABLES.items() if t.stamp], version)
 
-    return house
+def _together(spark: SparkSession, *jobs: Callable) -> list:
+    """Run independent jobs at the same time, so that small ones fill the gaps
+    of large ones. Waits for all; then the first error, if any, is raised."""
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(in_session(job)) for job in jobs]
+    return [r.result() for r in running]
 
 
 @contextmanager
