@@ -18,7 +18,7 @@ from guestlens.operators import quality
 from guestlens.operators.rows import insert_if_absent, keep_first, lookup
 from guestlens.plans import kpis, oracle, staging, star
 from guestlens.plans.full_run import full_run
-from guestlens.schemas import DIMENSIONS, NULL_TOKENS, TABLES
+from guestlens.schemas import DIMENSIONS, NULL_TOKENS
 from guestlens.sources.delimited import read_delimited
 from guestlens.sources.warehouse import Warehouse
 

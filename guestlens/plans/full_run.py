@@ -162,6 +162,7 @@ def _logged(house: Warehouse, run_id: str, name: str):
     house.log(run_id, name, "success", stage.processed, stage.excluded, stage.reason, started)
 
 
-def orphans(house: Warehouse, version: str) -> DataFrame:
-    """Reviews of one run that were set aside because their lodging is unknown."""
-    return house.spark.read.parquet(house.work_folder(version, "reviews")).where("NOT known")
+def orphans(house: Warehouse) -> DataFrame:
+    """Reviews the latest run set aside because their lodging is unknown."""
+    work = house.work_folder(house.version("stg_reviews"), "reviews")
+    return house.spark.read.parquet(work).where("NOT known")

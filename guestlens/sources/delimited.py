@@ -60,6 +60,8 @@ def read_delimited(
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
+        # Every file's header is compared with the first one's.
+        .option("enforceSchema", False)
         # A pruned parse would not see surplus fields.
         .option("columnPruning", False)
     )

@@ -88,6 +88,11 @@ class Warehouse:
             return self._empty(name)
         return self._load(name, row.folder)
 
+    def version(self, name: str) -> str | None:
+        """The version a published table is in."""
+        row = self._current().get(name)
+        return row.folder.rsplit("/", 1)[1] if row and row.folder else None
+
     def register_views(self) -> None:
         """Make every table a temporary view, for plain SQL over the warehouse."""
         for name in TABLES:

@@ -83,3 +83,11 @@ def test_all_missing_inputs_are_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError) as e:
         require_inputs(spark, [str(tmp_path / "no1.csv"), present, str(tmp_path / "no2.csv")])
     assert "no1.csv" in str(e.value) and "no2.csv" in str(e.value) and "here.csv" not in str(e.value)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_with_other_headers_are_refused(spark, tmp_path, multi_line):
+    write(tmp_path, "part-0.csv", "a;b\n1;2\n")
+    write(tmp_path, "part-1.csv", "b;a\n1;2\n")
+    with pytest.raises(Exception, match="does not conform"):
+        read_delimited(spark, str(tmp_path), multi_line=multi_line).collect()

@@ -1,6 +1,6 @@
 import pytest
 
-from guestlens.plans.full_run import BrokenRule, full_run
+from guestlens.plans.full_run import BrokenRule, full_run, orphans
 from guestlens.schemas import TABLES
 from guestlens.sources.warehouse import Warehouse
 from tests.test_staging import DETAILS, HEADER, REVIEWS, review
@@ -38,6 +38,8 @@ def test_small_run_and_rerun(spark, tmp_path):
     assert (staged.records_processed, staged.records_excluded) == (2, 1)
     assert staged.exclusion_reason == "hostel_no_encontrado_en_detail"
 
+    assert [(r.id_review, r.id_hostel) for r in orphans(house).collect()] == [(11, 9)]
+
     names = [n for n, t in TABLES.items() if t.stamp]
     before = {n: content(house, n) for n in names}
     full_run(spark, details, reviews, root, "run 2")
