@@ -280,7 +280,7 @@ def distinct_counts(spark, folder):
 @query(
     "SELECT o_custkey, count(*) AS n, "
     "CAST(ROUND(CAST(avg(o_totalprice) AS DECIMAL(28,8)), 2) AS DOUBLE) AS mean, "
-    "CAST(ROUND(CAST(stddev_samp(o_totalprice) AS DECIMAL(28,6)), 2) AS DOUBLE) AS deviation "
+    "CAST(ROUND(CAST(stddev_samp(o_totalprice) AS DECIMAL(28,10)), 2) AS DOUBLE) AS deviation "
     "FROM orders GROUP BY o_custkey"
 )
 def sample_stddev(spark, folder):
