@@ -8,13 +8,11 @@ safety rating, so nulls occur in every group.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from guestlens.sources.shared import shared_folder
 
 _SCHEMAS: dict[str, StructType] = {}
 
@@ -86,19 +84,6 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 # -- the same data as dirty delimited files ------------------------------------
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster names for checkpoints.
-
-    Only a local session without that setting gets a folder on this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="guestlens-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def write_details_file(spark: SparkSession, folder: str) -> str:
     """customer as a details file: null tokens, quoted separators, decimals in
     whole-number columns, mixed flags, and a second copy of some rows."""
