@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestlens.llm import mixing, quality, secrets
+from guestlens.llm import bitpack, language, mixing, neardups, neighbours, packing, quality, secrets, substrings, wordpieces
 from guestlens.llm.tables import documents
+from guestlens.sources.shared import shared_folder
+
+#: What ends a document's ids in op2 and op7.
+END_ID = 1
+
+
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file; the package has it on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +28,26 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc.doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op2_pack_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-ids")
+    shards = bitpack.write_shards(documents(spark, sf_dir), folder, tokenizer_file("word_bpe_49k.json"), END_ID)
+    return bitpack.read_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_remove_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.without_repeats(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op4_count_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpieces.token_counts(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return neighbours.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(documents(spark, sf_dir))
     return rows.select(
@@ -25,6 +56,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), END_ID)
+
+
+def op8_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = language.train(docs.where(fold != 0))
+    rows = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text")
+    return language.predicted(rows, model, ["doc_id", "held_out"])
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = neardups.near_duplicates(documents(spark, sf_dir), size=3, percent=85)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.scanned(documents(spark, sf_dir))
     count = lambda name: F.size(F.filter("base", lambda x: x["kind"] == secrets.KINDS.index(name))).cast("long")
@@ -38,7 +86,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_pack_token_ids": op2_pack_token_ids,
+    "op3_remove_repeated_passages": op3_remove_repeated_passages,
+    "op4_count_word_pieces": op4_count_word_pieces,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_quality_rules": op6_quality_rules,
+    "op7_pack_sequences": op7_pack_sequences,
+    "op8_identify_language": op8_identify_language,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_secret_scan": op10_secret_scan,
 }
 
