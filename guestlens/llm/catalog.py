@@ -7,21 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestlens.llm import bitpack, language, mixing, neardups, neighbours, packing, quality, secrets, substrings, wordpieces
+import corpus_pipeline
+from guestlens.llm import bitpack, language, mixing, neardups, neighbours, oracle, packing, quality, secrets, substrings, wordpieces
 from guestlens.llm.tables import documents
+from guestlens.llm.tokens import END_ID, tokenizer_file
 from guestlens.sources.shared import shared_folder
 
-#: What ends a document's ids in op2 and op7.
-END_ID = 1
-
-
-def tokenizer_file(name: str) -> str:
-    """A public tokenizer's file; the package has it on every machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.sampled_mix(documents(spark, sf_dir))
     taken = F.col("size") * F.col("copies")
@@ -95,6 +86,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_identify_language": op8_identify_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mix_sources": oracle.MIX,
+    "op3_remove_repeated_passages": oracle.PASSAGES,
+    "op6_quality_rules": oracle.QUALITY,
+    "op9_near_duplicates": oracle.NEAR_DUPLICATES,
+    "op10_secret_scan": oracle.SECRETS,
+}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -274,11 +274,12 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept: one row per document.
+    """doc_id, text_hash, n_shingles, root, component_id, kept: a row per document.
 
     Sets are of `size`-word shingles; a text of fewer words is one shingle.
     Documents are linked if 100 * shared >= percent * united. component_id is the
-    smallest doc_id reachable, kept tells whether it is the document's own.
+    smallest doc_id reachable, kept tells whether it is the document's own; root
+    names the component, and is null for a text without words.
 
     Defined cases: texts without words are linked with nothing, and kept; among
     rows of equal doc_id all are kept if one is; a null doc_id is never the
@@ -312,7 +313,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     names = classes.select("class", "doc_id").join(roots, F.col("class") == F.col("node"), "left")
     names = names.select("class", "doc_id", F.coalesce("root", "class").alias("root"))
     smallest = names.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = names.join(smallest, "root").select(F.col("class").alias("its_class"), "component_id")
+    labels = names.join(smallest, "root").select(F.col("class").alias("its_class"), "root", "component_id")
     out = rows.join(labels, F.col("class") == F.col("its_class"), "left")
     out = out.withColumn("component_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", "root", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_per_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, with one row of each component.
+
+    That is the row of the smallest doc_id, null last; of rows that repeat, one.
+    Texts without words all stay.
+    """
+    found = near_duplicates(docs, size, percent)
+    identity = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    firsts = found.where("root is not null").groupBy("root").agg(F.min(identity).alias("first"), F.count("*").alias("n"))
+    # A row repeats only within its component; where that has one row, nothing does.
+    firsts = firsts.select("first.doc_id", "first.text_hash", (F.col("n") > 1).alias("among"))
+    bare = found.where("root is null").select("doc_id", "text_hash", F.lit(False).alias("among")).distinct()
+    stay = firsts.unionByName(bare).select(F.col("doc_id").alias("its_id"), F.col("text_hash").alias("its_hash"), "among")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_hash") == F.col("its_hash"))
+    rows = stored(rows.join(stored(stay, "stay"), same).select("doc", "doc_id", "text_hash", "among"), "one-per-group")
+    alone = rows.where("not among").select("doc.*")
+    return alone.unionByName(rows.where("among").dropDuplicates(["doc_id", "text_hash"]).select("doc.*"))

@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+#: What ends a document's ids in the registered queries.
+END_ID = 1
 #: Words remembered per worker before it starts anew, and words per library call.
 REMEMBERED = 300_000
 TOGETHER = 512
@@ -22,6 +24,13 @@ _PROBE = "Aa bb, it's\n don't\t12 3rd  (x) co-op é ÉÉ. \x0b ß\x0c\r\nend"
 _MARKS = bytes(c for c in string.punctuation.encode() if c not in b"'")
 
 
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file; the package that has it is on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class Encoder:
     """Ids as bytes: little-endian unsigned 32-bit integers."""
 

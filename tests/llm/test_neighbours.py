@@ -1,0 +1,94 @@
+"""Nearest neighbours: exact at factor one, recall at the production factor."""
+
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from guestlens.llm import neighbours
+from guestlens.llm.catalog import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, extra string"
+
+
+def table(spark, vectors):
+    return spark.createDataFrame([(i, None if v is None else [float(x) if x is not None else None for x in v], "x") for i, v in vectors], SCHEMA)
+
+
+def exact(vectors, k=20):
+    usable = {
+        (i, tuple(float(np.float32(x)) for x in v))
+        for i, v in vectors
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+    }
+    out = []
+    for q, x in usable:
+        if q % 20 == 0:
+            scores = sorted((-math.fsum(a * b for a, b in zip(x, y)), i) for i, y in usable if i != q and len(y) == len(x))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def queried(rows, **more):
+    found = neighbours.nearest(rows.select("vec_id", "embedding"), rows.where("vec_id % 20 = 0"), **more)
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect())
+
+
+def test_ties_duplicates_and_unusable_vectors(spark):
+    rng = np.random.default_rng(0)
+    vectors = [(i, rng.integers(-2, 3, 6).tolist()) for i in range(300)]  # many equal, many tied
+    vectors += [(400 + i, [1, 1, 1, 1, 1, 1]) for i in range(60)]
+    vectors += [(500, None), (520, [0] * 6), (540, [1, None, 0, 0, 0, 0]), (560, [1, math.nan, 0, 0, 0, 0]), (580, [math.inf] * 6)]
+    vectors += [(None, [1, 2, 3, 4, 5, 6]), (600, []), (620, [-0.0, 1, 0, 0, 0, 0]), (620, [-0.0, 1, 0, 0, 0, 0]), (640, [1, 2, 3])]
+    assert queried(table(spark, vectors), factor=1) == exact(vectors)
+
+
+def test_few_and_no_candidates(spark):
+    vectors = [(0, [1, 0]), (1, [0, 1]), (2, [1, 1])]
+    assert queried(table(spark, vectors)) == exact(vectors)
+    assert queried(table(spark, [(20, [1, 2])])) == []
+    assert queried(table(spark, [])) == []
+
+
+def test_factor_one_is_exact_over_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 300)
+    monkeypatch.setattr(neighbours, "QUERIES", 17)
+    monkeypatch.setattr(neighbours, "LEAF", 16)
+    rng = np.random.default_rng(1)
+    vectors = [(i, (rng.normal(size=8) * rng.uniform(0.2, 3)).tolist()) for i in range(1500)]
+    found, wanted = queried(table(spark, vectors), factor=1), exact(vectors)
+    assert [f[:3] for f in found] == [w[:3] for w in wanted]
+    assert [f[3] for f in found] == pytest.approx([w[3] for w in wanted], abs=1e-12)
+
+
+def test_a_small_factor_leaves_more_out():
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(4000, 6))
+    longest = float(np.sqrt((vectors**2).sum(axis=1)).max())
+    points = np.concatenate([vectors, np.sqrt(np.maximum(0, longest**2 - (vectors**2).sum(axis=1)))[:, None]], axis=1)
+    queries = rng.normal(size=(50, 6))
+    true = np.argsort(-(queries @ vectors.T), axis=1)[:, :10]
+    recall = {}
+    for factor in (1.0, 0.5, 0.2):
+        found = neighbours.search(neighbours.tree(points), vectors, points, longest, queries, 10, factor)
+        recall[factor] = np.mean([len(set(a) & set(b)) / 10 for a, b in zip(true.tolist(), found.place.tolist())])
+    assert recall[1.0] == 1 > recall[0.2]
+
+
+def test_recall_on_the_given_vectors(spark):
+    folder = "/root/testdata/sf0.1"
+    found = QUERIES["op5_nearest_neighbours"](spark, folder).collect()
+    rows = duckdb.sql(f"select vec_id, embedding from '{folder}/embeddings.parquet'").fetchall()
+    ids = np.array([r[0] for r in rows])
+    vectors = np.array([r[1] for r in rows], dtype=float)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        true = set(ids[np.argsort(-scores)[:20]].tolist())
+        own = [r for r in found if r.query_id == ids[q]]
+        assert [r["rank"] for r in sorted(own, key=lambda r: r["rank"])] == list(range(1, 21))
+        hits += len(true & {r.vec_id for r in own})
+        total += 20
+    assert hits >= 0.95 * total
