@@ -43,20 +43,21 @@ def fits_broadcast(table: DataFrame) -> bool:
 
 
 def hot_keys(
-    df: DataFrame,
-    key: list[str],
-    rows_per_split: int = 5_000_000,
-    most: int = 1_000,
-    count: str = "count(*)",
+    df: DataFrame, key: list[str], rows_per_split: int = 5_000_000, count: str = "count(*)"
 ) -> DataFrame:
-    """Keys with more than ``rows_per_split`` rows and into how many splits
-    their rows go. At most ``most`` keys, the biggest first: a key outside that
-    list cannot hold more than one part in ``most`` of all rows. ``count`` is
-    the aggregate that gives the number of rows of a key."""
+    """Keys with more than ``rows_per_split`` rows, and into how many splits
+    their rows go. ``count`` is the aggregate that gives the rows of a key.
+
+    Every such key is named, so there are fewer than rows / ``rows_per_split`` of
+    them: that bounds the list, which is broadcast, at any size of the input.
+    """
     counts = df.na.drop("any", subset=key).groupBy(*key).agg(F.expr(count).alias("_n"))
-    biggest = counts.where(f"_n > {rows_per_split}").orderBy(F.desc("_n"), *key).limit(most)
-    splits = f"CAST(least(ceil(_n / {rows_per_split}), 10000) AS INT) AS _splits"
-    return biggest.selectExpr(*key, splits)
+    splits = f"CAST(ceil(_n / {rows_per_split}) AS INT) AS _splits"
+    return counts.where(f"_n > {rows_per_split}").selectExpr(*key, splits)
+
+
+#: Names a row of a stored Parquet table that has no id of its own.
+STORED_ROW = ("_metadata.file_path", "_metadata.row_index")
 
 
 def lookup(
@@ -65,6 +66,7 @@ def lookup(
     key: str | list[str],
     how: str = "inner",
     hot: DataFrame | None = None,
+    row_id: str | tuple[str, ...] = STORED_ROW,
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` that is unique on ``key``.
 
@@ -72,20 +74,27 @@ def lookup(
     is shuffled, with the rows of hot keys spread over several splits and the
     matching table row repeated once per split, so that no task gets all rows
     of one key. ``hot`` names those keys; by default they are counted in a pass
-    over the key of ``rows``, which should then be a stored table. ``how`` may
-    be inner, left, left_semi or left_anti.
+    over the key of ``rows``, which should then be a stored table.
+
+    ``row_id`` names what tells rows of one key apart, and is all that is read
+    beside the columns asked for. Rows with a null in the key match nothing; a
+    left or left_anti join keeps them, spread in the same way. ``how`` may be
+    inner, left, left_semi or left_anti.
     """
     key = [key] if isinstance(key, str) else key
     if fits_broadcast(table):
         return rows.join(F.broadcast(table), key, how)
 
+    row_id = (row_id,) if isinstance(row_id, str) else row_id
     hot = F.broadcast(hot_keys(rows, key) if hot is None else hot)
-    others = [c for c in rows.columns if c not in key]
-    spread = f"pmod(xxhash64({', '.join(f'`{c}`' for c in others)}), _splits)" if others else "0"
+    # Any split will do for a row without a key, as the table has none of those.
+    no_key = " OR ".join(f"`{k}` IS NULL" for k in key)
+    spread = f"xxhash64({', '.join(row_id)})"
     split_rows = (
-        rows.join(hot, key, "left")
-        .withColumn("_split", F.expr(f"CAST(coalesce({spread}, 0) AS INT)"))
-        .drop("_splits")
+        rows.withColumn("_spread", F.expr(spread))
+        .join(hot, key, "left")
+        .withColumn("_split", F.expr(f"CAST(CASE WHEN {no_key} THEN pmod(_spread, {2**30}) ELSE coalesce(pmod(_spread, _splits), 0) END AS INT)"))
+        .drop("_splits", "_spread")
     )
     split_table = (
         table.join(hot, key, "left")

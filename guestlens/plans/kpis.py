@@ -172,7 +172,7 @@ def ranking(
     placed = ranked.selectExpr(*_GROUP, "mean", "rank_in_group", f"mean - ({group_mean}) AS deviation")
     step = [*_GROUP, "mean"]
     shared = hot_keys(steps, step, count="sum(lodgings)")
-    return lookup(wide, placed, step, hot=shared).selectExpr(
+    return lookup(wide, placed, step, hot=shared, row_id="id_hostel").selectExpr(
         "id_hostel",
         f"{_CITY_KEY} AS group_key",
         f"{from_hundredths('mean')} AS avg_overall",
@@ -247,8 +247,10 @@ def profile_drivers(
     types = lodgings.selectExpr("id_hostel", "type AS hostel_type")
     profiles = users.select("id_user", *segment[:3]).na.drop("any", subset=segment[:3])
     rated = reviews.where("rating_overall IS NOT NULL")
-    typed = lookup(_ratings(rated, "id_hostel", "id_user"), types, "id_hostel")
-    wide = lookup(typed, profiles, "id_user", hot=hot_keys(rated, ["id_user"]))
+    # The review's id stays until after both lookups, as it tells equal ratings apart.
+    ratings = _ratings(rated, "id_review", "id_hostel", "id_user")
+    typed = lookup(ratings, types, "id_hostel", hot=hot_keys(rated, ["id_hostel"]), row_id="id_review")
+    wide = lookup(typed, profiles, "id_user", hot=hot_keys(rated, ["id_user"]), row_id="id_review")
     groups = wide.groupBy(*segment).agg(*_exprs(["count(*) AS sample_size", *_DIMENSION_SUMS]))
     return _with_drivers(groups, default_first).selectExpr(
         *segment,

@@ -79,7 +79,7 @@ def known_ids(lodgings: DataFrame) -> DataFrame:
 def mark_known(reviews: DataFrame, lodgings: DataFrame) -> DataFrame:
     """Add ``known``: whether the review's lodging exists. One join serves both
     the reviews to load and the orphans to set aside."""
-    marked = lookup(reviews, known_ids(lodgings), "id_hostel", "left")
+    marked = lookup(reviews, known_ids(lodgings), "id_hostel", "left", row_id="id_review")
     return marked.fillna({"known": False})
 
 

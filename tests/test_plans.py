@@ -66,10 +66,20 @@ def test_keep_first_reduces_before_the_shuffle(spark):
 def test_small_tables_are_broadcast_and_large_ones_are_not(spark):
     orders, customers = star.table(spark, FOLDER, "orders"), star.table(spark, FOLDER, "customer")
     customers = customers.withColumnRenamed("c_custkey", "o_custkey")
-    assert "BroadcastHashJoin" in plan(lookup(orders, customers, "o_custkey"))
+    assert "BroadcastHashJoin" in plan(lookup(orders, customers, "o_custkey", row_id="o_orderkey"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
     try:
-        text = plan(lookup(orders, customers, "o_custkey"))
+        text = plan(lookup(orders, customers, "o_custkey", row_id="o_orderkey"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in text and "TakeOrderedAndProject" in text
+    assert "SortMergeJoin" in text and "Limit" not in text
+
+
+def test_a_shuffled_lookup_reads_only_what_it_needs(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(catalog.QUERIES["orphan_counts"](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = set(re.findall(r"ReadSchema: struct<(.*)>", text))
+    assert {s for s in scans if "o_" in s} == {"o_custkey:bigint"}

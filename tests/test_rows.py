@@ -18,35 +18,81 @@ def table(spark):
     return spark.range(60).selectExpr("id AS key", "concat('name ', id) AS name")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("limit", ["10m", "-1"])
-def test_lookup_equals_a_plain_join(spark, how, limit):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    try:
-        rows = skewed(spark)
-        expected = sorted(map(str, rows.join(table(spark), "key", how).collect()))
-        found = lookup(rows, table(spark), "key", how, hot=hot_keys(rows, ["key"], 100, 5))
-        assert found.columns == rows.join(table(spark), "key", how).columns
-        assert sorted(map(str, found.collect())) == expected
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_hot_key_is_split_over_many_tasks(spark):
+HOWS = ["inner", "left", "left_semi", "left_anti"]
+
+
+@pytest.fixture(params=["10m", "-1"])
+def threshold(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def shuffled(spark):
+    """No broadcasts and no adaptive execution: what a split key must do by itself."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        rows = skewed(spark)
-        found = lookup(rows, table(spark), "key", hot=hot_keys(rows, ["key"], 100, 5))
-        sizes = found.where("key = 0").groupBy(F.spark_partition_id().alias("p")).count()
-        assert len(sizes.collect()) > 4
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-
-
-def test_hot_keys_are_the_biggest(spark):
-    hot = {r.key: r._splits for r in hot_keys(skewed(spark), ["key"], 500, 10).collect()}
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_lookup_equals_a_plain_join(spark, how, threshold):
+    rows = skewed(spark)
+    expected = sorted(map(str, rows.join(table(spark), "key", how).collect()))
+    found = lookup(rows, table(spark), "key", how, hot=hot_keys(rows, ["key"], 100), row_id="row")
+    assert found.columns == rows.join(table(spark), "key", how).columns
+    assert sorted(map(str, found.collect())) == expected
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_equal_rows_maps_and_stored_rows(spark, how, threshold, tmp_path):
+    """Rows without an id, a third of them equal, with a column that has no hash."""
+    rows = skewed(spark).selectExpr("key", "map(key % 2 = 0, 1) AS m").where("key IS NOT NULL")
+    rows.unionByName(spark.sql("SELECT CAST(null AS BIGINT) AS key, map(true, 1) AS m")).write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    expected = sorted(map(str, stored.join(table(spark), "key", how).collect()))
+    found = lookup(stored, table(spark), "key", how, hot=hot_keys(stored, ["key"], 100))
+    assert sorted(map(str, found.collect())) == expected
+
+
+def sizes(df, where):
+    return sorted(r["count"] for r in df.where(where).groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_hot_key_is_split_over_many_tasks(spark, shuffled):
+    rows = skewed(spark)
+    found = lookup(rows, table(spark), "key", hot=hot_keys(rows, ["key"], 100), row_id="row")
+    assert len(sizes(found, "key = 0")) > 4
+
+
+def test_equal_rows_of_a_hot_key_are_split(spark, shuffled, tmp_path):
+    spark.range(6_000).selectExpr("0L AS key", "1 AS v").write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    found = lookup(stored, table(spark), "key", hot=hot_keys(stored, ["key"], 100))
+    assert len(sizes(found, "true")) > 4 and found.count() == 6_000
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_a_key_are_spread(spark, shuffled, how):
+    rows = spark.range(9_000).selectExpr("id AS row", "CASE WHEN id % 3 > 0 THEN id % 50 END AS key")
+    found = lookup(rows, table(spark), "key", how, hot=hot_keys(rows, ["key"]), row_id="row")
+    per_task = sizes(found, "key IS NULL")
+    assert sum(per_task) == 3_000 and len(per_task) == 8 and per_task[-1] < 2 * per_task[0]
+
+
+def test_every_hot_key_is_split(spark, shuffled):
+    rows = spark.range(30_000).selectExpr("id AS row", "id % 1500 AS key")
+    many = spark.range(1_500).selectExpr("id AS key", "id AS name")
+    hot = hot_keys(rows, ["key"], 10)
+    assert hot.count() == 1_500 and {r._splits for r in hot.collect()} == {2}
+    assert lookup(rows, many, "key", hot=hot, row_id="row").count() == 30_000
+
+
+def test_hot_keys_are_those_above_the_limit(spark):
+    hot = {r.key: r._splits for r in hot_keys(skewed(spark), ["key"], 500).collect()}
     assert set(hot) == {0, 1}
     assert hot[0] == 5  # 2,062 rows: a third, and every 97th of the rest
 
@@ -75,5 +121,5 @@ def test_insert_if_absent(spark):
 
 def test_semi_and_anti_add_up(spark):
     rows = skewed(spark)
-    parts = [lookup(rows, table(spark), "key", how).count() for how in ("left_semi", "left_anti")]
+    parts = [lookup(rows, table(spark), "key", how, row_id="row").count() for how in ("left_semi", "left_anti")]
     assert sum(parts) == rows.count()
