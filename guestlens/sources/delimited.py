@@ -7,6 +7,9 @@ are padded with null, null tokens become null, and file order is kept.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +34,19 @@ def require_inputs(spark: SparkSession, paths: list[str]) -> None:
         raise FileNotFoundError(f"input files not found: {missing}")
 
 
-def has_broken_lines(spark: SparkSession, path: str) -> bool:
-    """Whether any line has an odd number of quotes, so that a quoted field may
-    run on into the next line. Stops at the first such line."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes.bitwiseAND(1) == 1).isEmpty()
+def _quoted(sep: str) -> str:
+    """Pattern of a whole quoted field. Only a quote that starts a field opens
+    one; any other quote is a character like the rest."""
+    return rf'(^|{re.escape(sep)})"(?:[^"]|"")*"(?={re.escape(sep)}|$)'
+
+
+def files_with_open_quotes(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
+    """Files with a line that ends inside a quoted field, which therefore runs
+    on into the next line. The list grows with such files, not with all files."""
+    bare = F.regexp_replace("value", _quoted(sep), "$1")
+    lines = spark.read.text(path).where(bare.rlike(rf'(^|{re.escape(sep)})"'))
+    files = lines.select(F.col("_metadata.file_path").alias("file")).distinct()
+    return sorted(r.file for r in files.collect())
 
 
 def read_delimited(
@@ -47,17 +58,15 @@ def read_delimited(
 
     ``multi_line`` says whether quoted fields may hold line breaks. Spark then
     reads each file in one task, since it cannot know where a split begins. By
-    default the text is checked first, and files are split unless a line with
-    an open quote is found, which keeps one huge file parallel.
+    default that is done for those files alone in which a quoted field is still
+    open at the end of a line, which takes one more pass over the text; all
+    other files are split.
     """
-    if multi_line is None:
-        multi_line = has_broken_lines(spark, path)
     reader = (
         spark.read.option("sep", sep)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         # Every file's header is compared with the first one's.
@@ -65,22 +74,34 @@ def read_delimited(
         # A pruned parse would not see surplus fields.
         .option("columnPruning", False)
     )
-    names = reader.csv(path).columns
+    names = reader.option("multiLine", False).csv(path).columns
     schema = ", ".join(f"`{n}` string" for n in [*names, _CORRUPT])
-    raw = reader.schema(schema).csv(path)
-
+    reader = reader.schema(schema)
     # Directly after the scan: ids rise with the position inside one split, and
     # file and split start put the splits in order.
-    place = [F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
-    if len(raw.inputFiles()) > 1:
-        place.insert(0, F.col("_metadata.file_path"))
-    ordered = raw.select("*", F.struct(*place).alias(ROW_ORDER))
-
-    # Surplus separators outside quotes mark a row with too many fields. Spark
-    # refuses a scan of the corrupt column alone, as in a bare count, so the
-    # test also names a data column, of which it takes no characters.
+    place = F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("id")
+    )
+
+    def read(broken: bool, paths: str | list[str], without: list[str] = ()) -> DataFrame:
+        found = reader.option("multiLine", broken).csv(paths)
+        if without:
+            found = found.where(~F.col("_metadata.file_path").isin(without))
+        return found.select("*", place.alias(ROW_ORDER))
+
+    if multi_line is None:
+        broken = files_with_open_quotes(spark, path, sep)
+        ordered = read(False, path, broken)
+        if broken:
+            ordered = ordered.unionByName(read(True, [unquote(f) for f in broken]))
+    else:
+        ordered = read(multi_line, path)
+
+    # Surplus separators outside quoted fields mark a row with too many fields.
+    # Spark refuses a scan of the corrupt column alone, as in a bare count, so
+    # the test also names a data column, of which it takes no characters.
     record = f"concat_ws('', {_CORRUPT}, left(`{names[0]}`, 0))"
-    bare = f"regexp_replace({record}, '\"[^\"]*\"', '')"
+    bare = f"regexp_replace({record}, {literal(_quoted(sep))}, '$1')"
     separators = f"length({bare}) - length(replace({bare}, {literal(sep)}, ''))"
     kept = ordered.where(f"{_CORRUPT} IS NULL OR {separators} <= {len(names) - 1}")
     return kept.selectExpr(*[f"{null_tokens(f'`{n}`')} AS `{n}`" for n in names], ROW_ORDER)

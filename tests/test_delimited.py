@@ -1,6 +1,6 @@
 import pytest
 
-from guestlens.sources.delimited import ROW_ORDER, has_broken_lines, read_delimited, require_inputs
+from guestlens.sources.delimited import ROW_ORDER, files_with_open_quotes, read_delimited, require_inputs
 
 EDGE_ROWS = """id;name;type;score
 1;A;HOSTEL;8.5
@@ -51,9 +51,59 @@ def test_a_selection_of_columns_still_sees_bad_rows(spark, tmp_path):
 
 def test_line_break_in_quotes_is_found_and_read(spark, tmp_path):
     path = write(tmp_path, "broken.csv", 'a;b\n1;"x\ny"\n2;z\n')
-    assert has_broken_lines(spark, path)
+    assert [f.rsplit("/", 1)[1] for f in files_with_open_quotes(spark, path)] == ["broken.csv"]
     assert rows(read_delimited(spark, path)) == [("1", "x\ny"), ("2", "z")]
-    assert not has_broken_lines(spark, write(tmp_path, "whole.csv", 'a;b\n1;"x""y"\n'))
+    assert not files_with_open_quotes(spark, write(tmp_path, "whole.csv", 'a;b\n1;"x""y"\n'))
+
+
+STRAY = """a;b;c
+1;5" x;2;6" y
+2;5" x;y
+3;x";y
+4;"a;b";5" z;9
+5;"a ""q"" b";;
+6;"";"a;b"
+7;;"a";"b"
+"""
+
+
+@pytest.mark.parametrize("multi_line", [None, False])
+def test_only_a_quote_that_starts_a_field_opens_one(spark, tmp_path, multi_line):
+    path = write(tmp_path, "stray.csv", STRAY)
+    assert files_with_open_quotes(spark, path) == []
+    assert rows(read_delimited(spark, path, multi_line=multi_line)) == [
+        ("2", '5" x', "y"), ("3", 'x"', "y"), ("6", None, "a;b"),
+    ]
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_stray_quote_leaves_the_file_split(spark, tmp_path, small_splits):
+    body = "".join(f"{i};{'x' * 40}\n" for i in range(10_000))
+    clean = read_delimited(spark, write(tmp_path, "clean.csv", "n;pad\n" + body)).rdd.getNumPartitions()
+    stray = read_delimited(spark, write(tmp_path, "stray.csv", 'n;pad\n0;5" bed\n' + body))
+    assert stray.rdd.getNumPartitions() == clean > 3
+    assert rows(stray)[0] == ("0", '5" bed')
+
+
+def test_only_the_file_with_an_open_quote_is_read_whole(spark, tmp_path, small_splits):
+    folder = tmp_path / "a folder"
+    folder.mkdir()
+    body = "".join(f"{i};{'x' * 40}\n" for i in range(6_000))
+    write(folder, "part 0.csv", "n;pad\n" + body)
+    write(folder, "part 1.csv", 'n;pad\n7;"two\nlines"\n' + body)
+    write(folder, "part 2.csv", "n;pad\n" + body)
+    df = read_delimited(spark, str(folder))
+    assert df.rdd.getNumPartitions() > 4
+    numbers = [str(i) for i in range(6_000)]
+    assert [r[0] for r in rows(df)] == [*numbers, "7", *numbers, *numbers]
+    assert rows(df)[6_000] == ("7", "two\nlines")
 
 
 def test_order_runs_over_splits_and_files(spark, tmp_path):
