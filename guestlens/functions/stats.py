@@ -102,12 +102,11 @@ def strongest(correlations: dict[str, str], default_first: bool = True) -> str:
     the first listed wins a tie. Nulls never win; when all are null the first
     name is returned, or null with ``default_first=False``.
     """
-    names = ", ".join(f"'{n}'" for n in correlations)
-    sizes = [f"round(abs({r}), 10)" for r in correlations.values()]
-    best = f"greatest({', '.join(sizes)})"
-    known = ", ".join(f"coalesce({s}, -1D)" for s in sizes)
-    name = (
-        f"element_at(array({names}), "
-        f"CAST(array_position(array({known}), coalesce({best}, -1D)) AS INT))"
+    first = next(iter(correlations))
+    # Structs compare field by field, so the earlier of equal sizes is greater.
+    known = ", ".join(
+        f"CASE WHEN {r} IS NOT NULL THEN struct(round(abs({r}), 10) AS size, {-i} AS place, '{n}' AS name) END"
+        for i, (n, r) in enumerate(correlations.items())
     )
-    return name if default_first else f"CASE WHEN {best} IS NOT NULL THEN {name} END"
+    name = f"greatest({known}).name"
+    return f"coalesce({name}, '{first}')" if default_first else name

@@ -36,16 +36,26 @@ def row_rules(
     domains: dict[str, list] | None = None,
 ) -> DataFrame:
     """Missing values, over-long text, numbers out of range, unknown values."""
+    tests = row_tests(required, lengths, decimals, domains)
+    totals = df.agg(*[F.expr(f"count_if({t}) AS _{i}") for i, t in enumerate(tests.values())])
+    rows = [(rule, table, c, f"_{i}") for i, (rule, c) in enumerate(tests)]
+    return totals.selectExpr(_report(rows))
+
+
+def row_tests(
+    required: list[str] = (),
+    lengths: dict[str, int] | None = None,
+    decimals: dict[str, str] | None = None,
+    domains: dict[str, list] | None = None,
+) -> dict[tuple[str, str], str]:
+    """(rule, column): what holds for a row that breaks the rule, as SQL."""
     tests = {("required", c): f"{c} IS NULL" for c in required}
     tests |= {("length", c): f"length({c}) > {n}" for c, n in (lengths or {}).items()}
     tests |= {("precision", c): f"abs({c}) >= {_limit(kind)}" for c, kind in (decimals or {}).items()}
-    tests |= {
+    return tests | {
         ("domain", c): f"{c} NOT IN ({', '.join(_constant(v) for v in values)})"
         for c, values in (domains or {}).items()
     }
-    totals = df.agg(*[F.expr(f"count_if({t}) AS _{i}") for i, t in enumerate(tests.values())])
-    rows = [(rule, table, c, f"_{i}") for i, (rule, c) in enumerate(tests)]
-    return totals.selectExpr(_report(rows))
 
 
 def _limit(kind: str) -> Decimal:
@@ -62,8 +72,18 @@ def _constant(value) -> str:
 
 
 def unique_rule(df: DataFrame, table: str, key: list[str]) -> DataFrame:
-    """Rows beyond the first of each key; a key with a null is not compared."""
-    per_key = df.na.drop("any", subset=key).groupBy(*key).agg(F.count("*").alias("n"))
+    """Rows beyond the first of each key; a key with a null is not compared.
+
+    Texts are compared by hash and length, so that no long text is shuffled.
+    """
+    kinds = dict(df.dtypes)
+    parts = [
+        part
+        for c in key
+        for part in ([F.sha2(c, 256), F.length(c)] if kinds[c] == "string" else [F.col(c)])
+    ]
+    keys = df.na.drop("any", subset=key).select(*[p.alias(f"_{i}") for i, p in enumerate(parts)])
+    per_key = keys.groupBy(*keys.columns).agg(F.count("*").alias("n"))
     surplus = per_key.agg(F.expr("coalesce(sum(n - 1), 0) AS n"))
     return surplus.selectExpr(_report([("unique", table, ",".join(key), "n")]))
 

@@ -17,9 +17,10 @@ from guestlens.functions.text import flag, lenient_decimal, null_tokens, text_ke
 from guestlens.operators import quality
 from guestlens.operators.rows import insert_if_absent, keep_first, lookup
 from guestlens.plans import kpis, oracle, staging, star
-from guestlens.plans.full_run import full_run
-from guestlens.schemas import DIMENSIONS, NULL_TOKENS
+from guestlens.plans.full_run import full_run, report
+from guestlens.schemas import DIMENSIONS, NULL_TOKENS, TABLES
 from guestlens.sources.delimited import read_delimited
+from guestlens.sources.shared import shared_folder
 from guestlens.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,20 +216,25 @@ def coerce_numeric(spark, folder):
     return plain(events.selectExpr("event_id", f"{number} AS number"))
 
 
-_TOKEN_LIST = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+# The tokens in SQL, written out: the check must not share the list it checks.
+_TOKENS_SQL = """['', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
+  '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null']"""
 
 
 @query(
-    f"SELECT conv_id, turn, CASE WHEN word NOT IN ({_TOKEN_LIST}) THEN word END AS word FROM "
-    "(SELECT conv_id, turn, CASE role WHEN 'system' THEN 'n/a' WHEN 'user' THEN text "
+    f"SELECT conv_id, turn, CASE WHEN NOT list_contains({_TOKENS_SQL}, word) THEN word END AS word FROM "
+    f"(SELECT conv_id, turn, CASE role WHEN 'system' THEN {_TOKENS_SQL}[(conv_id + turn) % 19 + 1] "
+    f"WHEN 'user' THEN text WHEN 'assistant' THEN {_TOKENS_SQL}[conv_id % 19 + 1] || ' ' "
     "ELSE 'NA' || text END AS word FROM conversations)"
 )
 def null_tokens_in_text(spark, folder):
-    """Only a whole value counts as a token, not text that starts with one."""
+    """Every token is met; only a whole value counts, not text that holds one."""
     role = F.col("role")
+    tokens = F.array(*[F.lit(t) for t in sorted(NULL_TOKENS)])
     word = (
-        F.when(role == "system", "n/a")
+        F.when(role == "system", F.get(tokens, ((F.col("conv_id") + F.col("turn")) % 19).cast("int")))
         .when(role == "user", F.col("text"))
+        .when(role == "assistant", F.concat(F.get(tokens, (F.col("conv_id") % 19).cast("int")), F.lit(" ")))
         .otherwise(F.concat(F.lit("NA"), F.col("text")))
     )
     turns = star.table(spark, folder, "conversations").select("conv_id", "turn", word.alias("word"))
@@ -236,13 +242,15 @@ def null_tokens_in_text(spark, folder):
 
 
 @query(
-    "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) "
-    "UNION ALL SELECT doc_id, 'label' AS source FROM labels"
+    "SELECT doc_id, 'label' AS source FROM labels UNION ALL "
+    "SELECT doc_id // 3 AS doc_id, min(source) AS source FROM documents "
+    "WHERE source <> 'src3' AND doc_id // 3 NOT IN (SELECT doc_id FROM labels) GROUP BY 1"
 )
 def insert_if_absent_rows(spark, folder):
-    """Documents added to the labelled ones: existing rows stay as they are."""
+    """Three incoming rows per key, some without a key, many already there."""
     target = star.table(spark, folder, "labels").select("doc_id", F.lit("label").alias("source"))
-    incoming = star.table(spark, folder, "documents").select("doc_id", "source")
+    key = F.when(F.col("source") != "src3", F.floor(F.col("doc_id") / 3))
+    incoming = star.table(spark, folder, "documents").select(key.alias("doc_id"), "source")
     return target.unionByName(insert_if_absent(incoming, target, ["doc_id"], "source"))
 
 
@@ -321,6 +329,15 @@ _RULES = {
 }
 
 
+# Values taken out of the tables first, so that every rule meets nulls.
+_HOLES = {
+    "orders": {"o_orderdate": "o_orderkey % 7 = 0", "o_custkey": "o_orderkey % 11 = 0"},
+    "lineitem": {"l_shipdate": "l_partkey % 13 = 0", "l_linenumber": "l_suppkey % 5 = 0", "l_returnflag": "l_partkey % 3 = 0"},
+    "events": {"ts": "event_id % 10 = 0", "user_id": "event_id % 4 = 0", "value": "event_id % 6 = 0"},
+    "documents": {"text": "doc_id % 9 = 0", "lang": "doc_id % 2 = 0"},
+}
+
+
 def _rules_sql() -> str:
     def row(rule, table, column, count):
         return (
@@ -340,24 +357,33 @@ def _rules_sql() -> str:
             row("domain", t, c, f"SELECT count(*) FROM {t} WHERE {c} NOT IN ({', '.join(map(repr, v))})")
             for c, v in domains.items()
         ]
-        keys = ", ".join(key)
-        rows.append(row("unique", t, ",".join(key), f"SELECT (SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {t}))"))
+        keys, full = ", ".join(key), " AND ".join(f"{k} IS NOT NULL" for k in key)
+        rows.append(row("unique", t, ",".join(key), f"SELECT (SELECT count(*) FROM {t} WHERE {full}) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {t} WHERE {full}))"))
         rows += [
-            row("parent", t, c, f"SELECT count(*) FROM {t} WHERE {c} NOT IN (SELECT {pc} FROM {p})")
+            row("parent", t, c, f"SELECT count(*) FROM {t} WHERE {c} NOT IN (SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)")
             for c, (p, pc) in parents.items()
         ]
-    return " UNION ALL ".join(rows)
+    holes = ", ".join(
+        f"{t} AS (SELECT * REPLACE ({', '.join(f'CASE WHEN {test} THEN NULL ELSE {c} END AS {c}' for c, test in own.items())}) FROM main.{t})"
+        for t, own in _HOLES.items()
+    )
+    return f"WITH {holes} " + " UNION ALL ".join(rows)
+
+
+def _with_holes(spark, folder, name) -> DataFrame:
+    holes = {c: F.expr(f"CASE WHEN NOT ({test}) THEN {c} END") for c, test in _HOLES.get(name, {}).items()}
+    return star.table(spark, folder, name).withColumns(holes)
 
 
 @query(_rules_sql())
 def dq_report(spark, folder):
     parts = []
     for name, (required, key, lengths, decimals, domains, parents) in _RULES.items():
-        df = star.table(spark, folder, name)
+        df = _with_holes(spark, folder, name)
         parts.append(quality.row_rules(df, name, required, lengths, decimals, domains))
         parts.append(quality.unique_rule(df, name, key))
         for column, (parent, parent_column) in parents.items():
-            known = star.table(spark, folder, parent)
+            known = _with_holes(spark, folder, parent)
             parts.append(quality.parent_rule(df, name, column, known, parent_column))
     return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 
@@ -420,6 +446,19 @@ def ingest_users_file(spark, folder):
     return staging.clean_users(marked.where("known"))
 
 
+@query(
+    "SELECT CAST(id AS VARCHAR) AS id, CASE kind WHEN 0 THEN 'plain' WHEN 1 THEN 'short' WHEN 2 THEN '5\" bed' "
+    "WHEN 3 THEN 'two' || chr(10) || 'lines; ' || part ELSE 'a \"q\"; ' || part END AS name, "
+    "CASE WHEN kind <> 1 THEN CAST(part AS VARCHAR) END AS score "
+    "FROM (SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS part, l_partkey % 8 AS kind FROM lineitem) WHERE kind < 5"
+)
+def ingest_bad_rows(spark, folder):
+    """Order lines as a folder of files with short and surplus rows, a separator
+    at the end, stray quotes, quoted separators, and line breaks in some files."""
+    raw = read_delimited(spark, star.write_bad_rows(spark, folder))
+    return raw.select("id", "name", "score")
+
+
 # Per KPI table: row key, numeric measures, text measures.
 _MEASURES = {
     "kpi_coverage": ("'all'", ["total_hostels", "hostels_with_reviews", "coverage_pct"], []),
@@ -460,18 +499,41 @@ def full_run_from_files(spark, folder):
     """Files to published KPI tables, read back as one row per measure."""
     details = star.write_details_file(spark, folder)
     reviews = star.write_reviews_file(spark, folder)
-    house = full_run(spark, details, reviews, star.shared_folder(spark, "warehouse"), "catalog")
+    house = full_run(spark, details, reviews, shared_folder(spark, "warehouse"), "catalog")
     return _tidy(house)
 
 
+@query(oracle.run_report())
+def full_run_report(spark, folder):
+    """What the declared rules counted while the tables were written, and the
+    load times that were set."""
+    details = star.write_details_file(spark, folder)
+    reviews = star.write_reviews_file(spark, folder)
+    house = full_run(spark, details, reviews, shared_folder(spark, "warehouse"), "report")
+    stamps = [
+        house.read(n).agg(
+            F.lit(n).alias("table_name"),
+            F.lit("stamped").alias("rule"),
+            F.lit(t.stamp).alias("column_name"),
+            F.count(t.stamp).alias("violations"),
+        )
+        for n, t in TABLES.items()
+        if t.stamp
+    ]
+    return reduce(DataFrame.unionByName, [report(house), *stamps])
+
+
+_SUMMARY = "count(*) AS rows, CAST(sum({id}) AS BIGINT) AS ids, CAST(sum(length({text})) AS BIGINT) AS letters"
+
+
 @query(
-    "SELECT name AS table_name, rows FROM (VALUES "
-    "('stg_hostels', (SELECT count(*) FROM customer)), ('stg_users', (SELECT count(*) FROM part)), "
-    "('stg_reviews', CAST(0 AS BIGINT)), ('kpi_hostel_ratings', CAST(0 AS BIGINT))) t(name, rows)"
+    f"SELECT 'stg_hostels' AS table_name, {_SUMMARY.format(id='c_custkey', text='c_name')} FROM customer UNION ALL "
+    f"SELECT 'stg_users', {_SUMMARY.format(id='p_partkey', text='p_type')} FROM part UNION ALL "
+    "SELECT name, 0, NULL, NULL FROM (VALUES ('stg_reviews'), ('kpi_hostel_ratings')) t(name)"
 )
 def refresh_cascade(spark, folder):
     """Refreshing the lodgings again empties what refers to them, and only that."""
-    house = Warehouse(spark, star.shared_folder(spark, "warehouse"))
+    house = Warehouse(spark, shared_folder(spark, "warehouse"))
     lodgings = star.lodgings(spark, folder).withColumns(
         {"total_ratings": F.lit(0), "free_cancellation": F.lit(False)}
     )
@@ -479,13 +541,17 @@ def refresh_cascade(spark, folder):
         {"nationality_code": F.lit(None), "nationality_name": F.lit(None), "number_reviews": F.lit(None)}
     )
     reviews = star.reviews(spark, folder)
-    house.refresh("stg_hostels", lodgings)
+    house.refresh("stg_hostels", lodgings.withColumn("name", F.lit("old")))
     house.refresh("stg_users", users)
     staged = house.refresh("stg_reviews", reviews)
     house.refresh("kpi_hostel_ratings", kpis.lodging_ratings(kpis.lodging_sums(staged)))
     house.refresh("stg_hostels", lodgings)
-    names = ["stg_hostels", "stg_users", "stg_reviews", "kpi_hostel_ratings"]
-    counts = [
-        house.read(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("rows")) for n in names
+    shown = {
+        "stg_hostels": ("id_hostel", "name"), "stg_users": ("id_user", "trip_code"),
+        "stg_reviews": ("id_review", "id_hostel"), "kpi_hostel_ratings": ("id_hostel", "review_count"),
+    }
+    parts = [
+        house.read(n).selectExpr(f"'{n}' AS table_name", *_SUMMARY.format(id=i, text=t).split(", "))
+        for n, (i, t) in shown.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, parts)

@@ -8,10 +8,11 @@ from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from guestlens.operators.quality import row_rules
-from guestlens.operators.rows import fits_broadcast, keep_first
+from guestlens.operators.quality import row_tests
+from guestlens.operators.rows import keep_first
 from guestlens.plans import kpis, staging
 from guestlens.schemas import TABLES
 from guestlens.sources.delimited import read_delimited, require_inputs
@@ -28,6 +29,11 @@ STAGE_DRIVERS = "calcular_kpi_drivers"
 ORPHAN_REASON = "hostel_no_encontrado_en_detail"
 
 
+#: Rules that stop a run; unknown values of a domain are only reported.
+REJECTED = ("required", "length")
+ROWS = "rows"
+
+
 class BrokenRule(ValueError):
     """Staged or computed rows break a table's declared rules."""
 
@@ -45,12 +51,15 @@ def full_run(
     root: str,
     run_id: str,
     multi_line: bool | None = None,
+    keep: int = 2,
 ) -> Warehouse:
     """Load both files into the warehouse under ``root`` and refresh all KPIs.
 
     Readers see the new tables only once all of them are written. Every stage
     leaves a row in the run log, a failed one too. Reviews whose lodging is
-    unknown are kept in the run's work folder.
+    unknown are kept in the run's work folder, as is the count of every rule's
+    violations. The latest ``keep`` versions of each table stay; older and failed
+    ones are removed when a run has succeeded.
 
     Needs ANSI mode, Spark's default: without it a number that does not fit its
     column would become null instead of stopping the load.
@@ -60,16 +69,19 @@ def full_run(
     house = Warehouse(spark, root)
     version = house.new_version()
 
-    def enforce(name: str, df: DataFrame) -> DataFrame:
+    def save(name: str, df: DataFrame) -> DataFrame:
+        """Write a table; its rules and its rows are counted in the same pass."""
         table = TABLES[name]
-        report = row_rules(df, name, table.required, table.lengths)
-        broken = report.where("violations > 0").collect()  # one row per rule at most
+        tests = row_tests(table.required, table.lengths, domains=table.domains)
+        counts = {f"{rule} {column}": f"count_if({test})" for (rule, column), test in tests.items()}
+        saved = house.stage(name, df, version, {ROWS: "count(*)", **counts})
+        broken = {m: n for m, n in house.metrics[name].items() if n and m.split()[0] in REJECTED}
         if broken:
-            raise BrokenRule(str(broken))
-        return df
+            raise BrokenRule(f"{name}: {broken}")
+        return saved
 
-    def save(name: str, df: DataFrame) -> DataFrame:
-        return enforce(name, house.stage(name, df, version))
+    def rows_of(name: str) -> int:
+        return house.metrics[name][ROWS]
 
     def store(name: str, df: DataFrame) -> DataFrame:
         """Write an intermediate result, so that nothing before it runs again."""
@@ -90,18 +102,18 @@ def full_run(
         lodgings = save(
             "stg_hostels", staging.clean_lodgings(read_delimited(spark, details, multi_line=multi_line))
         )
-        stage.processed = lodgings.count()
+        stage.processed = rows_of("stg_hostels")
 
     with _logged(house, run_id, STAGE_REVIEWS) as stage:
+        # Parsed once: the lookup reads its rows twice when it splits keys.
+        raw = read_delimited(spark, reviews, multi_line=multi_line)
+        cleaned = store("cleaned_reviews", staging.clean_reviews(raw))
         # Written once: orphans, reviews and users all start from this table.
         work = house.work_folder(version, "reviews")
-        raw = read_delimited(spark, reviews, multi_line=multi_line)
-        cleaned = staging.clean_reviews(raw)
-        if not fits_broadcast(staging.known_ids(lodgings)):
-            # The lookup then reads its rows twice, which must not parse twice.
-            cleaned = store("cleaned_reviews", cleaned)
         marked = staging.mark_known(cleaned, lodgings)
-        marked.write.partitionBy("known").parquet(work)
+        seen = Observation("marked")
+        lost = F.count_if(~F.col("known")).alias("lost")
+        marked.observe(seen, lost).write.partitionBy("known").parquet(work)
         checked = spark.read.schema(marked.schema).parquet(work)
         known = checked.where("known")
         users, loaded = _together(
@@ -109,18 +121,20 @@ def full_run(
             lambda: save("stg_users", staging.clean_users(known)),
             lambda: save("stg_reviews", known),
         )
-        stage.processed = loaded.count()
-        stage.excluded = checked.where("NOT known").count()
+        stage.processed = rows_of("stg_reviews")
+        stage.excluded = seen.get["lost"]
         stage.reason = ORPHAN_REASON
 
     # The only pass over the reviews for all KPIs but the profile drivers.
     with _logged(house, run_id, STAGE_RATINGS) as stage:
         sums = store("lodging_sums", kpis.lodging_sums(loaded))
-        stage.processed = save("kpi_hostel_ratings", kpis.lodging_ratings(sums)).count()
+        save("kpi_hostel_ratings", kpis.lodging_ratings(sums))
+        stage.processed = rows_of("kpi_hostel_ratings")
 
     def coverage() -> None:
         with _logged(house, run_id, STAGE_COVERAGE) as stage:
-            stage.processed = save("kpi_coverage", kpis.coverage(lodgings, sums)).count()
+            save("kpi_coverage", kpis.coverage(lodgings, sums))
+            stage.processed = rows_of("kpi_coverage")
 
     def groups() -> None:
         with _logged(house, run_id, STAGE_GROUPS) as stage:
@@ -133,14 +147,31 @@ def full_run(
         with _logged(house, run_id, STAGE_DRIVERS) as stage:
             profiles = kpis.profile_drivers(loaded, users, lodgings)
             save_unique("kpi_user_profile_drivers", profiles)
-            found = save("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
-            stage.processed = found.count()
+            save("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
+            stage.processed = rows_of("kpi_global_drivers")
 
     _together(spark, coverage, groups, drivers)
+    _write_report(house, version)
     house.publish([n for n, t in TABLES.items() if t.stamp], version)
+    # Only the orphans of the run's work are looked at later.
+    house.drop_work(version, "cleaned_reviews", "lodging_sums")
+    house.expire(keep)
     return house
 
 
+def _write_report(house: Warehouse, version: str) -> None:
+    """Keep what the rules counted, next to the orphans of the run."""
+    found = [(t, *m.partition(" ")[::2], n) for t, counted in house.metrics.items() for m, n in counted.items()]
+    schema = "table_name string, rule string, column_name string, violations bigint"
+    rows = house.spark.createDataFrame([f for f in found if f[1] != ROWS], schema)
+    rows.coalesce(1).write.parquet(house.work_folder(version, "report"))  # one row per declared rule
+
+
+def report(house: Warehouse) -> DataFrame:
+    """Rows of the latest run that break a declared rule, per rule and column."""
+    return house.spark.read.parquet(house.work_folder(house.version("stg_reviews"), "report"))
+
+
 def _together(spark: SparkSession, *jobs: Callable) -> list:
     """Run independent jobs at the same time, so that small ones fill the gaps
     of large ones. Waits for all; then the first error, if any, is raised."""
@@ -153,13 +184,14 @@ def _together(spark: SparkSession, *jobs: Callable) -> list:
 @contextmanager
 def _logged(house: Warehouse, run_id: str, name: str):
     stage = _Stage()
-    started = datetime.now(timezone.utc)
+    record = {"dag_run_id": run_id, "stage": name, "started_at": datetime.now(timezone.utc)}
     try:
         yield stage
     except Exception as e:
-        house.log(run_id, name, "failed", reason=str(e)[:500], started_at=started)
+        house.log(record | {"status": "failed", "exclusion_reason": str(e)})
         raise
-    house.log(run_id, name, "success", stage.processed, stage.excluded, stage.reason, started)
+    counts = {"records_processed": stage.processed, "records_excluded": stage.excluded}
+    house.log(record | counts | {"status": "success", "exclusion_reason": stage.reason})
 
 
 def orphans(house: Warehouse) -> DataFrame:

@@ -153,6 +153,27 @@ def write_reviews_file(spark: SparkSession, folder: str) -> str:
     return _write_text(text, shared_folder(spark, "reviews"))
 
 
+def write_bad_rows(spark: SparkSession, folder: str) -> str:
+    """Order lines as text lines, good and bad ones, in eight files with a header
+    each. Line breaks in quotes are in every other file."""
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id", "l_partkey AS part", "l_partkey % 8 AS kind", "CAST(l_orderkey % 4 AS INT) AS file"
+    )
+    text = F.expr(
+        """CASE kind WHEN 0 THEN concat(id, ';plain;', part) WHEN 1 THEN concat(id, ';short')
+        WHEN 2 THEN concat(id, ';5" bed;', part) WHEN 3 THEN concat(id, ';"two\\nlines; ', part, '";', part)
+        WHEN 4 THEN concat(id, ';"a ""q""; ', part, '";', part) WHEN 5 THEN concat(id, ';surplus;', part, ';', part)
+        WHEN 6 THEN concat(id, ';at the end;', part, ';') ELSE concat(id, ';5" x;2;6" y') END"""
+    )
+    own_file = F.when(F.col("kind") == 3, 1).otherwise(0) + 2 * F.col("file")
+    rows = lines.select(own_file.alias("file"), F.lit(1).alias("place"), text.alias("value"))
+    heads = spark.range(8).selectExpr("CAST(id AS INT) AS file", "0 AS place", "'id;name;score' AS value")
+    path = shared_folder(spark, "bad-rows")
+    dealt = rows.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
+    dealt.select("file", "value").write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
 def _write_text(df: DataFrame, path: str) -> str:
     df.write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
     return path

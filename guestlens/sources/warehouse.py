@@ -11,7 +11,7 @@ import uuid
 from threading import Lock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens.schemas import TABLES, Table, dependants
@@ -43,6 +43,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         # Two appends to one folder must not commit at the same time.
         self._log_lock = Lock()
+        self.metrics: dict[str, dict[str, int]] = {}
 
     # -- whole-table refresh ------------------------------------------------
 
@@ -52,10 +53,22 @@ class Warehouse:
     def work_folder(self, version: str, name: str) -> str:
         return f"{self.root}/_work/{version}/{name}"
 
-    def stage(self, name: str, df: DataFrame, version: str) -> DataFrame:
-        """Write a table's new content and read it back; not yet visible."""
+    def stage(
+        self, name: str, df: DataFrame, version: str, metrics: dict[str, str] | None = None
+    ) -> DataFrame:
+        """Write a table's new content and read it back; not yet visible.
+
+        ``metrics`` are aggregates by name, taken in the same pass and left in
+        ``self.metrics[name]``.
+        """
         folder = self._folder(name, version)
-        conform(df, TABLES[name]).write.mode("errorifexists").parquet(folder)
+        rows = conform(df, TABLES[name])
+        if metrics:
+            observed = Observation(name)
+            rows = rows.observe(observed, *[F.expr(text).alias(m) for m, text in metrics.items()])
+        rows.write.mode("errorifexists").parquet(folder)
+        if metrics:
+            self.metrics[name] = observed.get
         return self._load(name, folder)
 
     def publish(self, names: list[str], version: str) -> None:
@@ -100,29 +113,71 @@ class Warehouse:
 
     # -- appends ------------------------------------------------------------
 
-    def log(
-        self,
-        run_id: str,
-        stage: str,
-        status: str,
-        processed: int = 0,
-        excluded: int = 0,
-        reason: str | None = None,
-        started_at=None,
-    ) -> None:
-        """Append one row to the run log. ``started_at`` defaults to now."""
-        now = F.current_timestamp().cast("timestamp_ntz")
-        started = F.lit(started_at).cast("timestamp_ntz") if started_at else now
-        values = {
-            "dag_run_id": F.lit(run_id), "stage": F.lit(stage), "status": F.lit(status),
-            "records_processed": F.lit(processed), "records_excluded": F.lit(excluded),
-            "exclusion_reason": F.lit(reason), "started_at": started, "finished_at": now,
-        }
-        row = self.spark.range(1).select(*[c.alias(n) for n, c in values.items()])
-        entry = conform(row, TABLES[RUN_LOG]).coalesce(1)
+    def log(self, record: dict) -> None:
+        """Append one row to the run log; ``record`` holds columns of that table.
+
+        Counts that are not given are zero, and times are now.
+        """
+        table = TABLES[RUN_LOG]
+        unknown = set(record) - set(table.columns)
+        if unknown:
+            raise ValueError(f"not columns of {RUN_LOG}: {sorted(unknown)}")
+        usual = {"bigint": F.lit(0), "timestamp_ntz": F.current_timestamp().cast("timestamp_ntz")}
+        columns = []
+        for name, kind in table.columns.items():
+            value = record.get(name)
+            columns.append((usual.get(kind, F.lit(None)) if value is None else F.lit(value)).alias(name))
+        entry = conform(self.spark.range(1).select(*columns), table).coalesce(1)
         with self._log_lock:
             entry.write.mode("append").parquet(f"{self.root}/{RUN_LOG}")
 
+    # -- freeing ------------------------------------------------------------
+
+    def drop_work(self, version: str, *names: str) -> None:
+        """Remove intermediate results of a version: those named, or all."""
+        for path in [self.work_folder(version, n) for n in names] or [f"{self.root}/_work/{version}"]:
+            self._remove(path)
+
+    def expire(self, keep: int = 2) -> None:
+        """Free what is not in one of the latest ``keep`` versions of its table.
+
+        Versions that were never published go too, so no run may be under way.
+        Only folders of declared tables and of work, below the root, are removed.
+        """
+        kept_work = set()
+        for name in (n for n, t in TABLES.items() if t.stamp):
+            kept = self._latest_versions(name, keep)
+            if name == "stg_reviews":
+                kept_work = kept
+            for version in self._children(f"{self.root}/{name}") - kept:
+                self._remove(f"{self.root}/{name}/{version}")
+        for version in self._children(f"{self.root}/_work") - kept_work:
+            self._remove(f"{self.root}/_work/{version}")
+
+    def _latest_versions(self, name: str, keep: int) -> set[str]:
+        """At most ``keep`` published versions, the newest first."""
+        try:
+            published = self.spark.read.schema(_PUBLISHED).parquet(f"{self.root}/_published")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return set()
+        own = published.where((F.col("table_name") == name) & F.col("folder").isNotNull())
+        latest = own.groupBy("folder").agg(F.max("publication").alias("n")).orderBy(F.desc("n")).limit(keep)
+        return {r.folder.rsplit("/", 1)[1] for r in latest.collect()}
+
+    def _path(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _children(self, folder: str) -> set[str]:
+        path, files = self._path(folder)
+        return {f.getPath().getName() for f in files.listStatus(path)} if files.exists(path) else set()
+
+    def _remove(self, folder: str) -> None:
+        path, files = self._path(folder)
+        files.delete(path, True)
+
     # -- internals ----------------------------------------------------------
 
     def _folder(self, name: str, version: str) -> str:
@@ -158,6 +213,7 @@ def save_jdbc(df: DataFrame, url: str, table: str, partitions: int = 16, **optio
 
     ``truncate`` keeps the table's own definition and constraints.
     """
-    writer = df.coalesce(partitions).write.format("jdbc").mode("overwrite")
+    # Not coalesce(): that would run the stage before on as few tasks.
+    writer = df.repartition(partitions).write.format("jdbc").mode("overwrite")
     settings = {"url": url, "dbtable": table, "truncate": "true", "batchsize": "10000", **options}
     writer.options(**settings).save()

@@ -1,6 +1,7 @@
 import pytest
 
-from guestlens.plans.full_run import BrokenRule, full_run, orphans
+from guestlens.operators.quality import row_tests
+from guestlens.plans.full_run import BrokenRule, full_run, orphans, report
 from guestlens.schemas import TABLES
 from guestlens.sources.warehouse import Warehouse
 from tests.test_staging import DETAILS, HEADER, REVIEWS, review
@@ -115,3 +116,38 @@ def test_files_may_be_folders_of_many_files(spark, tmp_path):
     house = full_run(spark, details, str(folder), root, "run")
     assert sorted((r.id_review, r.id_hostel) for r in house.read("stg_reviews").collect()) == [(10, 1), (12, 2)]
     assert house.read("stg_users").first().trip_code == "OTHER"
+
+
+def folders(root):
+    return {p.relative_to(root).as_posix() for p in root.rglob("*") if p.is_dir() and p.name not in ("known=true", "known=false")}
+
+
+def test_storage_stays_flat_over_ten_runs(spark, tmp_path):
+    details, reviews, root = files(tmp_path)
+    house = full_run(spark, details, reviews, root, "run 0")
+    reader = house.read("stg_reviews")  # a reader of what is then the current version
+    sizes = []
+    for i in range(1, 10):
+        if i == 5:
+            (tmp_path / "bad.csv").write_text(HEADER + review(1, 1, 1, "T" * 31))
+            with pytest.raises(BrokenRule):
+                full_run(spark, details, str(tmp_path / "bad.csv"), root, "bad")
+        full_run(spark, details, reviews, root, f"run {i}")
+        if i == 1:
+            assert reader.count() == 2
+        sizes.append(len(folders(tmp_path / "house")))
+    assert sizes[0] == sizes[-1] and max(sizes) == sizes[0]
+    assert house.read("kpi_coverage").count() == 1 and orphans(house).count() == 1
+    house.expire(keep=1)
+    assert len(folders(tmp_path / "house")) < sizes[0]
+    assert house.read("stg_reviews").count() == 2
+
+
+def test_the_report_counts_what_the_rules_found(spark, tmp_path):
+    odd = HEADER + review(10, 1, 100, "HOLIDAY") + review(11, 1, 101, "OTHER")
+    house = full_run(spark, *files(tmp_path, reviews=odd), "run")
+    found = {(r.table_name, r.rule, r.column_name): r.violations for r in report(house).collect()}
+    assert found["stg_users", "domain", "trip_code"] == 1
+    assert found["stg_hostels", "required", "name"] == found["stg_users", "length", "trip_code"] == 0
+    wanted = {(n, r, c) for n, t in TABLES.items() if t.stamp for r, c in row_tests(t.required, t.lengths, domains=t.domains)}
+    assert set(found) == wanted

@@ -80,8 +80,11 @@ def test_a_table_can_be_refreshed_from_itself(spark, tmp_path):
 def test_log_only_grows(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path))
     assert house.read("pipeline_run_log").count() == 0
-    house.log("run", "a", "success", 3, 1, "why")
-    house.log("run", "b", "failed")
+    whole = "why " * 1000
+    house.log({"dag_run_id": "run", "stage": "a", "status": "success", "records_processed": 3, "records_excluded": 1, "exclusion_reason": whole})
+    house.log({"dag_run_id": "run", "stage": "b", "status": "failed"})
+    with pytest.raises(ValueError, match="other"):
+        house.log({"other": 1})
     rows = {r.stage: r for r in house.read("pipeline_run_log").collect()}
-    assert (rows["a"].records_processed, rows["a"].records_excluded, rows["a"].exclusion_reason) == (3, 1, "why")
+    assert (rows["a"].records_processed, rows["a"].records_excluded, rows["a"].exclusion_reason) == (3, 1, whole)
     assert rows["b"].status == "failed" and rows["b"].started_at <= rows["b"].finished_at
