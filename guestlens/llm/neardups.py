@@ -16,12 +16,15 @@ sets:
 2. Within a bucket of a band, a task proposes a tree of the most similar sketches
    that joins all members similar enough to be linked. Trees are confirmed, and
    confirmed links make components.
-3. Where a bucket still holds more than one component, every pair across its
-   components whose sketches allow a link is confirmed as well. So no link that
-   the bands propose is lost, and pairs within a component are never made.
-
-Buckets beyond `TOGETHER` members are cut into blocks, and each pair of blocks is
-a task's group of its own, so a task never holds an unbounded bucket.
+3. The proposed trees also say which classes could be linked at all: those of one
+   cluster. Where a cluster still holds more than one component, the full sets of
+   its members are compared across components, and each comparison that joins two
+   ends them being two. So no link that the bands propose is lost, and pairs
+   within a component are never made.
+
+Buckets and clusters beyond `TOGETHER` members are cut into blocks, and each pair
+of blocks is a group of its own, so a task never holds an unbounded one. Blocks of
+a cluster's largest component are not paired with each other.
 """
 
 from __future__ import annotations
@@ -147,21 +150,23 @@ def buckets(classes: DataFrame) -> DataFrame:
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Members dealt to groups of bounded size: pairs of blocks of a bucket.
 
+    Needs key, class, n (members of the key) and alike (how many of them need no
+    comparison with each other), and whether the member is `bulk`, one of those.
     `side` is 0 and 1 for the two blocks of a pair, and 2 where they are one.
     """
-    blocks = F.ceil(F.col("n") / TOGETHER).cast("int")
-    own = F.pmod(F.xxhash64("class", "key"), F.col("blocks")).cast("int")
-    rows = members.withColumn("blocks", blocks).withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    few = F.ceil((F.col("n") - F.col("alike")) / TOGETHER).cast("int")
+    many = F.ceil(F.col("alike") / TOGETHER).cast("int")
+    place = F.xxhash64("class", "key")
+    together = F.col("n") <= TOGETHER
+    rows = members.withColumn("few", F.when(together, 1).otherwise(few)).withColumn("many", F.when(together, 0).otherwise(many))
+    own = F.when(F.col("bulk") & ~together, F.col("few") + F.pmod(place, F.col("many"))).otherwise(F.pmod(place, F.col("few")))
+    rows = rows.withColumn("own", own.cast("int"))
+    others = F.when(F.col("own") < F.col("few"), F.col("few") + F.col("many")).otherwise(F.col("few"))
+    rows = rows.withColumn("others", others).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    return rows.select(
-        F.concat(
-            "key", F.encode(F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")), "utf-8")
-        ).alias("group"),
-        "class",
-        side.alias("side"),
-        *[c for c in rows.columns if c not in ("key", "class", "n", "blocks", "own", "other")],
-    )
+    pair = F.encode(F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")), "utf-8")
+    used = ("key", "class", "n", "alike", "bulk", "few", "many", "own", "others", "other")
+    return rows.select(F.concat("key", pair).alias("group"), "class", side.alias("side"), *[c for c in rows.columns if c not in used])
 
 
 def _per_group(rows: DataFrame, work: Callable[[list[dict]], list[tuple[bytes, bytes]]]) -> DataFrame:
@@ -171,7 +176,7 @@ def _per_group(rows: DataFrame, work: Callable[[list[dict]], list[tuple[bytes, b
         group: list[dict] = []
         for batch in batches:
             found = []
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if group and row["group"] != group[0]["group"]:
                     found += work(group)
                     group = []
@@ -185,6 +190,18 @@ def _per_group(rows: DataFrame, work: Callable[[list[dict]], list[tuple[bytes, b
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def _rows(batch: pa.RecordBatch) -> list[dict]:
+    """The rows of a batch, with lists of numbers as numpy views."""
+    columns = {}
+    for name, column in zip(batch.schema.names, batch.columns):
+        if pa.types.is_list(column.type):
+            ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+            columns[name] = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        else:
+            columns[name] = column.to_pylist()
+    return [dict(zip(columns, row)) for row in zip(*columns.values())]
+
+
 def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     found = [(min(p), max(p)) for p in found]
     return pa.RecordBatch.from_arrays(
@@ -228,17 +245,38 @@ def _tree(least: int) -> Callable[[list[dict]], list[tuple[bytes, bytes]]]:
     return work
 
 
-def _across(least: int) -> Callable[[list[dict]], list[tuple[bytes, bytes]]]:
-    """All pairs of different components that agree in `least` coordinates."""
+def _across(least: int, percent: int) -> Callable[[list[dict]], list[tuple[bytes, bytes]]]:
+    """Confirmed links that join the components of a group, on full sets.
+
+    Each member is compared with those of other components that agree in `least`
+    coordinates. Components joined count as one from then on.
+    """
 
     def work(group: list[dict]) -> list[tuple[bytes, bytes]]:
         names, sides, marks, place = _agreements(group)
         _, root = np.unique([r["root"] for r in group], return_inverse=True)
+        if root.max() == 0:
+            return []
+        sizes = np.array([len(r["shingles"]) for r in group])
+        _, items = np.unique(np.concatenate([r["shingles"] for r in group]), return_inverse=True)
+        ends = np.cumsum(sizes)
+        own = [items[e - n : e] for e, n in zip(ends, sizes)]
+        has = np.zeros(int(items.max()) + 1, dtype=np.int64)
         found = []
-        for k in range(len(group) - 1):
-            other = place[k + 1 :][(root[k + 1 :] != root[k]) & ((sides[k + 1 :] != sides[k]) | (sides[k] == 2))]
+        # Members of small components first: they have most to be compared with.
+        for k in np.argsort(np.bincount(root)[root], kind="stable").tolist():
+            other = place[(root != root[k]) & ((sides != sides[k]) | (sides[k] == 2))]
             other = other[(marks[other] == marks[k]).sum(axis=1) >= least]
-            found += [(names[k], names[j]) for j in other.tolist()]
+            if not len(other):
+                continue
+            has[own[k]] = 1
+            starts = np.cumsum([0, *sizes[other][:-1]])
+            shared = np.add.reduceat(has[np.concatenate([own[j] for j in other.tolist()])], starts)
+            has[own[k]] = 0
+            for j in other[100 * shared >= percent * (sizes[other] + sizes[k] - shared)].tolist():
+                if root[j] != root[k]:
+                    found.append((names[k], names[j]))
+                    root[root == root[j]] = root[k]
         return found
 
     return work
@@ -296,17 +334,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     p = percent / 100
     least = int(COORDINATES * p - MARGIN * (COORDINATES * p * (1 - p)) ** 0.5)
     marks = wanted.select("class", "sketch")
-    sketched = stored(members.join(marks, "class"), "bucket-sketches")
-    tried = stored(_per_group(_in_blocks(sketched), _tree(least)), "tree-pairs")
+    whole = members.withColumn("alike", F.lit(0)).withColumn("bulk", F.lit(False))
+    tried = stored(_per_group(_in_blocks(whole.join(marks, "class")), _tree(least)), "tree-pairs")
     links = stored(confirmed(tried, sets, percent), "tree-links")
     roots = components(links).select(F.col("node").alias("class"), "root")
 
-    # Buckets that still hold several components, by sums before the shuffle.
-    labelled = sketched.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    several = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    open_ = labelled.join(several.select("key"), "key")
-    rest = _per_group(_in_blocks(open_), _across(least)).join(tried, ["a", "b"], "left_anti")
-    more = stored(confirmed(rest, sets, percent), "other-links")
+    # Clusters that still hold several components, by sums before the shuffle.
+    clusters = components(tried).select(F.col("node").alias("class"), F.col("root").alias("key"))
+    labelled = clusters.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    labelled = stored(labelled, "clusters")
+    parts = labelled.groupBy("key", "root").agg(F.count("*").alias("n"))
+    several = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")
+    )
+    several = several.where("parts > 1").select("key", "n", F.col("top.n").alias("alike"), F.col("top.root").alias("top"))
+    open_ = labelled.join(several, "key").withColumn("bulk", F.col("root") == F.col("top")).drop("top")
+    open_ = open_.join(marks, "class").join(sets, "class")
+    more = stored(_per_group(_in_blocks(open_), _across(least, percent)), "other-links")
     links = links.unionByName(more)
     roots = stored(components(links), "components") if not more.isEmpty() else roots.withColumnRenamed("class", "node")
 

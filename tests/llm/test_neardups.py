@@ -98,9 +98,12 @@ def test_trees_join_all_that_is_similar_in_a_bucket():
 
 def test_pairs_of_blocks_compare_across_only():
     sketch = np.zeros(128, "<u2").tobytes()
-    group = [{"class": bytes([k]), "side": k % 2, "sketch": sketch, "root": bytes([k])} for k in range(6)]
-    assert all((a[0] - b[0]) % 2 for a, b in neardups._tree(100)(group))
-    assert len(neardups._across(100)(group)) == 9
+    one = np.array([1, 2], dtype=np.int64)
+    group = [{"class": bytes([k]), "side": k % 2, "sketch": sketch, "root": bytes([k]), "shingles": one} for k in range(6)]
+    for found in (neardups._tree(100)(group), neardups._across(100, 85)(group)):
+        assert len(found) == 5 and all((a[0] - b[0]) % 2 for a, b in found)
+    apart = [{**r, "shingles": np.array([k, 9], dtype=np.int64)} for k, r in enumerate(group)]
+    assert neardups._across(100, 85)(apart) == []
 
 
 def test_sketches_estimate_similarity_for_sets_of_any_size():
