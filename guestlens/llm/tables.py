@@ -44,8 +44,17 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
+#: Rows per batch sent to Python, where the session has no value of its own. A
+#: row is a whole text, so Spark's 10,000 would hold gigabytes of long ones.
+BATCH_ROWS = "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it."""
+    """Let Python workers import this package, wherever the driver found it, and
+    send them texts in batches of bounded size."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
