@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from guestlens.schemas import TABLES, dependants
+from guestlens.sources.shared import shared_folder
 from guestlens.sources.warehouse import Warehouse
 
 HOSTELS = "id_hostel int, name string, type string, star_rating int, city_name string, city_country string, total_ratings int, free_cancellation boolean"
@@ -88,3 +89,14 @@ def test_log_only_grows(spark, tmp_path):
     rows = {r.stage: r for r in house.read("pipeline_run_log").collect()}
     assert (rows["a"].records_processed, rows["a"].records_excluded, rows["a"].exclusion_reason) == (3, 1, whole)
     assert rows["b"].status == "failed" and rows["b"].started_at <= rows["b"].finished_at
+
+
+def test_the_shared_folder_follows_the_session():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    named = shared_folder(Session(spark_checkpoint_dir="hdfs://a/b/", spark_sql_warehouse_dir="hdfs://a/w"), "x")
+    assert named.startswith("hdfs://a/b/x-")
+    unnamed = shared_folder(Session(spark_sql_warehouse_dir="hdfs://a/w"), "x")
+    assert unnamed.startswith("hdfs://a/w/_work/x-") and unnamed != shared_folder(Session(spark_sql_warehouse_dir="hdfs://a/w"), "x")
