@@ -31,15 +31,30 @@ def forest(a: list[bytes], b: list[bytes]) -> list[tuple[bytes, bytes]]:
     return [(x, top(x)) for x in list(above)]
 
 
+#: Links that a task holds at once.
+HELD = 100_000
+
+
 def _shorter(links: DataFrame) -> DataFrame:
-    """The same components with fewer links: each batch becomes a forest."""
+    """The same components with fewer links: what a task holds becomes a forest."""
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a: list[bytes] = []
+        b: list[bytes] = []
+
+        def trees() -> pa.RecordBatch:
+            found = forest(a, b)
+            a.clear()
+            b.clear()
+            columns = [pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
         for batch in batches:
-            found = forest(batch.column("a").to_pylist(), batch.column("b").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], names=["a", "b"]
-            )
+            a += batch.column("a").to_pylist()
+            b += batch.column("b").to_pylist()
+            if len(a) >= HELD:
+                yield trees()
+        yield trees()
 
     ship(links.sparkSession)
     return links.mapInArrow(shorten, "a binary, b binary")
