@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens.llm import mixing, neardups, packing, quality, secrets
-from guestlens.llm.tables import documents, stored
+from guestlens.llm.tables import documents, only, stored
 from guestlens.llm.tokens import END_ID, tokenizer_file
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects. Null and empty texts are rejected."""
-    return quality.judged(docs).where("kept").select("doc.*")
+    return only(quality.judged(docs), F.col("kept"), "doc").select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guestlens.llm.tables import stored
+from guestlens.llm.tables import only, stored
 
 _VALUE = r"([A-Za-z0-9+/_.=-]+)"
 _SETS = r"""["']?\x20*[:=]\x20*["']?"""
@@ -140,8 +140,9 @@ def scanned(docs: DataFrame) -> DataFrame:
     overlap a base span are dropped, as that is reported; no rows give no rows.
     """
     rows = parts(docs)
-    alone = rows.where(F.size("weak") == 0).select("doc", "base", F.col("base").alias("spans"))
-    some = stored(rows.where(F.size("weak") > 0).withColumn("row", F.monotonically_increasing_id()), "secret-parts")
+    alone = only(rows, F.size("weak") == 0, "doc", "base").withColumn("spans", F.col("base"))
+    some = only(rows, F.size("weak") > 0, "doc", "base", "weak")
+    some = stored(some.withColumn("row", F.monotonically_increasing_id()), "secret-parts")
     linked = _linked(some.select("row", "base", "weak")).withColumnRenamed("row", "linked_row")
     joined = some.join(linked, F.col("row") == F.col("linked_row"), "left")
     spans = F.sort_array(F.concat("base", F.coalesce("linked", F.expr(f"cast(array() as array<{_SPAN}>)"))))

@@ -44,6 +44,16 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
+def only(rows: DataFrame, condition: Column, *columns: str) -> DataFrame:
+    """The columns of the rows that meet the condition.
+
+    A plain filter would be moved below the steps that work the condition out,
+    and so repeat them, once more for each use of each of their results. A
+    generator stays where it is.
+    """
+    return rows.select(F.inline(F.filter(F.array(F.struct(*columns)), lambda _: condition)))
+
+
 #: Rows per batch sent to Python, where the session has no value of its own. A
 #: row is a whole text, so Spark's 10,000 would hold gigabytes of long ones.
 BATCH_ROWS = "1000"

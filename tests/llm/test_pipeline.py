@@ -72,7 +72,7 @@ def mixed(docs):
     return out
 
 
-@pytest.fixture(scope="module", params=["fixture", "given", "wide", "empty"])
+@pytest.fixture(scope="module", params=["given", "wide", "empty"])
 def staged(request, spark, tmp_path_factory):
     """Each stage's input and output rows."""
     if request.param == "given":
