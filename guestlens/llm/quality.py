@@ -1,7 +1,9 @@
 """Quality rules: counts per text, and divergence from the text's language.
 
-Each language has a reference made from all of its documents: how often six
-classes of characters occur, and how often its `COMMON` most frequent words do.
+Each language has a reference made from all of its different texts that pass the
+base rules: how often six classes of characters occur, and how often its `COMMON`
+most frequent words do. Copies count once, so no group of them can become the
+reference.
 A document is rejected when its own histogram lies too far from the reference by
 Jensen-Shannon distance (base 2, so from 0 to 1). Short texts are not judged,
 because their histograms say little.
@@ -106,21 +108,25 @@ def _covered() -> Column:
 def references(docs: DataFrame) -> DataFrame:
     """lang, classes, common, counts: one row per language that has a reference.
 
-    All documents and all words count; words are summed in each task before they
-    are shuffled, and the most frequent are chosen per task before they meet.
+    Every text that passes the base rules counts, once per language however many
+    copies there are: copies meet in each task before they are shuffled. The sums
+    of classes and words are one pass over the texts left, summed in each task
+    before they are shuffled, and the most frequent words are chosen per task
+    before they meet.
     """
-    rows = measures(docs).where("lang is not null")
-    classes = F.array(*[F.sum(F.col("classes")[k].cast("long")) for k in range(CLASSES)])
-    sizes = rows.groupBy("lang").agg(
-        F.count("*").alias("documents"), F.sum("n_words").alias("n_words"), classes.alias("classes")
-    )
-    total = Window.partitionBy(F.lit(1))
-    sizes = sizes.withColumn("all_documents", F.sum("documents").over(total))
-    sizes = sizes.where(F.col("documents") >= F.col("all_documents") * LANGUAGE_SHARE)
-    lowered = docs.select("lang", F.explode(F.array_remove(F.split(F.lower("text"), GAP), "")).alias("word"))
-    counted = lowered.where("lang is not null").groupBy("lang", "word").agg(F.count("*").alias("n"))
+    texts = docs.select("lang", "text").where("lang is not null and text is not null").distinct()
+    rows = measures(texts)
+    # Words are never empty, so the sums of classes go under "0" to "5" in rows of their own.
+    words = F.expr("transform(lowered, w -> struct(true as is_word, w as word, 1L as n))")
+    classes = F.expr("transform(classes, (x, k) -> struct(false as is_word, cast(k as string) as word, cast(x as long) as n))")
+    entries = F.when(~base_failed(), F.concat(classes, words))
+    counted = rows.select("lang", F.inline(entries)).groupBy("lang", "is_word", "word").agg(F.sum("n").alias("n"))
+    sums = F.array(*[F.sum(F.when(~F.col("is_word") & (F.col("word") == str(k)), F.col("n"))) for k in range(CLASSES)])
+    n_words = F.coalesce(F.sum(F.when(F.col("is_word"), F.col("n"))), F.lit(0))
+    sizes = counted.groupBy("lang").agg(sums.alias("classes"), n_words.alias("n_words"))
+    sizes = sizes.join(_documents(docs), "lang")
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
-    top = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
+    top = counted.where("is_word").withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
     chosen = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     joined = sizes.join(chosen, "lang", "left")
     return joined.select(
@@ -134,6 +140,18 @@ def references(docs: DataFrame) -> DataFrame:
     )
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """The languages that have the least share of all labelled rows."""
+    sizes = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("documents"))
+    sizes = sizes.withColumn("all_documents", F.sum("documents").over(Window.partitionBy(F.lit(1))))
+    return sizes.where(F.col("documents") >= F.col("all_documents") * LANGUAGE_SHARE).select("lang")
+
+
+def base_failed() -> Column:
+    """Of a row of measures: too few words, or too many of them in repeated windows."""
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
+
+
 def distance(p: str, q: str) -> str:
     """SQL text: Jensen-Shannon distance of two arrays of counts."""
     total = "aggregate({0}, 0D, (a, x) -> a + x)"
@@ -167,7 +185,7 @@ def judged(docs: DataFrame) -> DataFrame:
         "char_distance",
         F.expr(f"if(reference_classes is null or n < {LEAST_CHARS_JUDGED}, null, {distance('own_classes', 'reference_classes')})"),
     ).withColumn("word_distance", F.expr(f"if(own_words is null, null, {distance('own_words', 'reference_words')})"))
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
+    failed = base_failed()
     far = (F.coalesce("char_distance", F.lit(0.0)) > MOST_CHAR_DISTANCE) | (
         F.coalesce("word_distance", F.lit(0.0)) > MOST_WORD_DISTANCE
     )

@@ -1,0 +1,38 @@
+"""The quality references hold whatever else the corpus holds."""
+
+import random
+
+from guestlens.llm import quality
+from tests.llm.fixtures import documents
+
+PLAIN = ["".join(random.Random(i).choices("abcdefghijklmnoprstuvw", k=3 + i % 7)) for i in range(200)]
+JUNK = " ".join(f"{i * 7919 % 9973:04d}#{i}" for i in range(700))
+
+
+def clean(lang, n, first=0):
+    texts = [" ".join(random.Random(f"{lang}{i}").choices(PLAIN, k=150)) for i in range(n)]
+    return [(first + i, t, lang, "a", len(t)) for i, t in enumerate(texts)]
+
+
+def verdicts(spark, values):
+    rows = quality.judged(documents(spark, values))
+    return {r.doc_id: r for r in rows.select("doc.doc_id", "base_failed", "char_distance", "word_distance", "kept").collect()}
+
+
+def test_copies_of_junk_are_not_the_reference(spark):
+    values = clean("en", 200)
+    copies = [(1000 + i, JUNK, "en", "a", len(JUNK)) for i in range(100)]
+    found = verdicts(spark, values + copies)
+    assert not found[1000].base_failed
+    kept = sum(found[v[0]].kept for v in values)
+    assert (kept, sum(found[c[0]].kept for c in copies)) == (200, 0)
+    once = verdicts(spark, values + copies[:1])
+    assert [found[k] for k in once] == list(once.values())
+
+
+def test_texts_that_fail_the_base_rules_teach_nothing(spark):
+    values = clean("en", 20)
+    failing = [(1000 + i, f"{i} $$$$ " + "same #### " * 2000, "en", "a", 1) for i in range(10)]
+    found, alone = verdicts(spark, values + failing), verdicts(spark, values)
+    assert all(found[f[0]].base_failed for f in failing)
+    assert {k: found[k] for k in alone} == alone
