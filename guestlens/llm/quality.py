@@ -24,9 +24,11 @@ SYMBOLS = r"[^#*$%&|<>]+"
 
 #: Most frequent words per language in the word histogram.
 COMMON = 24
-#: A language needs this share of all documents for a reference, so there are at
-#: most 1 / LANGUAGE_SHARE references: that bounds what is broadcast.
-LANGUAGE_SHARE = 0.001
+#: No least share: every language has a reference (the SQL check reads this).
+LANGUAGE_SHARE = 0
+#: So many references are broadcast, of the languages with the most rows. Each of
+#: the others has fewer than one in so many rows, and meets its rows in a shuffle.
+BROADCAST = 1_000
 #: Texts below these sizes are not judged by the histogram in question.
 LEAST_CHARS_JUDGED = 600
 LEAST_WORDS_JUDGED = 60
@@ -106,7 +108,7 @@ def _covered() -> Column:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """lang, classes, common, counts: one row per language that has a reference.
+    """lang, documents, classes, common, counts: one row per language that has a reference.
 
     Every text that passes the base rules counts, once per language however many
     copies there are: copies meet in each task before they are shuffled. The sums
@@ -124,13 +126,15 @@ def references(docs: DataFrame) -> DataFrame:
     sums = F.array(*[F.sum(F.when(~F.col("is_word") & (F.col("word") == str(k)), F.col("n"))) for k in range(CLASSES)])
     n_words = F.coalesce(F.sum(F.when(F.col("is_word"), F.col("n"))), F.lit(0))
     sizes = counted.groupBy("lang").agg(sums.alias("classes"), n_words.alias("n_words"))
-    sizes = sizes.join(_documents(docs), "lang")
+    rows_of = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("documents"))
+    sizes = sizes.join(rows_of, "lang")
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
     top = counted.where("is_word").withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
     chosen = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     joined = sizes.join(chosen, "lang", "left")
     return joined.select(
         "lang",
+        "documents",
         F.transform("classes", lambda x: x.cast("double")).alias("reference_classes"),
         F.expr("coalesce(top.word, cast(array() as array<string>))").alias("common"),
         F.expr(
@@ -140,13 +144,6 @@ def references(docs: DataFrame) -> DataFrame:
     )
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    """The languages that have the least share of all labelled rows."""
-    sizes = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("documents"))
-    sizes = sizes.withColumn("all_documents", F.sum("documents").over(Window.partitionBy(F.lit(1))))
-    return sizes.where(F.col("documents") >= F.col("all_documents") * LANGUAGE_SHARE).select("lang")
-
-
 def base_failed() -> Column:
     """Of a row of measures: too few words, or too many of them in repeated windows."""
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
@@ -161,19 +158,31 @@ def distance(p: str, q: str) -> str:
     return f"sqrt(greatest(0D, 0.5D * aggregate({both}, 0D, (a, x) -> a + x)))"
 
 
+def _referred(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The measures of all rows with the reference of their language, if it has one."""
+    same = F.col("lang") == F.col("reference_lang")
+    if known.count() <= BROADCAST:
+        return measures(docs).join(F.broadcast(known), same, "left")
+    frequent = F.broadcast(stored(known.orderBy(F.desc("documents"), "reference_lang").limit(BROADCAST), "quality-frequent"))
+    rare = known.join(frequent.select(F.col("reference_lang").alias("name")), F.col("reference_lang") == F.col("name"), "left_anti")
+    labelled = docs.where("lang is not null")
+    first = labelled.join(frequent, same, "left_semi").unionByName(docs.where("lang is null"))
+    rest = labelled.join(frequent, same, "left_anti")
+    return measures(first).join(frequent, same, "left").unionByName(measures(rest).join(rare.hint("merge"), same, "left"))
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """doc (all columns), the measures, base_failed, char_distance, word_distance, kept.
 
     docs needs text and lang. A document is kept if no base rule fails and no
     distance is above its limit.
 
-    Defined cases: a null or empty text has no words and fails; a null lang, or
-    one too rare for a reference, gives null distances, and the base rules alone
-    decide; so do texts below the sizes to be judged. Repeated rows are judged
+    Defined cases: a null or empty text has no words and fails; a null lang gives
+    null distances, and the base rules alone decide; so they do for a language
+    without a text that passes them (none of its rows is kept), and for texts below the sizes to be judged. Repeated rows are judged
     alike. No rows give no rows.
     """
-    known = stored(references(docs), "quality-references")
-    rows = measures(docs).join(F.broadcast(known), "lang", "left")
+    rows = _referred(docs, stored(references(docs), "quality-references").withColumnRenamed("lang", "reference_lang"))
     common_counts = "transform(common, c -> cast(size(lowered) - size(array_remove(lowered, c)) as double))"
     rows = rows.withColumn(
         "common_counts", F.expr(f"if(common is null or n_words < {LEAST_WORDS_JUDGED}, null, {common_counts})")

@@ -36,3 +36,21 @@ def test_texts_that_fail_the_base_rules_teach_nothing(spark):
     found, alone = verdicts(spark, values + failing), verdicts(spark, values)
     assert all(found[f[0]].base_failed for f in failing)
     assert {k: found[k] for k in alone} == alone
+
+
+def test_a_rare_language_is_judged(spark):
+    others = [(i, f"word{i}", "en", "a", 1) for i in range(6000)]
+    rare = [*clean("xx", 4, 10_000), (20_000, JUNK, "xx", "a", len(JUNK))]
+    found = verdicts(spark, others + rare)
+    alone = verdicts(spark, rare)
+    assert None not in [found[r[0]].char_distance for r in rare] + [found[r[0]].word_distance for r in rare]
+    assert {k: found[k] for k in alone} == alone
+
+
+def test_more_languages_than_are_broadcast(spark, monkeypatch):
+    values = [v for k in range(7) for v in clean(f"l{k}", 2 + k, 100 * k)]
+    values += [(900 + k, JUNK, f"l{k}", "a", 1) for k in range(7)] + [(990, JUNK, None, "a", 1), (991, "short", "alone", "a", 1)]
+    wanted = verdicts(spark, values)
+    monkeypatch.setattr(quality, "BROADCAST", 3)
+    assert verdicts(spark, values) == wanted
+    assert len(wanted) == len(values) and wanted[990].char_distance is None and wanted[903].char_distance > 0
