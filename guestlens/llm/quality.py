@@ -37,6 +37,8 @@ MOST_CHAR_DISTANCE = 0.28
 MOST_WORD_DISTANCE = 0.42
 
 CLASSES = 6
+#: Buckets of text hashes; those that hold copies are broadcast.
+BUCKETS = 1 << 20
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -111,27 +113,27 @@ def references(docs: DataFrame) -> DataFrame:
     """lang, documents, classes, common, counts: one row per language that has a reference.
 
     Every text that passes the base rules counts, once per language however many
-    copies there are: copies meet in each task before they are shuffled. The sums
-    of classes and words are one pass over the texts left, summed in each task
-    before they are shuffled, and the most frequent words are chosen per task
-    before they meet.
+    copies there are. The sums of classes and words are one pass over these texts,
+    summed in each task before they are shuffled, and the most frequent words are
+    chosen per task before they meet.
     """
-    texts = docs.select("lang", "text").where("lang is not null and text is not null").distinct()
-    rows = measures(texts)
-    # Words are never empty, so the sums of classes go under "0" to "5" in rows of their own.
-    words = F.expr("transform(lowered, w -> struct(true as is_word, w as word, 1L as n))")
-    classes = F.expr("transform(classes, (x, k) -> struct(false as is_word, cast(k as string) as word, cast(x as long) as n))")
-    entries = F.when(~base_failed(), F.concat(classes, words))
+    rows = measures(_different(docs.select("lang", "text").where("lang is not null and text is not null")))
+    # The sums of classes, and the number of words, go under "0" to "6" in rows of their own.
+    sums = "transform(concat(classes, array(size(lowered))), (x, k) -> struct(false as is_word, cast(k as string) as word, cast(x as long) as n))"
+    words = "transform(lowered, w -> struct(true as is_word, w as word, 1L as n))"
+    entries = F.when(~base_failed(), F.expr(f"concat({sums}, {words})"))
     counted = rows.select("lang", F.inline(entries)).groupBy("lang", "is_word", "word").agg(F.sum("n").alias("n"))
-    sums = F.array(*[F.sum(F.when(~F.col("is_word") & (F.col("word") == str(k)), F.col("n"))) for k in range(CLASSES)])
-    n_words = F.coalesce(F.sum(F.when(F.col("is_word"), F.col("n"))), F.lit(0))
-    sizes = counted.groupBy("lang").agg(sums.alias("classes"), n_words.alias("n_words"))
+    # There are fewer sums than words to choose, so the choice keeps them all.
+    order = Window.partitionBy("lang", "is_word").orderBy(F.col("n").desc(), "word")
+    top = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
+    sum_of = lambda k: F.max(F.when(~F.col("is_word") & (F.col("word") == str(k)), F.col("n")))
+    chosen = top.groupBy("lang").agg(
+        F.array(*[sum_of(k) for k in range(CLASSES)]).alias("classes"),
+        sum_of(CLASSES).alias("n_words"),
+        F.sort_array(F.collect_list(F.when(F.col("is_word"), F.struct("place", "word", "n")))).alias("top"),
+    )
     rows_of = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("documents"))
-    sizes = sizes.join(rows_of, "lang")
-    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
-    top = counted.where("is_word").withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
-    chosen = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
-    joined = sizes.join(chosen, "lang", "left")
+    joined = chosen.join(rows_of, "lang")
     return joined.select(
         "lang",
         "documents",
@@ -144,6 +146,20 @@ def references(docs: DataFrame) -> DataFrame:
     )
 
 
+def _different(rows: DataFrame) -> DataFrame:
+    """The different rows of lang and text, moving only texts that may have copies.
+
+    A bucket of hashes with copies sends all of its texts to the exact comparison,
+    so a hash that collides costs a move and never a text.
+    """
+    hashed = F.xxhash64("lang", "text")
+    copied = rows.select(hashed.alias("h")).groupBy("h").count().where("count > 1")
+    # At most BUCKETS rows of one number, whatever the size of the corpus.
+    buckets = F.broadcast(copied.select(F.expr(f"pmod(h, {BUCKETS}L)").alias("bucket")).distinct())
+    inside = F.pmod(hashed, F.lit(BUCKETS).cast("long")) == F.col("bucket")
+    return rows.join(buckets, inside, "left_anti").unionByName(rows.join(buckets, inside, "left_semi").distinct())
+
+
 def base_failed() -> Column:
     """Of a row of measures: too few words, or too many of them in repeated windows."""
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
