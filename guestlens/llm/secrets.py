@@ -1,7 +1,7 @@
 """Secret scans: fixed kinds of secrets, and weak parts linked to each other.
 
 The base kinds are reported wherever they occur. Weak parts (user names, opaque
-strings, endpoints) occur in harmless text too, so each is reported only if parts
+strings, short assigned secrets, endpoints) occur in harmless text too, so each is reported only if parts
 that complete a credential lie within `SCOPE` characters of it. That interval
 join is a sweep: parts of a document are ordered by place, and each weak part
 looks at the nearest part of every other kind before and after it. It never
@@ -25,11 +25,22 @@ BASE_KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
+_HOST = r"[A-Za-z0-9_.-]+(?::[0-9]+)?"
+#: Any scheme, with user and password inside or not. The scheme is bounded, so that
+#: a long run of letters is not walked from each of its places to its end.
+_URL = rf"""[A-Za-z][A-Za-z0-9+.-]{{0,30}}://(?:[^\x00-\x20/@"'<>]*@)?(?:\[[0-9A-Fa-f:.]+\]|{_HOST})"""
+_IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
+_HOST_NAMES = r"(?:[Hh][Oo][Ss][Tt](?:[Nn][Aa][Mm][Ee])?|[Ss][Ee][Rr][Vv][Ee][Rr]|[Aa][Dd][Dd][Rr](?:[Ee][Ss][Ss])?)"
+_SSH = r"[Ss][Ss][Hh]\x20+[A-Za-z0-9_.-]+@[A-Za-z0-9_.-]+"
+_JDBC = rf"jdbc:[a-z0-9:]+:@(?://)?{_HOST}"
+
 #: Reported only with complementary parts in scope.
 WEAK_KINDS = (
     ("user", rf"(?i:(user|username|login|account|client_?id)){_SETS}([A-Za-z0-9_.@-]{{3,}})", 0, 0),
     ("opaque", r"[A-Za-z0-9+/_-]{24,}={0,2}", 0, 0),
-    ("endpoint", r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?|(?:[0-9]{1,3}\.){3}[0-9]{1,3}", 0, 0),
+    ("endpoint", rf"{_URL}|{_IPV4}|{_JDBC}|{_SSH}|{_HOST_NAMES}{_SETS}(?:{_URL}|{_HOST})", 0, 0),
+    # Long assignments match too, and are dropped because the base span covers them.
+    ("short", BASE_KINDS[0][1], 2, 3),
 )
 KINDS = tuple(k[0] for k in BASE_KINDS + WEAK_KINDS)
 
@@ -112,14 +123,14 @@ def _linked(rows: DataFrame) -> DataFrame:
     near = {
         "access": gap(kind == code["access"]),
         "user": gap(kind == code["user"]),
-        "secret": gap(kind.isin(code["assign"], code["hex"], code["opaque"])),
+        "secret": gap(kind.isin(code["assign"], code["hex"], code["opaque"], code["short"])),
         "endpoint": gap(kind == code["endpoint"]),
     }
     seen = clear.select("row", "start", "kind", "end", *[(c <= SCOPE).alias(n) for n, c in near.items()])
     for name in near:
         seen = seen.withColumn(name, F.coalesce(name, F.lit(False)))
     complete = (
-        F.when(kind == code["opaque"], F.col("access") | (F.col("user") & F.col("endpoint")))
+        F.when(kind.isin(code["opaque"], code["short"]), F.col("access") | (F.col("user") & F.col("endpoint")))
         .when(kind == code["user"], F.col("secret") & F.col("endpoint"))
         .when(kind == code["endpoint"], (F.col("access") | F.col("user")) & F.col("secret"))
         .otherwise(F.lit(False))
