@@ -8,8 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from guestlens.llm import bitpack, language, mixing, neardups, neighbours, oracle, packing, quality, secrets, substrings, wordpieces
-from guestlens.llm.tables import documents
+from guestlens.llm import (
+    alignment,
+    bitpack,
+    codebooks,
+    language,
+    licences,
+    mixing,
+    neardups,
+    neighbours,
+    oracle,
+    packing,
+    quality,
+    secrets,
+    substrings,
+    wordpieces,
+)
+from guestlens.llm.tables import documents, stored
 from guestlens.llm.tokens import END_ID, tokenizer_file
 from guestlens.sources.shared import shared_folder
 
@@ -75,6 +90,46 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_scan_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licences.licensed(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s["first"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s["first"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        "score",
+    )
+
+
+def op12_compress_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codebooks.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return rows.select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.alignments(
+        documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    )
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    rows = stored(found.withColumn("groups_sha256", digest).drop("groups"), "alignments")
+    sums = alignment.scored(rows)
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_links", "n_best", "count_sum")]
+    documents_only = rows.where("row IS NOT NULL").select("row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256")
+    return documents_only.join(sums, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", *counts, "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_token_ids": op2_pack_token_ids,
@@ -86,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_identify_language": op8_identify_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_secret_scan": op10_secret_scan,
+    "op11_scan_licences": op11_scan_licences,
+    "op12_compress_vectors": op12_compress_vectors,
+    "op13_align_tokenizers": op13_align_tokenizers,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -95,6 +153,7 @@ ORACLE: dict[str, str] = {
     "op6_quality_rules": oracle.QUALITY,
     "op9_near_duplicates": oracle.NEAR_DUPLICATES,
     "op10_secret_scan": oracle.SECRETS,
+    "op12_compress_vectors": oracle.CODEBOOKS,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

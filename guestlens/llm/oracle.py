@@ -6,7 +6,7 @@ texts, sets as rows, and components by walking all links.
 
 from __future__ import annotations
 
-from guestlens.llm import mixing, quality, secrets
+from guestlens.llm import codebooks, mixing, quality, secrets
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -211,3 +211,48 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN listed USING (r)
 """
+
+
+_PARTS, _ENTRIES = codebooks.PARTS, codebooks.ENTRIES
+_FAR = "list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _assign(book: str) -> str:
+    """Each part with its entry and the distance to it; the lower of equal ones."""
+    return f"""
+  SELECT r, part, any_value(x) AS x, min_by(e, far * {_ENTRIES} + e) AS e, min(far) AS far
+  FROM (SELECT p.r, p.part, p.x, b.e, {_FAR}::BIGINT AS far FROM parts p JOIN {book} b USING (part)) GROUP BY r, part"""
+
+
+def _move(assigned: str, book: str) -> str:
+    return f"""
+  SELECT b.part, b.e, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN (
+    SELECT part, e, list(v ORDER BY i) AS x FROM (
+      SELECT part, e, i, ((sum(c) - (((sum(c) % count(*)) + count(*)) % count(*))) // count(*))::BIGINT AS v
+      FROM (SELECT part, e, unnest(x) AS c, unnest(range(1, len(x) + 1)) AS i FROM {assigned}) GROUP BY part, e, i)
+    GROUP BY part, e) m ON m.part = b.part AND m.e = b.e"""
+
+
+CODEBOOKS = f"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS r,
+    list_transform(embedding, lambda c: floor({codebooks.SCALE} * c::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, part, list_slice(v, part * (len(v) // {_PARTS}) + 1, (part + 1) * (len(v) // {_PARTS})) AS x
+  FROM (SELECT r, v, unnest(range(0, {_PARTS})) AS part FROM kept)),
+book0 AS MATERIALIZED (SELECT part, r AS e, x FROM parts WHERE r < {_ENTRIES}),
+assigned0 AS MATERIALIZED ({_assign('book0')}),
+book1 AS MATERIALIZED ({_move('assigned0', 'book0')}),
+assigned1 AS MATERIALIZED ({_assign('book1')}),
+book2 AS MATERIALIZED ({_move('assigned1', 'book1')}),
+assigned2 AS MATERIALIZED ({_assign('book2')}),
+coded AS (
+  SELECT r, string_agg(lower(printf('%02x', e)), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM assigned2 GROUP BY r),
+digest AS (
+  SELECT sha256(string_agg(v, ',' ORDER BY part, e, i)) AS codebooks_sha256
+  FROM (SELECT part, e, unnest(x)::VARCHAR AS v, unnest(range(1, len(x) + 1)) AS i FROM book2))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r) CROSS JOIN digest
+"""

@@ -20,5 +20,5 @@ def test_query_equals_its_sql(spark, tables, name):
 
 def test_every_operator_is_registered_once():
     names = [n for n in QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in QUERIES
