@@ -3,7 +3,9 @@ balanced when one key holds a large part of the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,15 +22,51 @@ def keep_first(df: DataFrame, key: list[str], order: str | list[str], keep_order
     return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in wanted])
 
 
+#: Bits of the filter that ``insert_if_absent`` puts before the target, 64 to a row:
+#: at most 2^20 rows are broadcast, whatever comes in.
+FILTER_BITS = 1 << 26
+
+
+def _key_hash(key: list[str], kinds: dict[str, str]) -> Column:
+    """A bit for a key of the given types. Minus zero equals zero, as in a join; a
+    value that has no place in its type equals no value of it, so it has no bit."""
+    values = [F.expr(f"try_cast(`{c}` AS {kinds[c]})") for c in key]
+    values = [v + F.lit(0.0).cast(kinds[c]) if kinds[c] in ("float", "double") else v for c, v in zip(key, values)]
+    known = reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
+    return F.when(known, F.pmod(F.xxhash64(*values), F.lit(FILTER_BITS)))
+
+
+def may_contain(rows: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame:
+    """The rows whose key may be among the wanted ones: all that are, and others by
+    chance, wanted keys / ``FILTER_BITS`` of them.
+
+    The wanted keys are reduced to one bit each, and the words that hold those bits
+    are broadcast, so the rows are tested where they are read.
+    """
+    kinds = {c: t for c, t in rows.dtypes if c in key}
+    bit = _key_hash(key, kinds)
+    bits = wanted.select(bit.alias("_bit")).where("_bit IS NOT NULL")
+    words = bits.groupBy(F.expr("_bit DIV 64").alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_bit % 64 AS INT)))").alias("_bits")
+    )
+    marked = rows.withColumn("_bit", bit).withColumn("_word", F.expr("_bit DIV 64"))
+    kept = marked.join(F.broadcast(words), "_word").where("getbit(_bits, CAST(_bit % 64 AS INT)) = 1")
+    return kept.drop("_bit", "_word", "_bits")
+
+
 def insert_if_absent(
     incoming: DataFrame, target: DataFrame, key: list[str], order: str | list[str]
 ) -> DataFrame:
     """The incoming rows to append: first per key, and not yet in the target.
 
-    Rows with a null in the key are left out, as a key cannot be null.
+    Rows with a null in the key are left out, as a key cannot be null. Only keys
+    of the target that may be among the incoming ones leave the task that reads
+    them, once each, so an append moves what comes in and not the target.
     """
-    fresh = keep_first(incoming.na.drop("any", subset=key), key, order)
-    return fresh.join(target.select(*key), key, "left_anti")
+    complete = incoming.na.drop("any", subset=key)
+    fresh = keep_first(complete, key, order)
+    there = may_contain(target.select(*key), complete.select(*key), key).distinct()
+    return fresh.join(there, key, "left_anti")
 
 
 def planned_bytes(df: DataFrame) -> int:

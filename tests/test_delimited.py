@@ -1,5 +1,9 @@
+import random
+
 import pytest
+from pyspark.sql import Observation
 
+from guestlens.sources import delimited
 from guestlens.sources.delimited import ROW_ORDER, files_with_open_quotes, read_delimited, require_inputs
 
 EDGE_ROWS = """id;name;type;score
@@ -92,7 +96,7 @@ def test_a_stray_quote_leaves_the_file_split(spark, tmp_path, small_splits):
     assert rows(stray)[0] == ("0", '5" bed')
 
 
-def test_only_the_file_with_an_open_quote_is_read_whole(spark, tmp_path, small_splits):
+def test_all_files_are_split_where_one_has_an_open_quote(spark, tmp_path, small_splits):
     folder = tmp_path / "a folder"
     folder.mkdir()
     body = "".join(f"{i};{'x' * 40}\n" for i in range(6_000))
@@ -106,6 +110,86 @@ def test_only_the_file_with_an_open_quote_is_read_whole(spark, tmp_path, small_s
     assert rows(df)[6_000] == ("7", "two\nlines")
 
 
+def test_one_line_break_in_quotes_leaves_the_file_split(spark, tmp_path, small_splits):
+    body = "".join(f"{i};{'x' * 40}\n" for i in range(10_000))
+    clean = read_delimited(spark, write(tmp_path, "clean.csv", "n;pad\n" + body)).rdd.getNumPartitions()
+    broken = read_delimited(spark, write(tmp_path, "broken.csv", "n;pad\n" + body + '7;"two\nlines"\n' + body))
+    assert broken.rdd.getNumPartitions() >= 2 * clean - 1 > 5
+    numbers = [str(i) for i in range(10_000)]
+    assert [r[0] for r in rows(broken)] == [*numbers, "7", *numbers]
+    # Only the first split, with the header, and the one with the break are sorted.
+    lines = broken.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(lines) == 20_001 and max(lines) < 3_000
+
+
+def random_file(rng, n):
+    """Lines with quoted fields over many lines, stray and doubled quotes, quotes
+    that close before the end of a field, blank lines and surplus fields."""
+    out = []
+    for i in range(n):
+        field = lambda: rng.choice([
+            "x", "", " ", '5" bed', '""', '"q"', '"a;b"', '"a ""b"" c"', '"two\nlines"', f'"{"l\n" * rng.randrange(1, 9)}"',
+            '"\n"', '"""\n"""', '"a\n;""\n;b"', '"stop"ped', '"stop\n"ped', 'é "x"', '"\n\n"', "word " * rng.randrange(30),
+            f'"{"long line\n" * rng.randrange(40)}"',
+        ])
+        out.append(";".join([str(i), *(field() for _ in range(rng.choice([2, 2, 2, 2, 1, 3])))]))
+        out += [""] * (rng.random() < 0.05)
+    return "a;b;c\n" + "\n".join(out) + "\n" * rng.randrange(2)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_split_files_equal_files_read_whole(spark, tmp_path, seed):
+    """Against Spark's own reading in one task, with splits of a few lines."""
+    rng = random.Random(seed)
+    for f in range(1 + seed % 3):
+        write(tmp_path, f"part {f}.csv", random_file(rng, 400))
+    whole = rows(read_delimited(spark, str(tmp_path), multi_line=True))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in old:
+        spark.conf.set(k, str(rng.choice([64, 300, 2000])))
+    try:
+        assert rows(read_delimited(spark, str(tmp_path))) == whole
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(whole) > 100
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path, small_splits):
+    path = write(tmp_path, "open.csv", 'a;b\n1;x\n2;"open\n' + "y\n" * 40_000)
+    found = rows(read_delimited(spark, path))
+    # The rest of the file is one field, here without the line break at the end.
+    whole = rows(read_delimited(spark, path, multi_line=True))
+    assert found == [("1", "x"), (whole[1][0], whole[1][1].rstrip("\n"))]
+
+
+def test_windows_line_ends(spark, tmp_path):
+    path = write(tmp_path, "crlf.csv", 'a;b\r\n1;"x\r\ny"\r\n2;z\r\n')
+    assert rows(read_delimited(spark, path)) == [("1", "x\ny"), ("2", "z")]
+
+
+def test_headers_of_files_with_breaks_are_compared(spark, tmp_path):
+    write(tmp_path, "part-0.csv", 'a;b\n1;"2\n3"\n')
+    write(tmp_path, "part-1.csv", 'b;a\n1;"2\n3"\n')
+    with pytest.raises(Exception, match="does not conform"):
+        read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_a_large_number_of_splits_is_not_broadcast(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(delimited, "BROADCAST_SPLITS", 0)
+    path = write(tmp_path, "broken.csv", 'a;b\n1;"x\ny"\n' + "2;z\n" * 50_000)
+    found = read_delimited(spark, path)
+    assert rows(found) == [("1", "x\ny"), *[("2", "z")] * 50_000]
+
+
+def test_read_and_surplus_rows_are_observed(spark, tmp_path):
+    text = EDGE_ROWS + '12;"two\nlines";x;y\n13;"a\nb";x;y;z\n'
+    for name, content in (("edge.csv", EDGE_ROWS), ("broken.csv", text)):
+        seen = Observation("seen")
+        kept = read_delimited(spark, write(tmp_path, name, content), seen=seen).count()
+        assert seen.get == {"read": kept + seen.get["surplus"], "surplus": {"edge.csv": 3, "broken.csv": 4}[name]}
+
+
 def test_order_runs_over_splits_and_files(spark, tmp_path):
     for f in range(3):
         body = "".join(f"{f * 10_000 + i};{'x' * 40}\n" for i in range(10_000))

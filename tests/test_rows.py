@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from guestlens.operators.rows import hot_keys, insert_if_absent, keep_first, lookup
+from guestlens.operators import rows as operators
+from guestlens.operators.rows import hot_keys, insert_if_absent, keep_first, lookup, may_contain
 
 
 def skewed(spark, n=6_000):
@@ -123,3 +124,44 @@ def test_semi_and_anti_add_up(spark):
     rows = skewed(spark)
     parts = [lookup(rows, table(spark), "key", how, row_id="row").count() for how in ("left_semi", "left_anti")]
     assert sum(parts) == rows.count()
+
+
+def test_keys_of_other_types_zeros_and_pairs(spark, tmp_path):
+    """Keys compare as in a join, whatever their types, before and after the filter."""
+    target = spark.sql("SELECT * FROM VALUES (CAST(1 AS INT), 0.0D), (2, 5D), (3, double('NaN')) AS t(k, d)")
+    incoming = spark.sql("SELECT * FROM VALUES (1L, -0.0D, 1), (3000000000L, 5D, 2), (3L, double('NaN'), 3), (2L, 6D, 4) AS t(k, d, o)")
+    for key in (["k"], ["d"], ["k", "d"]):
+        fresh = keep_first(incoming, key, "o")
+        wanted = fresh.join(target.select(*key), key, "left_anti")
+        found = insert_if_absent(incoming, target, key, "o")
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_the_filter_loses_no_key_and_lets_few_others_through(spark, monkeypatch):
+    rows, wanted = spark.range(200_000).selectExpr("id AS key"), spark.range(0, 400_000, 400).selectExpr("id AS key")
+    assert 500 <= may_contain(rows, wanted, ["key"]).count() < 520
+    monkeypatch.setattr(operators, "FILTER_BITS", 1 << 14)
+    kept = may_contain(rows, wanted, ["key"])
+    assert kept.count() < 20_000
+    assert kept.join(wanted, "key").count() == 500
+    monkeypatch.setattr(operators, "FILTER_BITS", 64)
+    found = insert_if_absent(wanted.withColumn("o", F.lit(1)), rows, ["key"], "o")
+    assert sorted(r.key for r in found.collect()) == list(range(200_000, 400_000, 400))
+
+
+def test_an_append_does_not_move_the_target(spark, tmp_path):
+    """A target with one key in a third of its rows: no task reads them shuffled."""
+    skewed(spark, 300_000).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    incoming = spark.range(50).selectExpr("id * 3 AS key", "id AS o")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = insert_if_absent(incoming, target, ["key"], "o")
+        tree = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # From the scan upwards: the filter's join and the distinct keys, then the exchange.
+        above = tree[: tree.index("FileScan parquet")].splitlines()[::-1]
+        steps = [s for line in above for s in ("BroadcastHashJoin", "HashAggregate", "Exchange hashpartitioning") if s in line]
+        assert steps[:3] == ["BroadcastHashJoin", "HashAggregate", "Exchange hashpartitioning"]
+        assert sorted(r.key for r in found.collect()) == [3 * i for i in range(50) if 3 * i > 96]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
