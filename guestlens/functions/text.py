@@ -49,6 +49,11 @@ def flag(c: str) -> str:
     )
 
 
+def odd_flag(c: str) -> str:
+    """Whether text is read as a flag that says neither true nor false, nor a number."""
+    return f"coalesce(lower(trim({c})) NOT IN ('true', 'false') AND NOT {c} RLIKE '{_NUMBER}', false)"
+
+
 def text_key(*parts: str) -> str:
     """Parts joined by ``|``; null if any part is null (``concat_ws`` would
     skip it)."""

@@ -5,19 +5,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, key: list[str], order: str | list[str], keep_order: bool = True) -> DataFrame:
+def keep_first(
+    df: DataFrame, key: list[str], order: str | list[str], keep_order: bool = True, seen: Observation | None = None
+) -> DataFrame:
     """The first row per key in the given order.
 
     ``min_by`` keeps one row per key in every map task before the shuffle, so a
-    key with very many copies never meets in one task.
+    key with very many copies never meets in one task. ``seen`` observes the rows
+    left out, as ``duplicate``.
     """
     order = [order] if isinstance(order, str) else order
     rest = [c for c in df.columns if c not in key]
-    first = df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+    sums = [F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")]
+    if seen is not None:
+        sums.append(F.count("*").alias("_rows"))
+    first = df.groupBy(*key).agg(*sums)
+    if seen is not None:
+        first = first.observe(seen, F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("duplicate"))
     wanted = [c for c in df.columns if keep_order or c not in order]
     return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in wanted])
 

@@ -17,7 +17,7 @@ from guestlens.functions.text import flag, lenient_decimal, null_tokens, text_ke
 from guestlens.operators import quality
 from guestlens.operators.rows import insert_if_absent, keep_first, lookup
 from guestlens.plans import kpis, oracle, staging, star
-from guestlens.plans.full_run import full_run, report
+from guestlens.plans.full_run import full_run, ledger, report
 from guestlens.schemas import DIMENSIONS, NULL_TOKENS, TABLES
 from guestlens.sources.delimited import read_delimited
 from guestlens.sources.shared import shared_folder
@@ -523,6 +523,40 @@ def full_run_report(spark, folder):
     return reduce(DataFrame.unionByName, [report(house), *stamps])
 
 
+@query(oracle.load_ledger())
+def load_ledger(spark, folder):
+    """What a run did with every row it read, and with the values of complete rows.
+    Every event is a review line with too many fields."""
+    details = star.write_details_file(spark, folder)
+    reviews = star.write_reviews_file(spark, folder)
+    surplus = star.write_surplus_rows(spark, folder, reviews)
+    return ledger(full_run(spark, details, [reviews, surplus], shared_folder(spark, "warehouse"), "ledger"))
+
+
+_FOUND = "id_review, id_hostel, id_user, review_date"
+
+
+@query(
+    oracle.on_star(
+        f"SELECT 'lodging' AS looked_up, {_FOUND} FROM dated WHERE id_hostel = 7 UNION ALL "
+        f"SELECT 'user', {_FOUND} FROM dated WHERE id_user = 11 UNION ALL "
+        f"SELECT 'day', {_FOUND} FROM dated WHERE id_hostel = 8 AND review_date >= DATE '1996-01-01' UNION ALL "
+        f"SELECT 'review', {_FOUND} FROM dated WHERE id_review = 11"
+    )
+)
+def review_lookups(spark, folder):
+    """Reviews of one lodging, by one user, of one lodging since a day, and by id,
+    from a stored table, of which readers skip what its layout rules out."""
+    house = Warehouse(spark, shared_folder(spark, "warehouse"))
+    staged = house.refresh("stg_reviews", star.reviews(spark, folder))
+    tests = {
+        "lodging": "id_hostel = 7", "user": "id_user = 11",
+        "day": "id_hostel = 8 AND review_date >= DATE '1996-01-01'", "review": "id_review = 11",
+    }
+    parts = [staged.where(t).selectExpr(f"'{n}' AS looked_up", *_FOUND.split(", ")) for n, t in tests.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _SUMMARY = "count(*) AS rows, CAST(sum({id}) AS BIGINT) AS ids, CAST(sum(length({text})) AS BIGINT) AS letters"
 
 

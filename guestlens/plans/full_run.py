@@ -6,13 +6,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens.operators.quality import row_tests
-from guestlens.operators.rows import keep_first
+from guestlens.operators.rows import fits_broadcast, keep_first
 from guestlens.plans import kpis, staging
 from guestlens.schemas import TABLES
 from guestlens.sources.delimited import read_delimited, require_inputs
@@ -38,7 +39,7 @@ class BrokenRule(ValueError):
     """Staged or computed rows break a table's declared rules."""
 
 
-class _Stage:
+class _Counts:
     processed = 0
     excluded = 0
     reason: str | None = None
@@ -46,8 +47,8 @@ class _Stage:
 
 def full_run(
     spark: SparkSession,
-    details: str,
-    reviews: str,
+    details: str | list[str],
+    reviews: str | list[str],
     root: str,
     run_id: str,
     multi_line: bool | None = None,
@@ -67,7 +68,27 @@ def full_run(
     if spark.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("set spark.sql.ansi.enabled to true")
     house = Warehouse(spark, root)
-    version = house.new_version()
+    records: list[dict] = []
+    try:
+        _run(house, house.new_version(), details, reviews, run_id, multi_line, records)
+    finally:
+        house.log(*records)
+    house.expire(keep)
+    return house
+
+
+def _run(
+    house: Warehouse,
+    version: str,
+    details: str | list[str],
+    reviews: str | list[str],
+    run_id: str,
+    multi_line: bool | None,
+    records: list[dict],
+) -> None:
+    """Everything but the log, whose rows are left in ``records``."""
+    spark = house.spark
+    _logged = partial(_stage, records, run_id)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         """Write a table; its rules and its rows are counted in the same pass."""
@@ -95,25 +116,29 @@ def full_run(
         order = [c for c in df.columns if c not in key]
         return save(name, keep_first(df, key, order))
 
-    with _logged(house, run_id, STAGE_INPUTS):
+    with _logged(STAGE_INPUTS):
         require_inputs(spark, [details, reviews])
 
-    with _logged(house, run_id, STAGE_LODGINGS) as stage:
-        lodgings = save(
-            "stg_hostels", staging.clean_lodgings(read_delimited(spark, details, multi_line=multi_line))
-        )
+    with _logged(STAGE_LODGINGS) as stage:
+        seen = staging.Seen()
+        raw = read_delimited(spark, details, multi_line=multi_line, seen=seen.read)
+        lodgings = save("stg_hostels", staging.clean_lodgings(raw, seen=seen))
         stage.processed = rows_of("stg_hostels")
-
-    with _logged(house, run_id, STAGE_REVIEWS) as stage:
-        # Parsed once: the lookup reads its rows twice when it splits keys.
-        raw = read_delimited(spark, reviews, multi_line=multi_line)
-        cleaned = store("cleaned_reviews", staging.clean_reviews(raw))
+        entries = _ledger("stg_hostels", seen.counts() | {"loaded": rows_of("stg_hostels")})
+
+    with _logged(STAGE_REVIEWS) as stage:
+        seen = staging.Seen()
+        raw = read_delimited(spark, reviews, multi_line=multi_line, seen=seen.read)
+        cleaned = staging.clean_reviews(raw, seen)
+        if not fits_broadcast(staging.known_ids(lodgings)):
+            # Parsed once: the lookup reads its rows twice when it splits keys.
+            cleaned = store("cleaned_reviews", cleaned)
         # Written once: orphans, reviews and users all start from this table.
         work = house.work_folder(version, "reviews")
         marked = staging.mark_known(cleaned, lodgings)
-        seen = Observation("marked")
-        lost = F.count_if(~F.col("known")).alias("lost")
-        marked.observe(seen, lost).write.partitionBy("known").parquet(work)
+        split = Observation()
+        lost = F.count_if(~F.col("known")).alias("orphan")
+        marked.observe(split, lost).write.partitionBy("known").parquet(work)
         checked = spark.read.schema(marked.schema).parquet(work)
         known = checked.where("known")
         users, loaded = _together(
@@ -122,54 +147,78 @@ def full_run(
             lambda: save("stg_reviews", known),
         )
         stage.processed = rows_of("stg_reviews")
-        stage.excluded = seen.get["lost"]
+        stage.excluded = split.get["orphan"]
         stage.reason = ORPHAN_REASON
+        entries += _ledger("stg_reviews", seen.counts() | split.get | {"loaded": rows_of("stg_reviews")})
 
     # The only pass over the reviews for all KPIs but the profile drivers.
-    with _logged(house, run_id, STAGE_RATINGS) as stage:
+    with _logged(STAGE_RATINGS) as stage:
         sums = store("lodging_sums", kpis.lodging_sums(loaded))
         save("kpi_hostel_ratings", kpis.lodging_ratings(sums))
         stage.processed = rows_of("kpi_hostel_ratings")
 
     def coverage() -> None:
-        with _logged(house, run_id, STAGE_COVERAGE) as stage:
+        with _logged(STAGE_COVERAGE) as stage:
             save("kpi_coverage", kpis.coverage(lodgings, sums))
             stage.processed = rows_of("kpi_coverage")
 
     def groups() -> None:
-        with _logged(house, run_id, STAGE_GROUPS) as stage:
+        with _logged(STAGE_GROUPS) as stage:
             found = save_unique("kpi_equivalent_groups", kpis.equivalent_groups(sums, lodgings))
             save("kpi_hostel_ranking", kpis.ranking(sums, lodgings))
             save("kpi_volume_vs_rating", kpis.volume_vs_rating(sums, lodgings))
             stage.processed = found.where("is_valid").count()
 
     def drivers() -> None:
-        with _logged(house, run_id, STAGE_DRIVERS) as stage:
+        with _logged(STAGE_DRIVERS) as stage:
             profiles = kpis.profile_drivers(loaded, users, lodgings)
             save_unique("kpi_user_profile_drivers", profiles)
             save("kpi_global_drivers", kpis.group_drivers(sums, lodgings))
             stage.processed = rows_of("kpi_global_drivers")
 
     _together(spark, coverage, groups, drivers)
-    _write_report(house, version)
+    found = [(t, *m.partition(" ")[::2], n) for t, counted in house.metrics.items() for m, n in counted.items()]
+    _keep(house, version, "report", "rule", "violations", [f for f in found if f[1] != ROWS])
+    _keep(house, version, "ledger", "cause", "rows", entries)
     house.publish([n for n, t in TABLES.items() if t.stamp], version)
-    # Only the orphans of the run's work are looked at later.
+    # Only the orphans of the run's work are looked at later, and what was counted.
     house.drop_work(version, "cleaned_reviews", "lodging_sums")
-    house.expire(keep)
-    return house
 
 
-def _write_report(house: Warehouse, version: str) -> None:
-    """Keep what the rules counted, next to the orphans of the run."""
-    found = [(t, *m.partition(" ")[::2], n) for t, counted in house.metrics.items() for m, n in counted.items()]
-    schema = "table_name string, rule string, column_name string, violations bigint"
-    rows = house.spark.createDataFrame([f for f in found if f[1] != ROWS], schema)
-    rows.coalesce(1).write.parquet(house.work_folder(version, "report"))  # one row per declared rule
+#: Where the rows of a file can go. Each goes to one of them, so they add up.
+CAUSES = ("surplus", "null_key", "duplicate", "orphan", "loaded")
+
+
+def _ledger(name: str, counts: dict[str, int]) -> list[tuple[str, str, str, int]]:
+    """What became of the rows of a file, and of their values by column."""
+    gone = sum(counts.get(c, 0) for c in CAUSES)
+    if counts["read"] != gone:
+        raise BrokenRule(f"{name}: {counts['read']} rows were read, {gone} accounted for: {counts}")
+    return [(name, *cause.partition(" ")[::2], n) for cause, n in counts.items()]
+
+
+def _keep(house: Warehouse, version: str, name: str, what: str, count: str, rows: list[tuple]) -> None:
+    """Write what a run counted next to its orphans: a row per table, cause and column."""
+    schema = f"table_name string, {what} string, column_name string, {count} bigint"
+    house.spark.createDataFrame(rows, schema).coalesce(1).write.parquet(house.work_folder(version, name))
+
+
+def _kept(house: Warehouse, name: str) -> DataFrame:
+    return house.spark.read.parquet(house.work_folder(house.version("stg_reviews"), name))
 
 
 def report(house: Warehouse) -> DataFrame:
     """Rows of the latest run that break a declared rule, per rule and column."""
-    return house.spark.read.parquet(house.work_folder(house.version("stg_reviews"), "report"))
+    return _kept(house, "report")
+
+
+def ledger(house: Warehouse) -> DataFrame:
+    """What the latest run did with the rows it read: ``read`` is the sum of
+    ``CAUSES``. Below that, by column, values of complete rows that were changed:
+    ratings that are no number and became null (``coerced``), missing values that
+    got a default (``filled``), flags that say neither true nor false (``unknown``).
+    """
+    return _kept(house, "ledger")
 
 
 def _together(spark: SparkSession, *jobs: Callable) -> list:
@@ -182,16 +231,21 @@ def _together(spark: SparkSession, *jobs: Callable) -> list:
 
 
 @contextmanager
-def _logged(house: Warehouse, run_id: str, name: str):
-    stage = _Stage()
+def _stage(records: list[dict], run_id: str, name: str):
+    """Leaves a row for the run log, also when the stage fails."""
+    stage = _Counts()
     record = {"dag_run_id": run_id, "stage": name, "started_at": datetime.now(timezone.utc)}
     try:
         yield stage
     except Exception as e:
-        house.log(record | {"status": "failed", "exclusion_reason": str(e)})
+        records.append(record | _now() | {"status": "failed", "exclusion_reason": str(e)})
         raise
     counts = {"records_processed": stage.processed, "records_excluded": stage.excluded}
-    house.log(record | counts | {"status": "success", "exclusion_reason": stage.reason})
+    records.append(record | _now() | counts | {"status": "success", "exclusion_reason": stage.reason})
+
+
+def _now() -> dict:
+    return {"finished_at": datetime.now(timezone.utc)}
 
 
 def orphans(house: Warehouse) -> DataFrame:

@@ -47,6 +47,11 @@ stg_reviews AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 """
 
+DATED = """dated AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id_review, CAST(o_custkey AS INTEGER) AS id_hostel, l_partkey AS id_user,
+    CAST(l_shipdate AS DATE) AS review_date
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
 _FILE_ORDER = (
     "id_review, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
     "l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -269,8 +274,41 @@ def run_report() -> str:
     return f"WITH {FILES}, {ctes} " + " UNION ALL ".join(parts)
 
 
+def load_ledger() -> str:
+    """Rows of the files by what became of them, counted one by one."""
+    details = {
+        "read": "SELECT count(*) + count(*) FILTER (c_mktsegment = 'BUILDING') FROM customer",
+        "surplus": "SELECT 0",
+        "null_key": "SELECT count(*) + count(*) FILTER (c_mktsegment = 'BUILDING') FROM customer WHERE c_acctbal < -500",
+        "duplicate": "SELECT count(*) FROM detail_rows WHERE copy = 1",
+        "loaded": "SELECT count(*) FROM stg_hostels",
+        "filled name": "SELECT count(*) FROM detail_rows WHERE c_mktsegment = 'MACHINERY'",
+        "filled star_rating": "SELECT count(*) FROM detail_rows WHERE c_acctbal < 0",
+        "filled total_ratings": "SELECT count(*) FROM detail_rows WHERE c_mktsegment = 'FURNITURE'",
+        "filled free_cancellation": "SELECT count(*) FROM detail_rows WHERE c_mktsegment = 'FURNITURE'",
+        "unknown free_cancellation": "SELECT 0",
+    }
+    reviews = {
+        "read": "SELECT (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events)",
+        "surplus": "SELECT count(*) FROM events",
+        "null_key": "SELECT count(*) FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'O'",
+        "duplicate": "SELECT count(*) - count(DISTINCT id_review) FROM file_rows",
+        "orphan": "SELECT count(*) FROM first_rows WHERE id_hostel NOT IN (SELECT id_hostel FROM stg_hostels)",
+        "loaded": "SELECT count(*) FROM stg_reviews",
+        **{f"coerced rating_{d}": "SELECT 0" for d in ALL},
+        "coerced rating_overall": "SELECT count(*) FROM file_rows WHERE l_returnflag = 'R' AND l_linestatus = 'F'",
+    }
+    rows = [
+        f"SELECT '{table}' AS table_name, '{what.partition(' ')[0]}' AS cause, '{what.partition(' ')[2]}' AS column_name, "
+        f"CAST(({count}) AS BIGINT) AS rows"
+        for table, counts in (("stg_hostels", details), ("stg_reviews", reviews))
+        for what, count in counts.items()
+    ]
+    return f"WITH {FILES} " + " UNION ALL ".join(rows)
+
+
 def on_star(sql: str) -> str:
-    return f"WITH {STAR} {sql}"
+    return f"WITH {STAR}, {DATED} {sql}" if "dated" in sql else f"WITH {STAR} {sql}"
 
 
 def on_files(sql: str) -> str:

@@ -174,6 +174,20 @@ def write_bad_rows(spark: SparkSession, folder: str) -> str:
     return f"{path}/*"
 
 
+def write_surplus_rows(spark: SparkSession, folder: str, like: str) -> str:
+    """Events as lines with more fields than a file of reviews has, in four files
+    with the header of the files ``like``."""
+    names = spark.read.option("sep", ";").option("header", True).csv(like).columns
+    lines = table(spark, folder, "events").selectExpr(
+        "CAST(event_id % 4 AS INT) AS file", "1 AS place", f"concat(event_id, '{';' * len(names)}', event_type) AS value"
+    )
+    heads = spark.range(4).selectExpr("CAST(id AS INT) AS file", "0 AS place", f"'{';'.join(names)}' AS value")
+    path = shared_folder(spark, "surplus")
+    dealt = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
+    dealt.select("file", "value").write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
 def _write_text(df: DataFrame, path: str) -> str:
     df.write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
     return path

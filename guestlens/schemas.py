@@ -39,6 +39,10 @@ class Table:
     ``stamp`` is the load-time column the sink fills in. ``parents`` maps a
     column to the (table, column) it must exist in; refreshing that table
     clears this one.
+
+    ``clustered`` puts the rows in order over all files of the table, ``ordered``
+    only inside each file; ``looked_up`` are columns that rows are searched by in
+    any order. Readers skip what the files' statistics and filters rule out.
     """
 
     name: str
@@ -49,6 +53,9 @@ class Table:
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
     domains: dict[str, list] = field(default_factory=dict)
     stamp: str | None = None
+    clustered: tuple[str, ...] = ()
+    ordered: tuple[str, ...] = ()
+    looked_up: tuple[str, ...] = ()
 
     @property
     def ddl(self) -> str:
@@ -85,6 +92,7 @@ _ALL = [
         lengths={"type": 30},
         domains={"type": LODGING_TYPES, "star_rating": [0, 1, 2, 3, 4, 5]},
         stamp="loaded_at",
+        ordered=("city_country", "type", "star_rating"),
     ),
     Table(
         "stg_users",
@@ -110,6 +118,9 @@ _ALL = [
         required=("id_review", "id_hostel", "id_user"),
         parents={"id_hostel": ("stg_hostels", "id_hostel")},
         stamp="loaded_at",
+        # The id at the end splits a lodging with very many reviews over files.
+        clustered=("id_hostel", "review_date", "id_review"),
+        looked_up=("id_user", "id_review"),
     ),
     Table(
         "kpi_coverage",
@@ -159,6 +170,7 @@ _ALL = [
         parents={"id_hostel": ("stg_hostels", "id_hostel"),
                  "group_key": ("kpi_equivalent_groups", "group_key")},
         stamp="calculated_at",
+        ordered=("group_key", "rank_in_group"),
     ),
     Table(
         "kpi_volume_vs_rating",
@@ -195,6 +207,7 @@ _ALL = [
         required=("segment_key", "sample_size", "is_valid"),
         lengths={"trip_code": 30, "gender_code": 20, "age_range": 10, "hostel_type": 30, "top_driver": 20},
         stamp="calculated_at",
+        ordered=("segment_key",),
     ),
     Table(
         "pipeline_run_log",

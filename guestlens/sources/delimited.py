@@ -26,7 +26,7 @@ _CORRUPT = "_corrupt_record"
 BROADCAST_SPLITS = 200_000
 
 
-def require_inputs(spark: SparkSession, paths: list[str]) -> None:
+def require_inputs(spark: SparkSession, paths: list[str | list[str]]) -> None:
     """Raise ``FileNotFoundError`` naming every path that does not exist."""
     missing = []
     for path in paths:
@@ -76,7 +76,7 @@ def _turns(sep: str) -> dict[str, Column]:
     return {"from_outside": ~plain & F.col("value").rlike(outside), "from_inside": plain | F.col("value").rlike(inside)}
 
 
-def files_with_open_quotes(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
+def files_with_open_quotes(spark: SparkSession, path: str | list[str], sep: str = ";") -> list[str]:
     """Files with a line that ends inside a quoted field, which therefore runs
     on into the next line. The list grows with such files, not with all files."""
     lines = spark.read.text(path).where(_turns(sep)["from_outside"])
@@ -198,12 +198,12 @@ def _parsed(records: DataFrame, names: list[str], schema: str, options: dict[str
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sep: str = ";",
     multi_line: bool | None = None,
     seen: Observation | None = None,
 ) -> DataFrame:
-    """Read a delimited file, or a folder of them, with a header row.
+    """Read a delimited file, or a folder or list of them, with a header row.
 
     Every column is text; ``ROW_ORDER`` sorts rows by file name and position.
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 from threading import Lock
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,13 +59,24 @@ class Warehouse:
 
         ``metrics`` are aggregates by name, taken in the same pass and left in
         ``self.metrics[name]``.
+
+        The rows of a clustered table are dealt to files by ranges of its columns,
+        for which Spark first takes a sample of them: ``df`` should be stored then.
         """
         folder = self._folder(name, version)
-        rows = conform(df, TABLES[name])
+        table = TABLES[name]
+        rows = conform(df, table)
+        if table.clustered:
+            rows = rows.repartitionByRange(*table.clustered)
+        if order := table.clustered or table.ordered:
+            rows = rows.sortWithinPartitions(*order)
         if metrics:
             observed = Observation(name)
             rows = rows.observe(observed, *[F.expr(text).alias(m) for m, text in metrics.items()])
-        rows.write.mode("errorifexists").parquet(folder)
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in table.looked_up}
+        if filters:
+            filters["parquet.bloom.filter.adaptive.enabled"] = "true"
+        rows.write.mode("errorifexists").options(**filters).parquet(folder)
         if metrics:
             self.metrics[name] = observed.get
         return self._load(name, folder)
@@ -113,23 +123,28 @@ class Warehouse:
 
     # -- appends ------------------------------------------------------------
 
-    def log(self, record: dict) -> None:
-        """Append one row to the run log; ``record`` holds columns of that table.
+    def log(self, *records: dict) -> None:
+        """Append rows to the run log, as one file; a record holds columns of that
+        table.
 
         Counts that are not given are zero, and times are now.
         """
         table = TABLES[RUN_LOG]
-        unknown = set(record) - set(table.columns)
-        if unknown:
-            raise ValueError(f"not columns of {RUN_LOG}: {sorted(unknown)}")
         usual = {"bigint": F.lit(0), "timestamp_ntz": F.current_timestamp().cast("timestamp_ntz")}
-        columns = []
-        for name, kind in table.columns.items():
-            value = record.get(name)
-            columns.append((usual.get(kind, F.lit(None)) if value is None else F.lit(value)).alias(name))
-        entry = conform(self.spark.range(1).select(*columns), table).coalesce(1)
-        with self._log_lock:
-            entry.write.mode("append").parquet(f"{self.root}/{RUN_LOG}")
+        rows = []
+        for record in records:
+            unknown = set(record) - set(table.columns)
+            if unknown:
+                raise ValueError(f"not columns of {RUN_LOG}: {sorted(unknown)}")
+            values = [
+                (usual.get(kind, F.lit(None)) if record.get(name) is None else F.lit(record[name])).cast(kind).alias(name)
+                for name, kind in table.columns.items()
+            ]
+            rows.append(F.struct(*values))
+        if rows:
+            entry = self.spark.range(1).select(F.inline(F.array(*rows)))
+            with self._log_lock:
+                entry.coalesce(1).write.mode("append").parquet(f"{self.root}/{RUN_LOG}")
 
     # -- freeing ------------------------------------------------------------
 
@@ -156,11 +171,8 @@ class Warehouse:
 
     def _latest_versions(self, name: str, keep: int) -> set[str]:
         """At most ``keep`` published versions, the newest first."""
-        try:
-            published = self.spark.read.schema(_PUBLISHED).parquet(f"{self.root}/_published")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        published = self._published()
+        if published is None:
             return set()
         own = published.where((F.col("table_name") == name) & F.col("folder").isNotNull())
         latest = own.groupBy("folder").agg(F.max("publication").alias("n")).orderBy(F.desc("n")).limit(keep)
@@ -184,23 +196,26 @@ class Warehouse:
         return f"{self.root}/{name}/{version}"
 
     def _load(self, name: str, folder: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(TABLES[name].ddl).parquet(folder)
-        except AnalysisException as e:
-            if name == RUN_LOG and e.getCondition() == "PATH_NOT_FOUND":
-                return self._empty(name)
-            raise
+        if name == RUN_LOG and not self._exists(folder):
+            return self._empty(name)
+        return self.spark.read.schema(TABLES[name].ddl).parquet(folder)
+
+    def _exists(self, folder: str) -> bool:
+        path, files = self._path(folder)
+        return files.exists(path)
+
+    def _published(self) -> DataFrame | None:
+        """The list of published folders, if anything was ever published."""
+        folder = f"{self.root}/_published"
+        return self.spark.read.schema(_PUBLISHED).parquet(folder) if self._exists(folder) else None
 
     def _empty(self, name: str) -> DataFrame:
         return self.spark.createDataFrame([], TABLES[name].ddl)
 
     def _current(self) -> dict:
         """Latest entry per table: at most one row for each declared table."""
-        try:
-            published = self.spark.read.schema(_PUBLISHED).parquet(f"{self.root}/_published")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        published = self._published()
+        if published is None:
             return {}
         latest = published.groupBy("table_name").agg(
             F.max_by(F.struct("folder", "publication"), "publication").alias("entry")

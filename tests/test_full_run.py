@@ -1,7 +1,7 @@
 import pytest
 
 from guestlens.operators.quality import row_tests
-from guestlens.plans.full_run import BrokenRule, full_run, orphans, report
+from guestlens.plans.full_run import CAUSES, BrokenRule, full_run, ledger, orphans, report
 from guestlens.schemas import TABLES
 from guestlens.sources.warehouse import Warehouse
 from tests.test_staging import DETAILS, HEADER, REVIEWS, review
@@ -151,3 +151,54 @@ def test_the_report_counts_what_the_rules_found(spark, tmp_path):
     assert found["stg_hostels", "required", "name"] == found["stg_users", "length", "trip_code"] == 0
     wanted = {(n, r, c) for n, t in TABLES.items() if t.stamp for r, c in row_tests(t.required, t.lengths, domains=t.domains)}
     assert set(found) == wanted
+
+
+def entries(house):
+    return {(r.table_name, r.cause, r.column_name): r.rows for r in ledger(house).collect()}
+
+
+def test_the_ledger_accounts_for_every_row(spark, tmp_path):
+    header = DETAILS.splitlines()[0]
+    width = header.count(";") + 1
+    line = dict(zip(header.split(";"), [""] * width)) | {"id_hostel": "1", "type": "HOSTEL", "city.name": "Rome", "city.country": "Italy"}
+    make = lambda **v: ";".join((line | {k.replace("__", "."): x for k, x in v.items()}).values())
+    details = [
+        header, make(name="a", starRating="3", totalRatings="1", freeCancellation__isAvailable="yes"),
+        make(name="copy"), make(id_hostel="NA"), make(name="long") + ";more", make(id_hostel="2", freeCancellation__isAvailable="True"),
+    ]
+    odd = review(10, 1, 100, "OTHER") + review(10, 1, 100, "OTHER") + review(11, 9, 101, "OTHER") + review("", 1, 1, "OTHER")
+    odd += review(12, 2, 103, "OTHER").replace("\n", ";;;\n") + review(13, 2, 103, "OTHER")
+    house = full_run(spark, *files(tmp_path, "\n".join(details) + "\n", HEADER + odd), "run")
+    found = entries(house)
+    lodgings = {c: n for (t, c, column), n in found.items() if t == "stg_hostels" and not column}
+    assert lodgings == {"read": 5, "surplus": 1, "null_key": 1, "duplicate": 1, "loaded": 2}
+    reviews = {c: n for (t, c, column), n in found.items() if t == "stg_reviews" and not column}
+    assert reviews == {"read": 6, "surplus": 1, "null_key": 1, "duplicate": 1, "orphan": 1, "loaded": 2}
+    for counts in (lodgings, reviews):
+        assert counts["read"] == sum(counts.get(c, 0) for c in CAUSES)
+    changed = {(c, column): n for (t, c, column), n in found.items() if t == "stg_hostels" and column}
+    assert changed == {
+        ("filled", "name"): 1, ("filled", "star_rating"): 2, ("filled", "total_ratings"): 2,
+        ("filled", "free_cancellation"): 1, ("unknown", "free_cancellation"): 1,
+    }
+
+
+def test_ratings_that_are_no_number_are_counted(spark, tmp_path):
+    place = HEADER.strip().split(";").index("review_rating_overall")
+    cells = review(10, 1, 100, "OTHER").strip().split(";")
+    lines = [";".join([*cells[:place], text, *cells[place + 1 :]]).replace("10", str(i), 1) for i, text in enumerate(["8.5d", "9", "n/a", "ten"], 20)]
+    house = full_run(spark, *files(tmp_path, reviews=HEADER + "\n".join(lines) + "\n"), "run")
+    found = {column: n for (t, c, column), n in entries(house).items() if c == "coerced"}
+    assert found["rating_overall"] == 2 and found["rating_safety"] == 0 and len(found) == 7
+
+
+def test_a_file_without_rows_has_a_ledger(spark, tmp_path):
+    house = full_run(spark, *files(tmp_path, reviews=HEADER + review("", 1, 1, "OTHER")), "run")
+    found = {c: n for (t, c, column), n in entries(house).items() if t == "stg_reviews" and not column}
+    assert found == {"read": 1, "surplus": 0, "null_key": 1, "duplicate": 0, "orphan": 0, "loaded": 0}
+
+
+def test_a_run_logs_its_stages_in_one_file(spark, tmp_path):
+    house = full_run(spark, *files(tmp_path), "run")
+    assert len(list((tmp_path / "house" / "pipeline_run_log").glob("*.parquet"))) == 1
+    assert house.read("pipeline_run_log").where("finished_at >= started_at").count() == 7

@@ -100,3 +100,54 @@ def test_the_shared_folder_follows_the_session():
     assert named.startswith("hdfs://a/b/x-")
     unnamed = shared_folder(Session(spark_sql_warehouse_dir="hdfs://a/w"), "x")
     assert unnamed.startswith("hdfs://a/w/_work/x-") and unnamed != shared_folder(Session(spark_sql_warehouse_dir="hdfs://a/w"), "x")
+
+
+def rows_read(df):
+    """Rows that the scans of a collected plan gave out."""
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "Scan" in node.nodeName():
+            found += node.metrics().get("numOutputRows").get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+    return found
+
+
+def test_lookups_read_a_small_part(spark, tmp_path):
+    """A third of all reviews is of one lodging; its rows are in several files."""
+    columns = [c for c in TABLES["stg_reviews"].data_columns if c.startswith("rating")]
+    reviews = spark.range(400_000).selectExpr(
+        "id AS id_review", "CAST(CASE WHEN id % 3 = 0 THEN 1 ELSE xxhash64(id) % 5000 + 6000 END AS INT) AS id_hostel",
+        "pmod(xxhash64(id, 1), 100000000) AS id_user", "date_add(DATE '2020-01-01', CAST(pmod(xxhash64(id, 2), 1000) AS INT)) AS review_date",
+        *[f"1 AS {c}" for c in columns],
+    )
+    reviews.write.parquet(str(tmp_path / "r"))
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        house = Warehouse(spark, str(tmp_path / "house"))
+        staged = house.refresh("stg_reviews", spark.read.parquet(str(tmp_path / "r")))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    sizes = [r["count"] for r in staged.groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 3 * min(sizes)
+    some = staged.where("id_hostel <> 1").first()
+    one = staged.where(f"id_hostel = {some.id_hostel}")
+    assert 0 < one.count() and rows_read(one) < 400_000 / 10
+    day = staged.where("id_hostel = 1 AND review_date = DATE '2021-03-04'")
+    assert 0 < day.count() and rows_read(day) < 400_000 / 10
+    user = staged.where(f"id_user = {some.id_user}")
+    assert 0 < user.count() and rows_read(user) < 400_000 / 2
+
+
+def test_a_new_warehouse_is_read_without_errors(spark, tmp_path, capfd):
+    house = Warehouse(spark, str(tmp_path / "none"))
+    assert house.read("stg_hostels").count() == house.read("pipeline_run_log").count() == 0
+    assert "PATH_NOT_FOUND" not in "".join(capfd.readouterr())
