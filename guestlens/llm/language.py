@@ -5,10 +5,11 @@ unseen word is scored by its 4-grams; those that are unseen too by their
 3-grams, and so on down to single letters. The language with the largest sum
 wins.
 
-The model is learned from a bounded sample of labelled texts, so that its size
-does not grow with the corpus: at most `TEXTS` different texts of each of the
-`LANGUAGES` most frequent labels, chosen by a hash of the text, and of those the
-most frequent words and n-grams. Every row is predicted.
+The model is learned from a bounded sample of labelled texts: at most `TEXTS`
+different texts of each label, chosen by a hash of the text. Of those the most
+frequent words and n-grams of every label are kept, with their counts in all
+labels. So the model grows with the labels, of which none is left out, and not
+with the corpus. Every row is predicted.
 """
 
 from __future__ import annotations
@@ -25,16 +26,44 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from guestlens.llm.tables import ship
+from guestlens.llm.tables import ship, stored
+from guestlens.operators.rows import lookup
 
 LETTERS = regex.compile(r"\p{L}+")
 LONGEST = 4
 
-#: Bounds of the training sample and of the model.
-LANGUAGES, TEXTS, WORDS, GRAMS = 128, 400, 4_000, 4_000
+#: Bounds of the training sample and of the model, per label.
+TEXTS, WORDS, GRAMS = 400, 4_000, 4_000
+#: A label's texts are first cut down in so many parts, so that they never meet.
+PARTS = 64
 #: Added to every count; what an n-gram loses per letter it is shorter.
 SMOOTH, BACKOFF = 0.5, math.log(0.4)
-REMEMBERED = 300_000
+#: Words whose scores a worker remembers, and numbers in all these scores.
+REMEMBERED, SCORES = 300_000, 1 << 24
+
+
+class Table:
+    """Log frequencies of grams per language. Only counts above zero are stored;
+    a language that does not have a gram has the same value for all of those."""
+
+    def __init__(self, grams: list[str], languages: np.ndarray, counts: np.ndarray, n_languages: int):
+        names, place = np.unique(np.array(grams, object), return_inverse=True) if grams else ([], np.zeros(0, np.int64))
+        self.number = {gram: k for k, gram in enumerate(names)}
+        order = np.lexsort((languages, place))
+        self.starts = np.searchsorted(place[order], np.arange(len(names) + 1))
+        self.languages = languages[order]
+        total = np.bincount(languages, counts, n_languages) + SMOOTH * (len(names) + 1)
+        self.logs = np.log((counts[order] + SMOOTH) / total[self.languages])
+        self.absent = np.log(SMOOTH / total)
+
+    def get(self, gram: str) -> np.ndarray | None:
+        k = self.number.get(gram)
+        if k is None:
+            return None
+        own = slice(self.starts[k], self.starts[k + 1])
+        row = self.absent.copy()
+        row[self.languages[own]] = self.logs[own]
+        return row
 
 
 @dataclass
@@ -42,23 +71,20 @@ class Model:
     """Log frequencies per language, in the order of `languages`."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]  # by length, from 1
+    words: Table
+    grams: list[Table]  # by length, from 1
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @staticmethod
     def of(counts: list[tuple[str, int, str, int]]) -> Model:
-        """From (language, kind, gram, count); kind 0 is words, n is n-grams."""
+        """From (language, kind, gram, count), each gram once; kind 0 is words, n is n-grams."""
         languages = sorted({c[0] for c in counts})
         place = {name: i for i, name in enumerate(languages)}
-        tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-        for name, kind, gram, n in counts:
-            row = tables[kind].setdefault(gram, np.zeros(len(languages)))
-            row[place[name]] += n
-        for table in tables:
-            total = sum(table.values(), np.zeros(len(languages))) + SMOOTH * (len(table) + 1)
-            for gram, row in table.items():
-                table[gram] = np.log((row + SMOOTH) / total)
+        tables = []
+        for kind in range(LONGEST + 1):
+            own = [c for c in counts if c[1] == kind]
+            numbers = np.array([place[c[0]] for c in own], np.int64), np.array([c[3] for c in own], np.float64)
+            tables.append(Table([c[2] for c in own], *numbers, len(languages)))
         return Model(languages, tables[0], tables[1:])
 
     def score(self, word: str) -> np.ndarray:
@@ -89,16 +115,15 @@ def train(docs: DataFrame) -> Model:
     ship(docs.sparkSession)
     rows = docs.select("lang", "text").where("lang is not null and text is not null and text != ''")
     rows = rows.withColumn("place", F.xxhash64("text"))
-    most = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    rows = rows.where(F.col("lang").isin(most)) if most else rows.limit(0)
     # The TEXTS-th smallest hash of each label; equal texts count once.
-    order = Window.partitionBy("lang").orderBy("place")
-    smallest = rows.select("lang", "place").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= TEXTS)
-    cuts = {r["lang"]: r["cut"] for r in smallest.groupBy("lang").agg(F.max("place").alias("cut")).collect()}
-    inside = F.lit(False)
-    for name, cut in cuts.items():  # at most LANGUAGES
-        inside = inside | ((F.col("lang") == name) & (F.col("place") <= cut))
-    sample = rows.where(inside).dropDuplicates(["lang", "place"]).select("lang", "text")
+    smallest = rows.select("lang", "place", F.pmod("place", F.lit(PARTS)).alias("part")).distinct()
+    for parts in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*parts).orderBy("place")
+        smallest = smallest.withColumn("n", F.row_number().over(order)).where(F.col("n") <= TEXTS)
+    # Stored, so that its size is known: a row per label is broadcast if it is small.
+    cuts = stored(smallest.groupBy("lang").agg(F.max("place").alias("cut")), "language-cuts")
+    sample = lookup(rows, cuts, "lang", row_id="place").where("place <= cut")
+    sample = sample.dropDuplicates(["lang", "place"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,10 +137,13 @@ def train(docs: DataFrame) -> Model:
 
     kinds = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
     counts = sample.mapInArrow(count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "language-counts")
     best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
-    kept = counts.withColumn("place", F.row_number().over(best))
-    kept = kept.where(F.col("place") <= F.when(F.col("kind") == 0, WORDS).otherwise(GRAMS))
-    return Model.of([(r["lang"], r["kind"], r["gram"], r["n"]) for r in kept.select("lang", "kind", "gram", "n").collect()])
+    chosen = counts.withColumn("place", F.row_number().over(best))
+    chosen = chosen.where(F.col("place") <= F.when(F.col("kind") == 0, WORDS).otherwise(GRAMS))
+    kept = counts.join(chosen.select("kind", "gram").distinct(), ["kind", "gram"], "left_semi")
+    found = kept.select("lang", "kind", "gram", "n").toArrow()
+    return Model.of(list(zip(*(found[c].to_pylist() for c in ("lang", "kind", "gram", "n")))))
 
 
 class _Scorer:
@@ -142,7 +170,7 @@ class _Scorer:
         words = LETTERS.findall((text or "").lower())
         if not words or not self.model.languages:
             return "und", 0.0
-        if len(self.number) > REMEMBERED:
+        if len(self.number) > min(REMEMBERED, SCORES // len(self.model.languages)):
             self.clear()
         total = self.rows_of(words).sum(axis=0)
         best = int(total.argmax())
@@ -174,7 +202,7 @@ def predicted(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by LANGUAGES, WORDS and GRAMS
+    shared = spark.sparkContext.broadcast(model)  # bounded by WORDS and GRAMS per label
     rows = docs.select(*columns, F.col("text").alias("text_to_predict"))
     schema = rows.schema[: len(columns)]
 

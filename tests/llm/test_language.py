@@ -1,9 +1,12 @@
 """Language identification: held-out accuracy and the model by hand."""
 
 import math
+import random
 import zlib
+from collections import Counter, defaultdict
 
 import pytest
+import regex
 
 from guestlens.llm import language
 from guestlens.llm.catalog import QUERIES
@@ -57,5 +60,93 @@ def test_the_label_and_id_play_no_part(spark):
 def test_repeated_texts_teach_once(spark):
     docs = documents(spark, [(i, "mot", "fr", None, None) for i in range(50)] + [(60, "mot word", "en", None, None)])
     model = language.train(docs)
-    assert set(model.words) == {"mot", "word"}
-    assert model.words["mot"][model.languages.index("fr")] == pytest.approx(math.log(1.5 / 2.5))
+    assert set(model.words.number) == {"mot", "word"}
+    assert model.words.get("mot")[model.languages.index("fr")] == pytest.approx(math.log(1.5 / 2.5))
+
+
+def brute(docs):
+    """[(doc_id, held_out, lang_pred, score)] from the definitions, for so few texts
+    that all of them are in the sample."""
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+    taught = {(lang, text) for d, text, lang in docs if d is not None and not held(d) and lang is not None and text}
+    split = lambda text: regex.findall(r"\p{L}+", (text or "").lower())
+    counts = [defaultdict(Counter) for _ in range(language.LONGEST + 1)]
+    for lang, text in taught:
+        for word in split(text):
+            counts[0][lang][word] += 1
+            marked = f" {word} "
+            for size in range(1, language.LONGEST + 1):
+                for i in range(len(marked) - size + 1):
+                    counts[size][lang][marked[i : i + size]] += 1
+    languages = sorted({lang for kind in counts for lang in kind})
+    logs = []
+    for kind, own in enumerate(counts):
+        most = language.WORDS if kind == 0 else language.GRAMS
+        kept = {g for c in own.values() for g in sorted(c, key=lambda g: (-c[g], g.encode()))[:most]}
+        total = [sum(own[x][g] for g in kept) + language.SMOOTH * (len(kept) + 1) for x in languages]
+        logs.append({g: [math.log((own[x][g] + language.SMOOTH) / t) for x, t in zip(languages, total)] for g in kept})
+
+    def score(word):
+        if word in logs[0]:
+            return logs[0][word]
+        marked, found = f" {word} ", []
+        for i in range(len(marked) - 1):
+            for size in range(min(language.LONGEST, len(marked) - i), 0, -1):
+                row = logs[size].get(marked[i : i + size])
+                if row is not None:
+                    found.append([x + language.BACKOFF * (language.LONGEST - size) for x in row])
+                    break
+        return [sum(x) / len(found) for x in zip(*found)] if found else [0.0] * len(languages)
+
+    out = []
+    for d, text, _ in docs:
+        total = [sum(x) for x in zip(*map(score, split(text)))]
+        if not total or not languages:
+            out.append((d, held(d), "und", 0.0))
+            continue
+        best = max(range(len(languages)), key=lambda k: (total[k], -k))
+        out.append((d, held(d), languages[best], 1 / sum(math.exp(x - total[best]) for x in total)))
+    return out
+
+
+@pytest.mark.parametrize("case", ["given", "fixture"])
+def test_query_equals_brute_force(spark, tmp_path, case):
+    if case == "given":
+        folder = "/root/testdata/sf0.001"
+        docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    else:
+        folder, docs = saved(documents(spark), tmp_path), [r[:3] for r in rows()]
+    found = sorted((tuple(r) for r in QUERIES["op8_identify_language"](spark, folder).select("doc_id", "held_out", "lang_pred", "score").collect()), key=repr)
+    wanted = sorted(brute(docs), key=lambda r: repr(r[:3]))
+    assert [f[:3] for f in sorted(found, key=lambda r: repr(r[:3]))] == [w[:3] for w in wanted]
+    by_key = lambda values: sorted((r[0] is None, r[0] or 0, r[2], round(r[3], 6)) for r in values)
+    assert by_key(found) == by_key(wanted)
+
+
+def test_no_label_is_left_out(spark):
+    """140 labels, of which one has a third of all rows."""
+    made = [(lang, " ".join("".join(random.Random(f"{lang}{i}{j}").choices(f"abc{chr(0x400 + lang)}", k=5)) for j in range(30))) for lang in range(140) for i in range(6)]
+    made += [(0, f"aaa bbb {chr(0x400)} x{i}") for i in range(400)]
+    values = [(i, text, f"l{lang:03d}", None, None) for i, (lang, text) in enumerate(made)]
+    model = language.train(documents(spark, values))
+    assert len(model.languages) == 140
+    found = language.predicted(documents(spark, values), model, ["doc_id"]).collect()
+    assert all(r.lang_pred == values[r.doc_id][2] for r in found)
+
+
+def test_the_sample_is_the_least_hashes_of_each_label(spark, monkeypatch):
+    monkeypatch.setattr(language, "TEXTS", 7)
+    docs = documents(spark, [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}", ("a", "b")[i % 3 == 0], None, None) for i in range(300)])
+    model = language.train(docs)
+    hashed = docs.selectExpr("lang", "text", "xxhash64(text) AS h").collect()
+    wanted = {r.text for name in "ab" for r in sorted((r for r in hashed if r.lang == name), key=lambda r: r.h)[:7]}
+    assert set(model.words.number) == wanted
+
+
+def test_clashing_columns(spark):
+    docs = documents(spark)
+    for name in ("place", "part", "cut", "n", "kind", "gram", "text_to_predict", "lang_pred", "score"):
+        docs = docs.withColumn(name, docs.lang)
+    plain = language.predicted(documents(spark), language.train(documents(spark)), ["doc_id"])
+    found = language.predicted(docs, language.train(docs), ["doc_id"])
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
