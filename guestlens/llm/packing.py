@@ -3,9 +3,10 @@
 What matters for a packing is how many pieces there are of each length, and that
 table has at most as many rows as a sequence has tokens, however large the
 corpus. The packing is made on that table: bin completion takes the largest
-length left, enumerates the undominated ways to fill the room beside it, and uses
-the best as often as its lengths last. Best-fit decreasing gives the solution to
-beat; a branch is given up when its waste cannot beat it. The pieces themselves
+length left, enumerates the undominated ways to fill the room beside it, and tries
+each as often as its lengths last. Best-fit decreasing, and descents that take the
+least waste or little enough, give the solution to beat; a branch is given up when
+its waste cannot beat it. The pieces themselves
 are then dealt to the places by their rank within their length, on Spark.
 """
 
@@ -23,8 +24,13 @@ from guestlens.llm.tables import ship, stored
 from guestlens.llm.tokens import encoder
 
 ROOM = 4096
-#: Fillings looked at per sequence, kept per sequence, and branches tried in all.
-FILLINGS, CHOICES, BRANCHES = 600, 3, 4_000
+#: Budgets of the search, none of which depends on the number of pieces: steps in
+#: enumerating the fillings beside one piece, fillings tried beside it, and fillings
+#: placed in all, per distinct filling of the solution to beat and besides. When one
+#: is used up the best solution found stays, which is never worse than best fit.
+STEPS, CHOICES, PLACED_PER_FILLING, PLACED = 3_000, 12, 3, 6_000
+#: Shares of the room that are little enough to waste in the first descents.
+DESCENTS = (ROOM + 1, 128, 64, 32, 16, 8)
 
 Filling = list[tuple[int, int]]  # (length, how many)
 
@@ -35,51 +41,74 @@ def _largest_below(counts: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(there)
 
 
-def fillings(counts: np.ndarray, room: int) -> list[tuple[int, Filling]]:
-    """(waste, filling) for one sequence with the largest length left, best first.
+def fillings(left: np.ndarray, room: int, most: int, steps: int = STEPS, enough: int = -1) -> list[Filling]:
+    """Undominated ways to fill a sequence with the largest length left that waste
+    at most so much, least waste first, of equal ones larger pieces first.
 
-    Lengths are tried from large to small, so the first filling is best fit, and
-    one made of shorter pieces is looked for only where it wastes less: of two
-    fillings of equal sums the one with larger pieces dominates.
+    Lengths are tried from large to small until nothing more fits. A filling is
+    dominated if a piece that is left could take the place of one of its pieces, or
+    of two, and fill the sequence better or as well with one piece in place of two.
+    A filling that wastes no more than ``enough`` ends the search.
     """
-    largest = int(np.flatnonzero(counts)[-1])
-    left = counts.copy()
-    left[largest] -= 1
-    below = _largest_below(left)
+    largest = int(np.flatnonzero(left)[-1])
+    rest = left.copy()
+    rest[largest] -= 1
+    below = _largest_below(rest).tolist()
+    totals = np.cumsum(rest * np.arange(len(rest))).tolist()
+    many_left = rest.tolist()
     found: list[tuple[int, Filling]] = []
-    tried = 0
 
     def extend(space: int, limit: int, chosen: Filling) -> None:
-        nonlocal tried
-        tried += 1
-        length = int(below[min(space, limit)])
+        nonlocal steps, most
+        length = below[min(space, limit)]
         if length == 0:
-            if not found or space < found[0][0]:
-                found.insert(0, (space, [(largest, 1), *chosen]))
+            if space <= most and whole(space, chosen):
+                # From here on only as little waste is of use; what came before stays.
+                found.append((space, chosen))
+                most = space
+                if space <= enough or (space == 0 and sum(w == 0 for w, _ in found) >= CHOICES):
+                    steps = 0
             return
-        while length:
-            for many in range(min(int(left[length]), space // length), 0, -1):
+        # What is left below must be able to bring the waste down far enough.
+        while length and totals[length] >= space - most and steps > 0:
+            for many in range(min(many_left[length], space // length), 0, -1):
+                steps -= 1
+                many_left[length] -= many
                 extend(space - many * length, length - 1, [*chosen, (length, many)])
-                if found[0][0] == 0 or tried > FILLINGS:
-                    return
-            length = int(below[length - 1])
-            # Beside the pieces chosen, what is left must be able to beat the best waste.
-            if length * int(left[length]) + _sum_below(length) < space - found[0][0] + 1:
-                return
-
-    totals = np.cumsum(left * np.arange(len(left)))
-
-    def _sum_below(length: int) -> int:
-        return int(totals[length - 1])
-
-    extend(room - largest, room, [])
-    merged = []
-    for waste, filling in found[:CHOICES]:
-        tally: dict[int, int] = {}
-        for length, many in filling:
-            tally[length] = tally.get(length, 0) + many
-        merged.append((waste, sorted(tally.items(), reverse=True)))
-    return merged
+                many_left[length] += many
+            length = below[length - 1]
+
+    def dominated(space: int, filling: Filling) -> bool:
+        single = [x for x, _ in filling]
+        own = [x for x, many in filling for _ in range(min(many, 2))]
+        pairs = {x + y for i, x in enumerate(own) for y in own[i + 1 :]} if len(own) < 12 else set()
+        taken = dict(filling)
+
+        def spare(least: int, size: int) -> bool:
+            # The largest piece that would fit in place of these, if it is not all used.
+            other = below[min(size, room)]
+            return other >= least and many_left[other] > taken.get(other, 0)
+
+        return any(spare(x + 1, x + space) for x in single) or any(spare(x, x + space) for x in pairs)
+
+    def whole(space: int, filling: Filling) -> bool:
+        # A longer piece than the last may fit, if it is not all used.
+        size = below[space]
+        while size and many_left[size] == 0:
+            size = below[size - 1]
+        return size == 0
+
+    extend(room - largest, room - largest, [])
+    found.sort(key=lambda x: x[0])
+    # What dominates the best one may lie beyond the steps, so that one always stays.
+    good = found[:1] + [(w, f) for w, f in found[1:] if not dominated(w, f)]
+    out = []
+    for _, filling in good[:CHOICES]:
+        if filling and filling[0][0] == largest:
+            out.append([(largest, filling[0][1] + 1), *filling[1:]])
+        else:
+            out.append([(largest, 1), *filling])
+    return out
 
 
 def best_fit(counts: np.ndarray, room: int) -> list[tuple[int, Filling]]:
@@ -118,54 +147,72 @@ def _with(filling: Filling, length: int) -> Filling:
 
 
 def completed(counts: np.ndarray, room: int) -> list[tuple[int, Filling]]:
-    """(how often, filling) by bin completion, the best solution found."""
+    """(how often, filling) by bin completion, the best solution found.
+
+    Depth first: beside the largest length left every undominated filling is tried,
+    as often as its lengths last and, where that is more than once, once. What a
+    filling may waste is what the solution to beat leaves over, so a branch ends as
+    soon as it could only be as good.
+    """
     best = best_fit(counts, room)
     fewest = sum(n for n, _ in best)
     sizes = np.arange(len(counts))
-
-    def bound(left: np.ndarray) -> int:
-        return -(-int(left @ sizes) // room)
-
-    def often(left: np.ndarray, filling: Filling) -> int:
-        return min(int(left[length]) // many for length, many in filling)
-
-    if fewest <= bound(counts):
-        return best
-    # One descent with the best filling each time; given up once it cannot win.
-    left, solution, used = counts.copy(), [], 0
-    while left.any() and used + bound(left) < fewest:
-        _, filling = fillings(left, room)[0]
-        n = often(left, filling)
+    total = int(counts @ sizes)
+    least = -(-total // room)
+    placed = PLACED + PLACED_PER_FILLING * len(best)
+    left, used, filled = counts.copy(), 0, 0
+    chosen: list[tuple[int, Filling]] = []
+    # Per depth what is still to be tried there, the next one last.
+    todo: list[list[tuple[int, Filling]]] = []
+
+    def place(n: int, filling: Filling) -> None:
+        nonlocal used, filled
         for length, many in filling:
             left[length] -= n * many
-        solution.append((n, filling))
+            filled += n * many * length
         used += n
-    if not left.any() and used < fewest:
-        best, fewest = solution, used
-    if fewest <= bound(counts) or len(best) > 300:
-        return best
-
-    # Few fillings are enough: try the other choices too, depth first.
-    branches = BRANCHES
-
-    def branch(left: np.ndarray, used: int, chosen: list[tuple[int, Filling]]) -> None:
-        nonlocal best, fewest, branches
-        branches -= 1
-        if used + bound(left) >= fewest:
-            return
-        if not left.any():
-            best, fewest = chosen, used
-            return
-        for _, filling in fillings(left, room):
-            n = often(left, filling)
-            after = left.copy()
-            for length, many in filling:
-                after[length] -= n * many
-            branch(after, used + n, [*chosen, (n, filling)])
-            if branches <= 0 or fewest <= bound(counts):
-                return
-
-    branch(counts.copy(), 0, [])
+
+    def choices() -> list[tuple[int, Filling]]:
+        slack = (fewest - 1 - used) * room - (total - filled)
+        if slack < 0:
+            return []
+        out = []
+        for filling in fillings(left, room, slack):
+            often = min(int(left[length]) // many for length, many in filling)
+            out += [(often, filling)] + ([(1, filling)] if often > 1 else [])
+        return out[::-1]
+
+    # Solutions to beat: one descent each with the least waste, or with the first
+    # filling that wastes little enough, which leaves small pieces for later.
+    for enough in DESCENTS:
+        while fewest > least and filled < total:
+            found = fillings(left, room, room, STEPS, room // enough)[0]
+            n = min(int(left[length]) // many for length, many in found)
+            place(n, found)
+            chosen.append((n, found))
+        if filled == total and used < fewest:
+            best, fewest = list(chosen), used
+        left, used, filled, chosen = counts.copy(), 0, 0, []
+
+    if fewest > least:
+        todo.append(choices())
+    while todo and placed > 0 and fewest > least:
+        if not todo[-1]:
+            todo.pop()
+            if chosen:
+                n, filling = chosen.pop()
+                place(-n, filling)
+            continue
+        n, filling = todo[-1].pop()
+        place(n, filling)
+        chosen.append((n, filling))
+        placed -= 1
+        if filled == total:
+            if used < fewest:
+                best, fewest = list(chosen), used
+            todo.append([])
+        else:
+            todo.append(choices())
     return best
 
 

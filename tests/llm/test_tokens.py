@@ -2,6 +2,7 @@
 
 import io
 import itertools
+import random
 import zlib
 from collections import defaultdict
 
@@ -159,6 +160,44 @@ def test_large_tables_of_lengths_pack_tightly():
     assert used <= -(-int(lengths.sum()) // 4096) + 2
 
 
+def triplets(n):
+    """Lengths cut from full sequences of three pieces each."""
+    rng, lengths = random.Random(n), []
+    for _ in range(n):
+        a = rng.randrange(1024, 2048)
+        b = rng.randrange((4096 - a) // 3, (4096 - a) * 2 // 3)
+        lengths += [a, b, 4096 - a - b]
+    return np.bincount(lengths, minlength=4097)
+
+
+@pytest.mark.parametrize("n,most", [(30, 30), (200, 202), (1000, 1015)])
+def test_pieces_that_would_fill_all_sequences(n, most):
+    counts = triplets(n)
+    solution = packing.completed(counts, 4096)
+    used = np.zeros(4097, dtype=int)
+    for k, filling in solution:
+        assert sum(length * many for length, many in filling) <= 4096
+        for length, many in filling:
+            used[length] += k * many
+    assert (used == counts).all()
+    assert n <= sum(k for k, _ in solution) <= most < sum(k for k, _ in packing.best_fit(counts, 4096))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9), st.integers(0, 20))
+def test_fillings_hold_the_best_one(lengths, most):
+    """Against all ways to choose pieces beside a largest one."""
+    counts, largest = np.bincount(lengths, minlength=21), max(lengths)
+    rest = sorted(lengths)[:-1]
+    sums = {largest + sum(rest[i] for i in range(len(rest)) if mask >> i & 1) for mask in range(1 << len(rest))}
+    least = min((20 - s for s in sums if s <= 20), default=None)
+    found = packing.fillings(counts, 20, most)
+    assert bool(found) == (least <= most)
+    if found:
+        assert 20 - sum(x * many for x, many in found[0]) == least
+    assert all(dict(f)[largest] and all(many <= counts[x] for x, many in f) for f in found)
+
+
 def greedy(word, vocabulary, prefix):
     rest, n = prefix + word, 0
     while rest:
