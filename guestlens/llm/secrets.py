@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from guestlens.llm.tables import only, stored
 
-_VALUE = r"([A-Za-z0-9+/_.=-]+)"
+_SIGNS = "[A-Za-z0-9+/_.=-]"
+_VALUE = rf"({_SIGNS}+)"
+_SECRET_NAMES = "(?i:(password|passwd|secret|token|api_?key))"
 _SETS = r"""["']?\x20*[:=]\x20*["']?"""
 
 #: Kind, pattern, and what a match needs: the group measured and
 #: its least length. The kinds' order settles spans that start together.
 BASE_KINDS = (
-    ("assign", rf"(?i:(password|passwd|secret|token|api_?key)){_SETS}{_VALUE}", 2, 12),
+    ("assign", rf"{_SECRET_NAMES}{_SETS}{_VALUE}", 2, 12),
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
@@ -29,6 +31,8 @@ _HOST = r"[A-Za-z0-9_.-]+(?::[0-9]+)?"
 #: Any scheme, with user and password inside or not. The scheme is bounded, so that
 #: a long run of letters is not walked from each of its places to its end.
 _URL = rf"""[A-Za-z][A-Za-z0-9+.-]{{0,30}}://(?:[^\x00-\x20/@"'<>]*@)?(?:\[[0-9A-Fa-f:.]+\]|{_HOST})"""
+#: Without a scheme, a dot, a port or brackets tell a host from a word.
+_BARE = r"(?:[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+(?::[0-9]+)?|[A-Za-z0-9_-]+:[0-9]+|\[[0-9A-Fa-f:.]+\])"
 _IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
 _HOST_NAMES = r"(?:[Hh][Oo][Ss][Tt](?:[Nn][Aa][Mm][Ee])?|[Ss][Ee][Rr][Vv][Ee][Rr]|[Aa][Dd][Dd][Rr](?:[Ee][Ss][Ss])?)"
 _SSH = r"[Ss][Ss][Hh]\x20+[A-Za-z0-9_.-]+@[A-Za-z0-9_.-]+"
@@ -38,9 +42,10 @@ _JDBC = rf"jdbc:[a-z0-9:]+:@(?://)?{_HOST}"
 WEAK_KINDS = (
     ("user", rf"(?i:(user|username|login|account|client_?id)){_SETS}([A-Za-z0-9_.@-]{{3,}})", 0, 0),
     ("opaque", r"[A-Za-z0-9+/_-]{24,}={0,2}", 0, 0),
-    ("endpoint", rf"{_URL}|{_IPV4}|{_JDBC}|{_SSH}|{_HOST_NAMES}{_SETS}(?:{_URL}|{_HOST})", 0, 0),
-    # Long assignments match too, and are dropped because the base span covers them.
-    ("short", BASE_KINDS[0][1], 2, 3),
+    ("endpoint", rf"{_URL}|{_IPV4}|{_JDBC}|{_SSH}|{_HOST_NAMES}{_SETS}(?:{_URL}|{_BARE})", 0, 0),
+    # Three characters in quotes, or with a digit, plus or underscore: words alone are
+    # prose. Long assignments match too, and are dropped as the base span covers them.
+    ("short", rf"""{_SECRET_NAMES}["']?\x20*[:=]\x20*(?:["']{_SIGNS}{{3,}}|[A-Za-z/.=-]*[0-9+_]{_SIGNS}{{2,}}|[A-Za-z/.=-]+[0-9+_]{_SIGNS}|[A-Za-z/.=-]{{2,}}[0-9+_])""", 0, 0),
 )
 KINDS = tuple(k[0] for k in BASE_KINDS + WEAK_KINDS)
 
