@@ -113,21 +113,24 @@ covered AS (
 lines AS (
   SELECT r, count(*) - count(DISTINCT line) AS n
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM texts) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
-languages AS (
-  SELECT lang FROM texts GROUP BY lang
-  HAVING lang IS NOT NULL AND count(*) >= {quality.LANGUAGE_SHARE} * (SELECT count(*) FROM texts WHERE lang IS NOT NULL)),
+taught AS (
+  SELECT min(r) AS r, lang FROM texts LEFT JOIN covered USING (r)
+  WHERE lang IS NOT NULL AND len(w) >= {quality.LEAST_WORDS} AND 100 * coalesce(n, 0) <= {quality.MOST_REPEATED_PERCENT} * len(w)
+  GROUP BY lang, t),
+languages AS (SELECT DISTINCT lang FROM taught),
 chars AS (
   SELECT r, lang, unnest(range(0, {len(_CLASSES)})) AS k, unnest([{_COUNTS}]) AS n, length(t) AS total FROM texts JOIN languages USING (lang)),
-char_reference AS (SELECT lang, k, sum(n) / sum(total) AS q FROM chars GROUP BY lang, k),
+char_reference AS (SELECT lang, k, sum(n) / sum(total) AS q FROM chars WHERE r IN (SELECT r FROM taught) GROUP BY lang, k),
 char_distance AS (
   SELECT r, {_divergence('p', 'q')} AS d
   FROM (SELECT r, lang, k, n / total::DOUBLE AS p FROM chars WHERE total >= {quality.LEAST_CHARS_JUDGED}) JOIN char_reference USING (lang, k)
   GROUP BY r),
 words AS (SELECT r, lang, unnest(lowered) AS word FROM texts JOIN languages USING (lang)),
+taught_words AS (SELECT lang, word FROM words WHERE r IN (SELECT r FROM taught)),
 common AS (
-  SELECT lang, word, n FROM (SELECT lang, word, count(*) AS n FROM words GROUP BY lang, word)
+  SELECT lang, word, n FROM (SELECT lang, word, count(*) AS n FROM taught_words GROUP BY lang, word)
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {_FIRST}),
-totals AS (SELECT lang, count(*) AS total FROM words GROUP BY lang),
+totals AS (SELECT lang, count(*) AS total FROM taught_words GROUP BY lang),
 word_reference AS (
   SELECT lang, word, n / total::DOUBLE AS q FROM common JOIN totals USING (lang)
   UNION ALL SELECT lang, NULL, (any_value(total) - sum(n)) / any_value(total)::DOUBLE FROM common JOIN totals USING (lang) GROUP BY lang),
@@ -180,7 +183,8 @@ def _matches(kind: int) -> str:
 _KIND = {name: k for k, name in enumerate(secrets.KINDS)}
 _LAST_BASE = len(secrets.BASE_KINDS) - 1
 _NAMES = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
-_SECRET_KINDS = f"{_KIND['assign']}, {_KIND['hex']}, {_KIND['opaque']}"
+_LOOSE = f"{_KIND['opaque']}, {_KIND['short']}"
+_SECRET_KINDS = f"{_KIND['assign']}, {_KIND['hex']}, {_LOOSE}"
 
 
 def _near(kinds: str) -> str:
@@ -199,7 +203,7 @@ clear AS (
     SELECT 1 FROM spans b WHERE b.r = s.r AND b.kind <= {_LAST_BASE} AND b.start < s.finish AND s.start < b.finish)),
 reported AS (
   SELECT * FROM clear c WHERE kind <= {_LAST_BASE}
-    OR kind = {_KIND['opaque']} AND ({_near(str(_KIND['access']))} OR ({_near(str(_KIND['user']))} AND {_near(str(_KIND['endpoint']))}))
+    OR kind IN ({_LOOSE}) AND ({_near(str(_KIND['access']))} OR ({_near(str(_KIND['user']))} AND {_near(str(_KIND['endpoint']))}))
     OR kind = {_KIND['user']} AND {_near(_SECRET_KINDS)} AND {_near(str(_KIND['endpoint']))}
     OR kind = {_KIND['endpoint']} AND ({_near(str(_KIND['access']))} OR {_near(str(_KIND['user']))}) AND {_near(_SECRET_KINDS)}),
 listed AS (

@@ -24,8 +24,6 @@ SYMBOLS = r"[^#*$%&|<>]+"
 
 #: Most frequent words per language in the word histogram.
 COMMON = 24
-#: No least share: every language has a reference (the SQL check reads this).
-LANGUAGE_SHARE = 0
 #: So many references are broadcast, of the languages with the most rows. Each of
 #: the others has fewer than one in so many rows, and meets its rows in a shuffle.
 BROADCAST = 1_000
@@ -42,8 +40,8 @@ BUCKETS = 1 << 20
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc (all columns), n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, and the histograms' raw material, without any shuffle."""
+    """doc (all columns), lang, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, n, and the counts of character classes, without any shuffle."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("doc"), F.col("lang").alias("lang"), text.alias("t"))
     rows = rows.select(
@@ -53,7 +51,6 @@ def measures(docs: DataFrame) -> DataFrame:
         split_words(F.col("t")).alias("words"),
         F.filter(F.split("t", "\n"), lambda line: line.rlike(WORD)).alias("lines"),
         F.regexp_replace("t", "[a-z]+", "").alias("no_lower"),
-        F.array_remove(F.split(F.lower("t"), GAP), "").alias("lowered"),
     )
     rows = rows.select("*", F.regexp_replace("no_lower", "[A-Z]+", "").alias("no_letters"), _windows().alias("windows"))
     rows = rows.select(
@@ -80,10 +77,14 @@ def measures(docs: DataFrame) -> DataFrame:
             F.length("rest") - plain_rest,
             plain_rest,
         ).alias("classes"),
-        "lowered",
     )
 
 
+def lowered() -> Column:
+    """The words of a measured row in lower case."""
+    return F.array_remove(F.split(F.lower(F.coalesce(F.col("doc")["text"], F.lit(""))), GAP), "").alias("lowered")
+
+
 def _windows() -> Column:
     inside = ", ".join(f"words[i + {k}]" for k in range(WINDOW))
     return F.expr(
@@ -109,20 +110,20 @@ def _covered() -> Column:
     return F.expr(f"coalesce(aggregate(transform(starts, (p, k) -> {step}), 0L, (a, x) -> a + x), 0L)")
 
 
-def references(docs: DataFrame) -> DataFrame:
+def references(measured: DataFrame) -> DataFrame:
     """lang, documents, classes, common, counts: one row per language that has a reference.
 
-    Every text that passes the base rules counts, once per language however many
+    ``measured`` is a stored result of ``measures``. Every text that passes the base rules counts, once per language however many
     copies there are. The sums of classes and words are one pass over these texts,
     summed in each task before they are shuffled, and the most frequent words are
     chosen per task before they meet.
     """
-    rows = measures(_different(docs.select("lang", "text").where("lang is not null and text is not null")))
+    taught = measured.where("lang is not null").where(~base_failed())
+    rows = _different(taught.select("lang", lowered(), F.col("doc")["text"].alias("t"), "classes"))
     # The sums of classes, and the number of words, go under "0" to "6" in rows of their own.
     sums = "transform(concat(classes, array(size(lowered))), (x, k) -> struct(false as is_word, cast(k as string) as word, cast(x as long) as n))"
     words = "transform(lowered, w -> struct(true as is_word, w as word, 1L as n))"
-    entries = F.when(~base_failed(), F.expr(f"concat({sums}, {words})"))
-    counted = rows.select("lang", F.inline(entries)).groupBy("lang", "is_word", "word").agg(F.sum("n").alias("n"))
+    counted = rows.select("lang", F.inline(F.expr(f"concat({sums}, {words})"))).groupBy("lang", "is_word", "word").agg(F.sum("n").alias("n"))
     # There are fewer sums than words to choose, so the choice keeps them all.
     order = Window.partitionBy("lang", "is_word").orderBy(F.col("n").desc(), "word")
     top = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON)
@@ -132,7 +133,7 @@ def references(docs: DataFrame) -> DataFrame:
         sum_of(CLASSES).alias("n_words"),
         F.sort_array(F.collect_list(F.when(F.col("is_word"), F.struct("place", "word", "n")))).alias("top"),
     )
-    rows_of = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("documents"))
+    rows_of = measured.where("lang is not null").groupBy("lang").agg(F.count("*").alias("documents"))
     joined = chosen.join(rows_of, "lang")
     return joined.select(
         "lang",
@@ -147,17 +148,19 @@ def references(docs: DataFrame) -> DataFrame:
 
 
 def _different(rows: DataFrame) -> DataFrame:
-    """The different rows of lang and text, moving only texts that may have copies.
+    """One row of each lang and text t, moving only texts that may have copies.
 
     A bucket of hashes with copies sends all of its texts to the exact comparison,
     so a hash that collides costs a move and never a text.
     """
-    hashed = F.xxhash64("lang", "text")
+    hashed = F.xxhash64("lang", "t")
     copied = rows.select(hashed.alias("h")).groupBy("h").count().where("count > 1")
     # At most BUCKETS rows of one number, whatever the size of the corpus.
     buckets = F.broadcast(copied.select(F.expr(f"pmod(h, {BUCKETS}L)").alias("bucket")).distinct())
     inside = F.pmod(hashed, F.lit(BUCKETS).cast("long")) == F.col("bucket")
-    return rows.join(buckets, inside, "left_anti").unionByName(rows.join(buckets, inside, "left_semi").distinct())
+    moved = rows.drop("lowered").join(buckets, inside, "left_semi").distinct()
+    moved = moved.withColumn("lowered", F.array_remove(F.split(F.lower("t"), GAP), ""))
+    return rows.join(buckets, inside, "left_anti").unionByName(moved)
 
 
 def base_failed() -> Column:
@@ -174,17 +177,17 @@ def distance(p: str, q: str) -> str:
     return f"sqrt(greatest(0D, 0.5D * aggregate({both}, 0D, (a, x) -> a + x)))"
 
 
-def _referred(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """The measures of all rows with the reference of their language, if it has one."""
+def _referred(measured: DataFrame, known: DataFrame) -> DataFrame:
+    """The measured rows with the reference of their language, if it has one."""
     same = F.col("lang") == F.col("reference_lang")
     if known.count() <= BROADCAST:
-        return measures(docs).join(F.broadcast(known), same, "left")
+        return measured.join(F.broadcast(known), same, "left")
     frequent = F.broadcast(stored(known.orderBy(F.desc("documents"), "reference_lang").limit(BROADCAST), "quality-frequent"))
     rare = known.join(frequent.select(F.col("reference_lang").alias("name")), F.col("reference_lang") == F.col("name"), "left_anti")
-    labelled = docs.where("lang is not null")
-    first = labelled.join(frequent, same, "left_semi").unionByName(docs.where("lang is null"))
+    labelled = measured.where("lang is not null")
+    first = labelled.join(frequent, same, "left_semi").unionByName(measured.where("lang is null"))
     rest = labelled.join(frequent, same, "left_anti")
-    return measures(first).join(frequent, same, "left").unionByName(measures(rest).join(rare.hint("merge"), same, "left"))
+    return first.join(frequent, same, "left").unionByName(rest.join(rare.hint("merge"), same, "left"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -198,7 +201,10 @@ def judged(docs: DataFrame) -> DataFrame:
     without a text that passes them (none of its rows is kept), and for texts below the sizes to be judged. Repeated rows are judged
     alike. No rows give no rows.
     """
-    rows = _referred(docs, stored(references(docs), "quality-references").withColumnRenamed("lang", "reference_lang"))
+    # Measured once: what is counted of a text is far more work than reading it again.
+    measured = stored(measures(docs), "quality-measures")
+    known = stored(references(measured), "quality-references").withColumnRenamed("lang", "reference_lang")
+    rows = _referred(measured, known).withColumn("lowered", lowered())
     common_counts = "transform(common, c -> cast(size(lowered) - size(array_remove(lowered, c)) as double))"
     rows = rows.withColumn(
         "common_counts", F.expr(f"if(common is null or n_words < {LEAST_WORDS_JUDGED}, null, {common_counts})")

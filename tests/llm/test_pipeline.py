@@ -31,13 +31,12 @@ def distance(p, q):
 def good(docs):
     """The documents that the rules keep."""
     classes = {d: [len(re.findall(c, d[1] or "")) for c in CLASSES] for d in set(docs)}
-    of_lang = Counter(d[2] for d in docs if d[2] is not None)
-    known = {k for k, n in of_lang.items() if n >= quality.LANGUAGE_SHARE * sum(of_lang.values())}
     chars, tally = {}, {}
-    for d in docs:
-        if d[2] in known:
-            chars[d[2]] = [a + b for a, b in zip(chars.get(d[2], [0] * 6), classes[d])]
-            tally.setdefault(d[2], Counter()).update(words((d[1] or "").lower()))
+    for text, lang in {(d[1], d[2]) for d in docs if d[1] is not None and d[2] is not None}:
+        if not counted(text)[-1]:
+            chars[lang] = [a + b for a, b in zip(chars.get(lang, [0] * 6), [len(re.findall(c, text)) for c in CLASSES])]
+            tally.setdefault(lang, Counter()).update(words(text.lower()))
+    known = set(tally)
     top = {k: sorted(t, key=lambda w: (-t[w], w.encode()))[: quality.COMMON] for k, t in tally.items()}
     out = []
     for d in docs:
