@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from guestlens.llm.tables import ship, stored
 
-#: Stretches remembered per worker before it starts anew, and their longest.
-REMEMBERED, LONGEST = 300_000, 64
+#: Stretches remembered per worker, twice so many at most, and their longest.
+REMEMBERED, LONGEST = 200_000, 64
 #: Characters of text in one Arrow table; a longer text is a table of its own.
 TOGETHER = 1_000_000
 #: Pairs counted in a task before they are passed on, and in one row.
@@ -82,7 +83,9 @@ class TokenPair:
             for i, p in enumerate(pieces)
             if not self.b.is_byte(i)
         )
+        self.a_table, self.b_table = (pa.array(x, pa.binary()) for x in (self.a_bytes, self.b_bytes))
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
 
     def _b_ids(self, texts: list[str]) -> list[list[int]]:
         """The model puts a space before a text, so one that a text starts with is
@@ -90,23 +93,46 @@ class TokenPair:
         out = self.b.encode([t[1:] if t[:1] == " " else t for t in texts], num_threads=1)
         return [ids if t[:1] == " " else ids[1:] for t, ids in zip(texts, out)]
 
-    def _encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, bool]]:
-        a = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        for text, x, y in zip(texts, a, self._b_ids(texts)):
-            raw, x = text.encode(), x.ids
-            same = b"".join([self.a_bytes[i] for i in x]) == raw == b"".join([self.b_bytes[i] for i in y])
-            yield np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes(), same
+    def _encode(self, texts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """Ids of both for each stretch, and whether their bytes are those of it."""
+        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = [t.encode() for t in texts]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        same, parts = np.ones(len(texts), bool), []
+        for ids, table, sizes in ((a, self.a_table, self.a_size), (self._b_ids(texts), self.b_table, self.b_size)):
+            count = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum()))
+            end = np.cumsum(count)
+            ends = np.concatenate([[0], np.cumsum(sizes[flat])])
+            same &= np.diff(ends[np.concatenate([[0], end])]) == size
+            joined = _data(table.take(pa.array(flat)))
+            if joined != b"".join(raw):
+                start = ends[np.concatenate([[0], end[:-1]])].tolist()
+                same &= np.array([joined[s : s + len(r)] == r for s, r in zip(start, raw)])
+            ids_raw, cut = flat.tobytes(), (4 * end).tolist()
+            parts.append([ids_raw[s:e] for s, e in zip([0, *cut], cut)])
+        return list(zip(*parts, same.tolist()))
 
     def of(self, texts: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Ids of both for each of these different stretches, and whether their
-        bytes are those of the stretch."""
-        new = [t for t in texts if t not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = texts
-        found = dict(zip(new, self._encode(new)))
+        """The same for these different stretches, from memory where it has them.
+        What was asked for lately outlives what was not."""
+        found = {}
+        for text in texts:
+            ids = self.known.get(text) or self.older.get(text)
+            if ids:
+                found[text] = ids
+        new = [t for t in texts if t not in found]
+        found.update(zip(new, self._encode(new)))
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
         self.known.update((t, ids) for t, ids in found.items() if len(t) <= LONGEST)
-        return [found.get(t) or self.known[t] for t in texts]
+        return [found[t] for t in texts]
+
+
+def _data(values: pa.BinaryArray) -> bytes:
+    """The bytes of all values, one behind the other."""
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    return values.buffers()[2].to_pybytes()[offsets[0] : offsets[-1]] if len(values) else b""
 
 
 @lru_cache(maxsize=2)
