@@ -202,7 +202,8 @@ def judged(docs: DataFrame) -> DataFrame:
     alike. No rows give no rows.
     """
     # Measured once: what is counted of a text is far more work than reading it again.
-    measured = stored(measures(docs), "quality-measures")
+    # Whole texts are stored, so they are packed well.
+    measured = stored(measures(docs), "quality-measures", "zstd")
     known = stored(references(measured), "quality-references").withColumnRenamed("lang", "reference_lang")
     rows = _referred(measured, known).withColumn("lowered", lowered())
     common_counts = "transform(common, c -> cast(size(lowered) - size(array_remove(lowered, c)) as double))"
