@@ -40,6 +40,8 @@ PARTS = 64
 SMOOTH, BACKOFF = 0.5, math.log(0.4)
 #: Words whose scores a worker remembers, and numbers in all these scores.
 REMEMBERED, SCORES = 300_000, 1 << 24
+#: Numbers of a table of grams and languages that is held in full.
+FULL = 1 << 20
 
 
 class Table:
@@ -55,11 +57,18 @@ class Table:
         total = np.bincount(languages, counts, n_languages) + SMOOTH * (len(names) + 1)
         self.logs = np.log((counts[order] + SMOOTH) / total[self.languages])
         self.absent = np.log(SMOOTH / total)
+        # All rows at once where that is small, so that none is built per use.
+        self.rows = None
+        if len(names) * n_languages <= FULL:
+            self.rows = np.tile(self.absent, (len(names), 1))
+            self.rows[place, languages] = np.log((counts + SMOOTH) / total[languages])
 
     def get(self, gram: str) -> np.ndarray | None:
         k = self.number.get(gram)
         if k is None:
             return None
+        if self.rows is not None:
+            return self.rows[k]
         own = slice(self.starts[k], self.starts[k + 1])
         row = self.absent.copy()
         row[self.languages[own]] = self.logs[own]

@@ -109,6 +109,16 @@ def brute(docs):
     return out
 
 
+def test_rows_in_full_equal_those_made_of_counts(monkeypatch):
+    counts = [(name, kind, gram, n + len(gram)) for n, name in enumerate("xyz") for kind, gram in ((0, "ab"), (1, "a"), (2, "c" + name))]
+    full = language.Model.of(counts)
+    monkeypatch.setattr(language, "FULL", 0)
+    sparse = language.Model.of(counts)
+    assert full.words.rows is not None and sparse.words.rows is None
+    for word in ("ab", "ca", "cx", "q"):
+        assert full.score(word).tolist() == sparse.score(word).tolist()
+
+
 @pytest.mark.parametrize("case", ["given", "fixture"])
 def test_query_equals_brute_force(spark, tmp_path, case):
     if case == "given":
