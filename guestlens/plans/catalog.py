@@ -459,21 +459,22 @@ def ingest_bad_rows(spark, folder):
     return raw.select("id", "name", "score")
 
 
-# Per KPI table: row key, numeric measures, text measures.
+def _measures(name: str, key: str) -> tuple[str, list[str], list[str]]:
+    """A table's row key, numeric measures and text measures, from its declaration."""
+    table = TABLES[name]
+    shown = {c: t for c, t in table.columns.items() if c not in table.key and c not in (key, "dag_run_id") and t != "timestamp_ntz"}
+    words = [c for c, t in shown.items() if t == "string"]
+    return key, [c for c in shown if c not in words], words
+
+
 _MEASURES = {
-    "kpi_coverage": ("'all'", ["total_hostels", "hostels_with_reviews", "coverage_pct"], []),
-    "kpi_hostel_ratings": (
-        "id_hostel",
-        ["review_count", *[f"avg_{d}" for d in ["overall", *DIMENSIONS]], "stddev_overall"],
-        [],
-    ),
-    "kpi_equivalent_groups": ("group_key", ["hostel_count", "review_count", "avg_overall_group", "is_valid"], ["location"]),
-    "kpi_hostel_ranking": ("id_hostel", ["avg_overall", "rank_in_group", "deviation_from_group", "review_count"], ["group_key"]),
-    "kpi_volume_vs_rating": ("group_key", ["pearson_r", "sample_size"], []),
-    "kpi_global_drivers": ("group_key", [*[f"corr_{d}" for d in DIMENSIONS], "sample_size"], ["top_driver"]),
-    "kpi_user_profile_drivers": ("segment_key", [*[f"corr_{d}" for d in DIMENSIONS], "sample_size", "is_valid"], ["top_driver"]),
-    "pipeline_run_log": ("stage", ["records_processed", "records_excluded"], ["status", "exclusion_reason"]),
-}
+    n: _measures(n, key)
+    for n, key in [
+        ("kpi_coverage", "'all'"), ("kpi_hostel_ratings", "id_hostel"), ("kpi_equivalent_groups", "group_key"),
+        ("kpi_hostel_ranking", "id_hostel"), ("kpi_volume_vs_rating", "group_key"), ("kpi_global_drivers", "group_key"),
+        ("kpi_user_profile_drivers", "segment_key"), ("pipeline_run_log", "stage"),
+    ]
+}
 
 
 def _tidy(house: Warehouse) -> DataFrame:

@@ -16,11 +16,6 @@ def _rounded(expr: str, digits: int = 2, places: int = 10) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(28,{places})), {digits}) AS DOUBLE)"
 
 
-def _corr(x: str, y: str) -> str:
-    c = f"corr({y}, {x})"
-    return f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
-
-
 _LINE_RATINGS = """
     l_tax AS rating_location,
     CAST(floor(l_extendedprice / l_quantity / 200) AS DOUBLE) AS rating_staff,
@@ -174,41 +169,53 @@ FROM centred GROUP BY group_key HAVING count(*) >= 3)
 """
 
 
-def _drivers(group: str, source: str, result: str) -> str:
-    """Correlations first, then the name of the largest by position."""
-    r = ", ".join(f"{_corr(f'rating_{d}', 'rating_overall')} AS r_{d}" for d in DIMENSIONS)
-    size = ", ".join(f"ROUND(ABS(r_{d}), 10)" for d in DIMENSIONS)
-    names = ", ".join(f"'{d}'" for d in DIMENSIONS)
-    rounded = ", ".join(f"{_rounded(f'r_{d}', 4, 12)} AS corr_{d}" for d in DIMENSIONS)
-    top = (
-        f"CASE WHEN greatest({size}) IS NULL THEN '{DIMENSIONS[0]}' ELSE "
-        f"list_extract([{names}], list_position([{size}], greatest({size}))) END"
+def _drivers(segment: list[str], result: str, least: str) -> str:
+    """One row per segment and dimension with its r, from deviations; the name is the
+    first of the dimensions ordered by size, then place. ``rated`` names the rows."""
+    own = ", ".join(segment)
+    pairs = " UNION ALL ".join(
+        f"SELECT {own}, {i} AS place, '{d}' AS dimension, CAST(rating_{d} AS DOUBLE) AS x, CAST(rating_overall AS DOUBLE) AS y "
+        f"FROM rated WHERE rating_{d} IS NOT NULL"
+        for i, d in enumerate(DIMENSIONS)
     )
+    listed = ", ".join(f"({i}, '{d}')" for i, d in enumerate(DIMENSIONS))
+    shown = ", ".join(f"{_rounded(f'any_value(r) FILTER (place = {i})', 4, 12)} AS corr_{d}" for i, d in enumerate(DIMENSIONS))
     return f"""
-SELECT {result}, {rounded}, {top} AS top_driver, sample_size
-FROM (SELECT {group}, {r}, count(*) AS sample_size {source} GROUP BY {group})
+pairs AS ({pairs}),
+deviations AS (
+  SELECT {own}, place, x - avg(x) OVER p AS dx, y - avg(y) OVER p AS dy,
+    min(x) OVER p = max(x) OVER p OR min(y) OVER p = max(y) OVER p AS flat
+  FROM pairs WINDOW p AS (PARTITION BY {own}, place)),
+strengths AS (
+  SELECT {own}, place, CASE WHEN NOT any_value(flat) THEN sum(dx * dy) / sqrt(sum(dx * dx) * sum(dy * dy)) END AS r
+  FROM deviations GROUP BY ALL),
+sizes AS (SELECT {own}, count(*) AS sample_size FROM rated GROUP BY ALL),
+every AS (
+  SELECT sizes.*, place, dimension, r
+  FROM sizes CROSS JOIN (VALUES {listed}) named(place, dimension) LEFT JOIN strengths USING ({own}, place))
+SELECT {result}, {shown}, first(dimension ORDER BY round(abs(r), 10) DESC NULLS LAST, place) AS top_driver, sample_size
+FROM every WHERE sample_size >= {least} GROUP BY {own}, sample_size)
 """
 
 
-GROUP_DRIVERS = (
-    _drivers(
-        "star_rating, type, city_name",
-        "FROM stg_hostels h JOIN stg_reviews r ON h.id_hostel = r.id_hostel "
-        "WHERE rating_overall IS NOT NULL",
-        "CAST(star_rating AS VARCHAR) || '|' || type || '|city|' || city_name AS group_key",
-    )
-    + " WHERE sample_size >= 10"
-)
-
-PROFILE_DRIVERS = _drivers(
-    "u.trip_code, u.gender_code, u.age_range, h.type",
-    "FROM stg_reviews r JOIN stg_users u ON r.id_user = u.id_user "
-    "JOIN stg_hostels h ON r.id_hostel = h.id_hostel "
-    "WHERE rating_overall IS NOT NULL AND u.trip_code IS NOT NULL "
-    "AND u.gender_code IS NOT NULL AND u.age_range IS NOT NULL",
-    "trip_code, gender_code, age_range, type AS hostel_type, "
-    "trip_code || '|' || gender_code || '|' || age_range || '|' || type AS segment_key, "
+GROUP_DRIVERS = """
+SELECT * FROM (WITH rated AS (
+  SELECT concat_ws('|', star_rating, type, 'city', city_name) AS group_key, stg_reviews.*
+  FROM stg_reviews JOIN stg_hostels USING (id_hostel) WHERE rating_overall IS NOT NULL),
+""" + _drivers(["group_key"], "group_key", "10")
+
+PROFILE_DRIVERS = """
+SELECT * FROM (WITH profiles AS (
+  SELECT id_user, trip_code, gender_code, age_range FROM stg_users
+  WHERE trip_code || gender_code || age_range IS NOT NULL),
+rated AS (
+  SELECT profiles.*, type AS hostel_type, {ratings}
+  FROM profiles JOIN stg_reviews USING (id_user) JOIN stg_hostels USING (id_hostel) WHERE rating_overall IS NOT NULL),
+""".format(ratings=", ".join(f"rating_{d}" for d in ALL)) + _drivers(
+    ["trip_code", "gender_code", "age_range", "hostel_type"],
+    "trip_code, gender_code, age_range, hostel_type, concat_ws('|', trip_code, gender_code, age_range, hostel_type) AS segment_key, "
     "sample_size >= 30 AS is_valid",
+    "0",
 )
 
 
