@@ -10,7 +10,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from guestlens.functions.text import literal
@@ -88,11 +88,29 @@ def unique_rule(df: DataFrame, table: str, key: list[str]) -> DataFrame:
     return surplus.selectExpr(_report([("unique", table, ",".join(key), "n")]))
 
 
+def observe_unique(df: DataFrame, key: list[str], seen: Observation) -> DataFrame:
+    """The same rows; ``seen`` counts those beyond the first of each key.
+
+    For rows that lie together and in order by the key already, as ``keep_first``
+    leaves them: then they are neither shuffled nor sorted for it.
+    """
+    copies = F.count("*").over(Window.partitionBy(*key))
+    surplus = F.coalesce(F.round(F.sum((F.col("_copies") - 1) / F.col("_copies"))), F.lit(0))
+    return df.withColumn("_copies", copies).observe(seen, surplus.cast("bigint").alias(_unique(key))).drop("_copies")
+
+
+def _unique(key: list[str]) -> str:
+    return f"unique {','.join(key)}"
+
+
 def parent_rule(
-    df: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str
+    df: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str, count: str = "count(*)"
 ) -> DataFrame:
-    """Rows whose value does not exist in the parent; nulls are not checked."""
-    per_value = df.where(f"{column} IS NOT NULL").groupBy(column).agg(F.count("*").alias("n"))
+    """Rows whose value does not exist in the parent; nulls are not checked.
+
+    ``count`` is the aggregate that gives the rows of a value.
+    """
+    per_value = df.where(f"{column} IS NOT NULL").groupBy(column).agg(F.expr(count).alias("n"))
     known = parent.select(F.col(parent_column).alias(column))
     lost = per_value.join(known, column, "left_anti")
     total = lost.agg(F.expr("coalesce(sum(n), 0) AS n"))
@@ -112,13 +130,27 @@ def table_report(df: DataFrame, table: Table, parents: dict[str, DataFrame] | No
     return reduce(DataFrame.unionByName, parts)
 
 
+def _within(tolerance: float) -> Column:
+    off = F.abs(F.col("actual") - F.col("expected"))
+    return (off <= F.col("expected") * F.lit(tolerance)).alias("within_tolerance")
+
+
 def reconcile(df: DataFrame, name: str, expected: Column, tolerance: float = 0.01) -> DataFrame:
     """Row count against an expected volume, as one report row."""
     counted = df.agg(F.count("*").alias("actual"), expected.cast("bigint").alias("expected"))
-    off = F.abs(F.col("actual") - F.col("expected"))
-    return counted.select(
-        F.lit(name).alias("table_name"),
-        "actual",
-        "expected",
-        (off <= F.col("expected") * F.lit(tolerance)).alias("within_tolerance"),
-    )
+    return counted.select(F.lit(name).alias("table_name"), "actual", "expected", _within(tolerance))
+
+
+def volumes(history: DataFrame, tolerance: float = 0.01, earlier: int = 5) -> DataFrame:
+    """Rows of each version of a table against what its earlier versions let expect.
+
+    ``history`` holds table_name, publication and rows. Expected is the lower median
+    of the ``earlier`` versions before; the first version has none, and no verdict.
+    """
+    before = Window.partitionBy("table_name").orderBy("publication").rowsBetween(-earlier, -1)
+    counts = F.array_sort(F.collect_list("rows").over(before))
+    middle = F.try_element_at("_counts", F.expr("CAST((size(_counts) + 1) DIV 2 AS INT)"))
+    known = history.where("rows IS NOT NULL").withColumn("_counts", counts)
+    expected = F.when(F.size("_counts") > 0, middle.cast("bigint"))
+    counted = known.select("table_name", "publication", F.col("rows").alias("actual"), expected.alias("expected"))
+    return counted.select("*", _within(tolerance))

@@ -534,6 +534,21 @@ def load_ledger(spark, folder):
     return ledger(full_run(spark, details, [reviews, surplus], shared_folder(spark, "warehouse"), "ledger"))
 
 
+@query(oracle.volume_report())
+def volume_report(spark, folder):
+    """Rows that runs and refreshes gave each table against those of its versions
+    before: lodgings and reviews as they are, lodgings in part, then a run."""
+    house = Warehouse(spark, shared_folder(spark, "warehouse"))
+    lodgings = star.lodgings(spark, folder).withColumns({"total_ratings": F.lit(0), "free_cancellation": F.lit(False)})
+    house.refresh("stg_hostels", lodgings)
+    house.refresh("stg_reviews", star.reviews(spark, folder))
+    house.refresh("stg_hostels", lodgings.where("star_rating > 0"))
+    house.refresh("stg_hostels", lodgings.where("star_rating > 1"))
+    details = star.write_details_file(spark, folder)
+    reviews = star.write_reviews_file(spark, folder)
+    return full_run(spark, details, reviews, house.root, "volumes").volumes()
+
+
 _FOUND = "id_review, id_hostel, id_user, review_date"
 
 

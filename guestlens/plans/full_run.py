@@ -6,18 +6,18 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from guestlens.operators.quality import row_tests
+from guestlens.operators.quality import observe_unique, parent_rule, row_tests
 from guestlens.operators.rows import fits_broadcast, keep_first
 from guestlens.plans import kpis, staging
 from guestlens.schemas import TABLES
 from guestlens.sources.delimited import read_delimited, require_inputs
-from guestlens.sources.warehouse import Warehouse
+from guestlens.sources.warehouse import ROWS, Warehouse
 
 # --- Fixed values: stage names and exclusion reason in the run log ------------
 STAGE_INPUTS = "verificar_archivos"
@@ -29,10 +29,11 @@ STAGE_GROUPS = "calcular_kpi_grupos_y_rankings"
 STAGE_DRIVERS = "calcular_kpi_drivers"
 ORPHAN_REASON = "hostel_no_encontrado_en_detail"
 
+#: Logged only if it fails: references between the new tables are checked last.
+STAGE_PARENTS = "check_parents"
 
 #: Rules that stop a run; unknown values of a domain are only reported.
-REJECTED = ("required", "length")
-ROWS = "rows"
+REJECTED = ("required", "length", "unique", "parent")
 
 
 class BrokenRule(ValueError):
@@ -59,7 +60,8 @@ def full_run(
     Readers see the new tables only once all of them are written. Every stage
     leaves a row in the run log, a failed one too. Reviews whose lodging is
     unknown are kept in the run's work folder, as is the count of every rule's
-    violations. The latest ``keep`` versions of each table stay; older and failed
+    violations. Broken keys, parents, required values and lengths stop the run;
+    ``Warehouse.volumes`` sets the rows of its tables beside earlier ones. The latest ``keep`` versions of each table stay; older and failed
     ones are removed when a run has succeeded.
 
     Needs ANSI mode, Spark's default: without it a number that does not fit its
@@ -90,15 +92,18 @@ def _run(
     spark = house.spark
     _logged = partial(_stage, records, run_id)
 
-    def save(name: str, df: DataFrame) -> DataFrame:
-        """Write a table; its rules and its rows are counted in the same pass."""
+    def save(name: str, df: DataFrame, keys: Observation | None = None) -> DataFrame:
+        """Write a table; its rules and its rows are counted in the same pass.
+        ``keys`` has counted those of its key where the rows lay together by it."""
         table = TABLES[name]
         tests = row_tests(table.required, table.lengths, domains=table.domains)
         counts = {f"{rule} {column}": f"count_if({test})" for (rule, column), test in tests.items()}
-        saved = house.stage(name, df, version, {ROWS: "count(*)", **counts})
-        broken = {m: n for m, n in house.metrics[name].items() if n and m.split()[0] in REJECTED}
-        if broken:
-            raise BrokenRule(f"{name}: {broken}")
+        if table.key and keys is None:
+            keys = Observation()
+            df = observe_unique(df, list(table.key), keys)
+        saved = house.stage(name, df, version, counts)
+        house.metrics[name] |= keys.get if keys else {}
+        _reject(name, house.metrics[name])
         return saved
 
     def rows_of(name: str) -> int:
@@ -129,7 +134,8 @@ def _run(
     with _logged(STAGE_REVIEWS) as stage:
         seen = staging.Seen()
         raw = read_delimited(spark, reviews, multi_line=multi_line, seen=seen.read)
-        cleaned = staging.clean_reviews(raw, seen)
+        keys = Observation()
+        cleaned = observe_unique(staging.clean_reviews(raw, seen), ["id_review"], keys)
         if not fits_broadcast(staging.known_ids(lodgings)):
             # Parsed once: the lookup reads its rows twice when it splits keys.
             cleaned = store("cleaned_reviews", cleaned)
@@ -144,7 +150,7 @@ def _run(
         users, loaded = _together(
             spark,
             lambda: save("stg_users", staging.clean_users(known)),
-            lambda: save("stg_reviews", known),
+            lambda: save("stg_reviews", known, keys),
         )
         stage.processed = rows_of("stg_reviews")
         stage.excluded = split.get["orphan"]
@@ -177,6 +183,8 @@ def _run(
             stage.processed = rows_of("kpi_global_drivers")
 
     _together(spark, coverage, groups, drivers)
+    with _logged(STAGE_PARENTS, only_failed=True):
+        _check_parents(house, version, sums)
     found = [(t, *m.partition(" ")[::2], n) for t, counted in house.metrics.items() for m, n in counted.items()]
     _keep(house, version, "report", "rule", "violations", [f for f in found if f[1] != ROWS])
     _keep(house, version, "ledger", "cause", "rows", entries)
@@ -185,6 +193,27 @@ def _run(
     house.drop_work(version, "cleaned_reviews", "lodging_sums")
 
 
+def _reject(name: str, counts: dict[str, int]) -> None:
+    broken = {m: n for m, n in counts.items() if n and m.split()[0] in REJECTED}
+    if broken:
+        raise BrokenRule(f"{name}: {broken}")
+
+
+def _check_parents(house: Warehouse, version: str, sums: DataFrame) -> None:
+    """Counts rows without a parent, in one job over tables of lodgings and groups:
+    ``sums`` says how many reviews a lodging has, so the reviews are not read."""
+    new = {n: house.staged(n, version) for n, t in TABLES.items() if t.stamp}
+    reports = []
+    for name, table in TABLES.items():
+        for column, (parent, key) in table.parents.items():
+            rows, count = (sums, "sum(all_reviews)") if name == "stg_reviews" else (new[name], "count(*)")
+            reports.append(parent_rule(rows, name, column, new[parent], key, count))
+    for r in reduce(DataFrame.unionByName, reports).collect():
+        house.metrics[r.table_name][f"parent {r.column_name}"] = r.violations
+    for name in new:
+        _reject(name, house.metrics[name])
+
+
 #: Where the rows of a file can go. Each goes to one of them, so they add up.
 CAUSES = ("surplus", "null_key", "duplicate", "orphan", "loaded")
 
@@ -231,8 +260,8 @@ def _together(spark: SparkSession, *jobs: Callable) -> list:
 
 
 @contextmanager
-def _stage(records: list[dict], run_id: str, name: str):
-    """Leaves a row for the run log, also when the stage fails."""
+def _stage(records: list[dict], run_id: str, name: str, only_failed: bool = False):
+    """Leaves a row for the run log, also, or only, when the stage fails."""
     stage = _Counts()
     record = {"dag_run_id": run_id, "stage": name, "started_at": datetime.now(timezone.utc)}
     try:
@@ -240,6 +269,8 @@ def _stage(records: list[dict], run_id: str, name: str):
     except Exception as e:
         records.append(record | _now() | {"status": "failed", "exclusion_reason": str(e)})
         raise
+    if only_failed:
+        return
     counts = {"records_processed": stage.processed, "records_excluded": stage.excluded}
     records.append(record | _now() | counts | {"status": "success", "exclusion_reason": stage.reason})
 

@@ -56,9 +56,10 @@ _MERGED_SUMS = [text for d in DIMENSIONS for text in merged_pair_sums(d)]
 
 
 def lodging_sums(reviews: DataFrame) -> DataFrame:
-    """One row per lodging with any review; ``review_count`` and all sums are
-    over its rated reviews only."""
+    """One row per lodging with any review; ``all_reviews`` counts them, while
+    ``review_count`` and all sums are over its rated reviews only."""
     overall = [
+        "count(*) AS all_reviews",
         "count(overall) AS review_count",
         "sum(overall) AS overall_sum",
         "sum(CAST(overall AS DOUBLE) * overall) AS overall_squares",

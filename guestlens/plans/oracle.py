@@ -277,10 +277,43 @@ def run_report() -> str:
             f"count(*) FILTER ({test}) AS violations FROM {name}"
             for rule, column, test in tests
         ]
+        broken = [("unique", ",".join(table.key), f"count(*) - count(DISTINCT ({', '.join(table.key)})) FROM {name}")] if table.key else []
+        broken += [
+            ("parent", column, f"count(*) FROM {name} WHERE {column} NOT IN (SELECT {key} FROM {parent})")
+            for column, (parent, key) in table.parents.items()
+        ]
+        parts += [f"SELECT '{name}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, {count}" for rule, column, count in broken]
     ctes = ", ".join(f"{n} AS MATERIALIZED ({sql})" for n, sql in texts.items())
     return f"WITH {FILES}, {ctes} " + " UNION ALL ".join(parts)
 
 
+def volume_report() -> str:
+    """Rows per table and version; a run publishes all of its tables at once, as the
+    fifth publication here. The median of three versions is the middle one."""
+    stars = "CAST(floor(greatest(c_acctbal, 0.0) / 2000) AS INTEGER)"
+    texts = {
+        "kpi_coverage": COVERAGE, "kpi_hostel_ratings": RATINGS,
+        "kpi_equivalent_groups": GROUPS, "kpi_hostel_ranking": RANKING,
+        "kpi_volume_vs_rating": VOLUME, "kpi_global_drivers": GROUP_DRIVERS,
+        "kpi_user_profile_drivers": PROFILE_DRIVERS,
+    }
+    counted = [
+        ("stg_hostels", 1, "FROM customer", "NULL"),
+        ("stg_reviews", 2, "FROM lineitem JOIN orders ON l_orderkey = o_orderkey", "NULL"),
+        ("stg_hostels", 3, f"FROM customer WHERE {stars} > 0", "SELECT count(*) FROM customer"),
+        ("stg_hostels", 4, f"FROM customer WHERE {stars} > 1", f"SELECT count(*) FROM customer WHERE {stars} > 0"),
+        ("stg_hostels", 5, "FROM stg_hostels", f"SELECT count(*) FROM customer WHERE {stars} > 0"),
+        ("stg_reviews", 5, "FROM stg_reviews", "SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+        *[(name, 5, f"FROM {name}", "NULL") for name in ["stg_users", *texts]],
+    ]
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST({number} AS BIGINT) AS publication, (SELECT count(*) {source}) AS actual, CAST(({expected}) AS BIGINT) AS expected"
+        for name, number, source, expected in counted
+    )
+    ctes = ", ".join(f"{n} AS MATERIALIZED ({sql})" for n, sql in texts.items())
+    return f"WITH {FILES}, {ctes} SELECT *, abs(actual - expected) <= expected * 0.01 AS within_tolerance FROM ({rows})"
+
+
 def load_ledger() -> str:
     """Rows of the files by what became of them, counted one by one."""
     details = {

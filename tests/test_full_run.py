@@ -1,7 +1,12 @@
 import pytest
-
-from guestlens.operators.quality import row_tests
-from guestlens.plans.full_run import CAUSES, BrokenRule, full_run, ledger, orphans, report
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+import guestlens.plans.full_run as plan
+from guestlens.operators.quality import observe_unique, row_tests
+from guestlens.operators.rows import keep_first
+from guestlens.plans import staging
+from guestlens.plans.full_run import CAUSES, STAGE_PARENTS, BrokenRule, full_run, ledger, orphans, report
 from guestlens.schemas import TABLES
 from guestlens.sources.warehouse import Warehouse
 from tests.test_staging import DETAILS, HEADER, REVIEWS, review
@@ -150,7 +155,67 @@ def test_the_report_counts_what_the_rules_found(spark, tmp_path):
     assert found["stg_users", "domain", "trip_code"] == 1
     assert found["stg_hostels", "required", "name"] == found["stg_users", "length", "trip_code"] == 0
     wanted = {(n, r, c) for n, t in TABLES.items() if t.stamp for r, c in row_tests(t.required, t.lengths, domains=t.domains)}
+    wanted |= {(n, "unique", ",".join(t.key)) for n, t in TABLES.items() if t.key}
+    wanted |= {(n, "parent", c) for n, t in TABLES.items() for c in t.parents}
     assert set(found) == wanted
+    assert all(n == 0 for (_, rule, _), n in found.items() if rule in ("unique", "parent"))
+
+
+def broken_run(spark, tmp_path, match):
+    house = full_run(spark, *files(tmp_path), "good")
+    return house, pytest.raises(BrokenRule, match=match)
+
+
+@pytest.mark.parametrize("name, match", [("clean_lodgings", "stg_hostels.*unique id_hostel': 1"), ("clean_reviews", "stg_reviews.*unique id_review': 1")])
+def test_a_key_that_occurs_twice_stops_the_run(spark, tmp_path, monkeypatch, name, match):
+    house, fails = broken_run(spark, tmp_path, match)
+    clean = getattr(staging, name)
+
+    def twice(*args, seen=None, **kwargs):
+        rows = clean(*args, **kwargs, **({"seen": seen} if seen else {}))
+        first = rows.orderBy(rows.columns[0]).limit(1)
+        return rows.unionByName(first)
+
+    monkeypatch.setattr(staging, name, twice)
+    monkeypatch.setattr(plan, "_ledger", lambda name, counts: [])
+    with fails:
+        full_run(spark, *files(tmp_path), "bad")
+    assert house.read("stg_hostels").count() == 2
+
+
+def test_a_parent_that_is_missing_stops_the_run(spark, tmp_path, monkeypatch):
+    house, fails = broken_run(spark, tmp_path, "stg_reviews.*parent id_hostel': 1")
+    monkeypatch.setattr(staging, "mark_known", lambda reviews, lodgings: reviews.withColumn("known", F.lit(True)))
+    with fails:
+        full_run(spark, *files(tmp_path), "bad")
+    log = house.read("pipeline_run_log").where("dag_run_id = 'bad' AND status = 'failed'").collect()
+    assert [r.stage for r in log] == [STAGE_PARENTS]
+    assert sorted(r.id_review for r in house.read("stg_reviews").collect()) == [10, 12]
+
+
+def test_keys_are_checked_where_keep_first_left_them(spark, tmp_path):
+    """Neither a second shuffle nor another sort."""
+    spark.range(1000).selectExpr("id % 100 AS k", "id", "CAST(id AS STRING) AS word").write.parquet(str(tmp_path / "t"))
+    rows = keep_first(spark.read.parquet(str(tmp_path / "t")), ["k"], "id")
+    counts = Observation()
+    checked = observe_unique(rows, ["k"], counts)
+    nodes = lambda df, node: df._jdf.queryExecution().executedPlan().toString().count(f"{node} [")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert nodes(checked, "Sort") == nodes(rows, "Sort") and exchanges(checked) == exchanges(rows) == 1
+    assert checked.count() == 100
+    checked.write.format("noop").mode("overwrite").save()
+    assert counts.get == {"unique k": 0}
+
+
+def test_volumes_of_runs(spark, tmp_path):
+    details, reviews, root = files(tmp_path)
+    for i in range(3):
+        house = full_run(spark, details, reviews, root, f"run {i}")
+    (tmp_path / "less.csv").write_text(HEADER + review(10, 1, 100, "OTHER"))
+    full_run(spark, details, str(tmp_path / "less.csv"), root, "less")
+    found = house.volumes().where("table_name = 'stg_reviews'").orderBy("publication").collect()
+    assert [(r.actual, r.expected, r.within_tolerance) for r in found] == [(2, None, None), (2, 2, True), (2, 2, True), (1, 2, False)]
+    assert house.volumes(tolerance=0.5).where("table_name = 'stg_reviews' AND NOT within_tolerance").count() == 0
 
 
 def entries(house):
@@ -200,5 +265,5 @@ def test_a_file_without_rows_has_a_ledger(spark, tmp_path):
 
 def test_a_run_logs_its_stages_in_one_file(spark, tmp_path):
     house = full_run(spark, *files(tmp_path), "run")
-    assert len(list((tmp_path / "house" / "pipeline_run_log").glob("*.parquet"))) == 1
+    assert len(list((tmp_path / "house" / "pipeline_run_log").glob("*/*.parquet"))) == 1
     assert house.read("pipeline_run_log").where("finished_at >= started_at").count() == 7

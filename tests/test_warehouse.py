@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
+import guestlens.sources.warehouse as warehouse
 from guestlens.schemas import TABLES, dependants
 from guestlens.sources.shared import shared_folder
 from guestlens.sources.warehouse import Warehouse
@@ -91,6 +92,42 @@ def test_log_only_grows(spark, tmp_path):
     assert rows["b"].status == "failed" and rows["b"].started_at <= rows["b"].finished_at
 
 
+def test_a_long_log_is_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse, "LOG_FILES", 4)
+    house = Warehouse(spark, str(tmp_path))
+    for i in range(14):
+        house.log({"dag_run_id": f"run {i}", "stage": "a", "status": "success"}, {"dag_run_id": f"run {i}", "stage": "b", "status": "failed"})
+        house.expire()
+        assert len(list((tmp_path / "pipeline_run_log").glob("*/*.parquet"))) <= 2 * (4 + 1)
+        assert house.read("pipeline_run_log").count() == 2 * (i + 1)
+    assert {r.dag_run_id for r in house.read("pipeline_run_log").collect()} == {f"run {i}" for i in range(14)}
+
+
+def test_the_list_of_folders_stays_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse, "HISTORY", 3)
+    house = Warehouse(spark, str(tmp_path))
+    house.refresh("stg_users", spark.createDataFrame([], TABLES["stg_users"].ddl))
+    for i in range(1, 7):
+        house.refresh("stg_hostels", hostels(spark, *range(i)))
+        assert len(list((tmp_path / "_published").glob("*/*.parquet"))) <= 2
+    assert ids(house.read("stg_hostels")) == [0, 1, 2, 3, 4, 5] and house.version("stg_users")
+    known = house.volumes().where("table_name = 'stg_hostels'").orderBy("publication").collect()
+    assert [(r.actual, r.expected) for r in known] == [(4, None), (5, 4), (6, 4)]
+    with pytest.raises(ValueError, match="3 versions"):
+        house.expire(keep=4)
+    house.expire(keep=3)
+    assert len(list((tmp_path / "stg_hostels").iterdir())) == 3
+
+
+def test_a_list_that_was_not_finished_is_not_read(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.refresh("stg_hostels", hostels(spark, 1))
+    (tmp_path / "_published" / "2" / "_temporary").mkdir(parents=True)
+    assert ids(house.read("stg_hostels")) == [1]
+    house.refresh("stg_hostels", hostels(spark, 2))
+    assert ids(house.read("stg_hostels")) == [2]
+
+
 def test_the_shared_folder_follows_the_session():
     class Session:
         def __init__(self, **settings):
