@@ -41,11 +41,10 @@ plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM targets),
 ordered AS (
   SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size AS rest,
-    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through,
-    sum(k.size) OVER (PARTITION BY k.source, k.key) AS inside
+    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.identity ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
   FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
-  (size * (epochs + CASE WHEN rest > 0 AND 2 * (through - inside) + inside <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (epochs + CASE WHEN rest > 0 AND 2 * (through - size) + size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM ordered
 """
 

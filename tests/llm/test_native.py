@@ -61,7 +61,7 @@ def test_mix(spark, case):
         source = source_of[r.doc_id]
         assert r.source_size == sizes[source] and r.target == pytest.approx(target[source])
         taken[source] += r.taken
-        largest[source] = max(largest[source], r["size"] * (3 if r.doc_id == 200 else 1))
+        largest[source] = max(largest[source], r["size"])
     for source in taken:
         if source is not None:  # rows without an id are not counted above
             assert abs(taken[source] - target[source]) <= largest[source] / 2 + 1e-6
@@ -85,6 +85,21 @@ def test_mix_takes_the_smallest_keys(spark):
             before += r["size"]
 
 
+def test_mix_takes_as_many_equal_rows_as_fit(spark):
+    """A third of all rows are one row; rows of no size change nothing."""
+    same = [(7, "one two three four", "en", "a", 0)] * 500
+    others = [(1000 + i, " ".join(["w"] * (1 + i % 7)), "en", "a" if i % 2 else "b", 0) for i in range(700)]
+    docs = documents(spark, same + others + [(8, "", "en", "a", 0)] * 300).repartition(7)
+    for share in (0.1, 0.3, 0.55, 0.9, 1.4):
+        mix = mixing.sampled_mix(docs, (3, 1), share, 2).selectExpr("doc.doc_id", "doc.source", "size", "target", "copies").collect()
+        assert len(mix) == 1500 and Counter(r.doc_id for r in mix)[7] == 500
+        for source in ("a", "b"):
+            own = [r for r in mix if r.source == source]
+            assert abs(sum(r["size"] * r.copies for r in own) - own[0].target) <= 7 / 2
+        again = mixing.sampled_mix(docs, (3, 1), share, 2).selectExpr("doc.doc_id", "doc.source", "size", "target", "copies").collect()
+        assert by_row(map(tuple, mix)) == by_row(map(tuple, again))
+
+
 def _identity():
     from pyspark.sql import functions as F
 
