@@ -15,6 +15,9 @@ all its places. A bucket answers with one bit per hash, in the order sent, and
 the shard, which works out the same sorted set again, knows what its places
 are. Nothing but bits goes back, and no pair is ever made.
 
+Rows equal in doc_id and text are one row with a number of copies, if there are
+any: all of its windows start more than once, and it gives out a row per copy.
+
 Anchors are compared by 32 bits within their bucket, as a false hit only costs a
 comparison later. Whole windows are compared by 96 bits.
 """
@@ -71,21 +74,27 @@ class Text:
     hashes: np.ndarray
     starts: np.ndarray  # of documents of at least one window
     ends: np.ndarray
+    copied: np.ndarray  # documents that are several rows
 
     @staticmethod
-    def of(texts: list[bytes | None], window: int) -> Text:
+    def of(texts: list[bytes | None], window: int, copies: list[int] | None = None) -> Text:
         from xxhash import xxh3_64_intdigest
 
         words = [t.split() if t else [] for t in texts]
         long = [w for w in words if len(w) >= window]
+        many = [n > 1 for w, n in zip(words, copies or [1] * len(words)) if len(w) >= window]
         sizes = np.array([len(w) for w in long], dtype=np.int64)
         ends = np.cumsum(sizes)
         flat = (xxh3_64_intdigest(w) for doc in long for w in doc)
-        return Text(words, np.fromiter(flat, np.uint64, count=int(sizes.sum())), ends - sizes, ends)
+        return Text(words, np.fromiter(flat, np.uint64, count=int(sizes.sum())), ends - sizes, ends, np.array(many, dtype=bool))
+
+    def owners(self) -> np.ndarray:
+        """The document of each word."""
+        return np.repeat(np.arange(len(self.starts)), self.ends - self.starts)
 
     def places(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Where runs of this many words start, and how far into their document."""
-        owner = np.repeat(np.arange(len(self.starts)), self.ends - self.starts)
+        owner = self.owners()
         place = np.arange(len(self.hashes))
         inside = place + size <= self.ends[owner]
         return place[inside], (place - self.starts[owner])[inside]
@@ -102,7 +111,7 @@ class Sent:
     block: np.ndarray
 
     @staticmethod
-    def of(key: np.ndarray, more: np.ndarray, block: np.ndarray) -> Sent:
+    def of(key: np.ndarray, more: np.ndarray, block: np.ndarray, copied: np.ndarray | None = None) -> Sent:
         order = np.lexsort((more, key)) if more.any() else np.argsort(key, kind="stable")
         k, m = key[order], more[order]
         new = np.ones(len(k), dtype=bool)
@@ -113,7 +122,10 @@ class Sent:
         if not len(k):
             return Sent(k, m, group, new, new)
         counts = np.diff(np.append(first, len(k)))
-        return Sent(k[first], m[first], group, counts > 1, np.logical_or.reduceat(block[order], first))
+        many = counts > 1
+        if copied is not None:
+            many |= np.logical_or.reduceat(copied[order], first)
+        return Sent(k[first], m[first], group, many, np.logical_or.reduceat(block[order], first))
 
     def cuts(self, buckets: int) -> np.ndarray:
         """Where the buckets, ranges of the hash, begin and end in the set."""
@@ -184,7 +196,8 @@ def _hits(sent: Sent, answers: pa.Table, round_: int) -> np.ndarray:
 def _anchors(text: Text, block: int) -> tuple[Sent, np.ndarray, np.ndarray]:
     place, inside = text.places(block)
     key = window_hashes(text.hashes, block)[place]
-    return Sent.of(key, np.zeros(len(key), np.uint32), inside % block == 0), place, inside
+    copied = text.copied[text.owners()[place]]
+    return Sent.of(key, np.zeros(len(key), np.uint32), inside % block == 0, copied), place, inside
 
 
 def _extended(text: Text, answers: pa.Table, window: int, block: int) -> tuple[Sent, np.ndarray]:
@@ -200,7 +213,17 @@ def _extended(text: Text, answers: pa.Table, window: int, block: int) -> tuple[S
     start = start[hit[start + -inside % block]]
     key = window_hashes(text.hashes, window)[start]
     more = window_hashes(text.hashes, window, 1)[start].astype(np.uint32)
-    return Sent.of(key, more, np.ones(len(key), dtype=bool)), start
+    return Sent.of(key, more, np.ones(len(key), dtype=bool), text.copied[text.owners()[start]]), start
+
+
+def _different(docs: DataFrame) -> DataFrame:
+    """doc_id, text and copies, the rows that are equal in both. Texts are moved for it
+    only if hashes, counted in each task first, say that there are such rows."""
+    rows = docs.select("doc_id", "text")
+    hashes = rows.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("copies"))
+    if hashes.where("copies > 1").isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    return stored(rows.groupBy("doc_id", "text").agg(F.count("*").alias("copies")), "repeat-rows")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -220,10 +243,11 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SH
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(partitions, -(-text_bytes(docs) // shard_bytes))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
-    rows = docs.select("doc_id", "text", shard.alias("shard")).groupBy("shard")
+    rows = _different(docs).select("doc_id", "text", "copies", shard.alias("shard")).groupBy("shard")
 
     def read(table: pa.Table) -> Text:
-        return Text.of(table.column("text").cast(pa.binary()).to_pylist(), window)
+        copies = table.column("copies").to_pylist()
+        return Text.of(table.column("text").cast(pa.binary()).to_pylist(), window, copies)
 
     def probe(table: pa.Table) -> pa.Table:
         return _anchors(read(table), block)[0].rows(table.column("shard")[0].as_py(), shards, False)
@@ -251,6 +275,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SH
         return pa.table(
             {
                 "doc_id": table.column("doc_id"),
+                "copies": table.column("copies"),
                 "n_words": pa.array([len(w) for w in text.words], pa.int64()),
                 "n_removed": pa.array([len(w) - len(k) for w, k in zip(text.words, kept)], pa.int64()),
                 "kept_text": pa.array([b" ".join(k).decode() for k in kept], pa.string()),
@@ -262,4 +287,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SH
     windows = rows.cogroup(first.groupBy("shard")).applyInArrow(extend, _SENT)
     second = stored(windows.groupBy("bucket").applyInArrow(_answers(2, True), _ANSWER), "repeat-windows")
     answers = first.unionByName(second).groupBy("shard")
-    return rows.cogroup(answers).applyInArrow(cut, "doc_id long, n_words long, n_removed long, kept_text string")
+    kept = rows.cogroup(answers).applyInArrow(cut, "doc_id long, copies long, n_words long, n_removed long, kept_text string")
+    each = kept.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
+    return each.select("doc_id", "n_words", "n_removed", "kept_text")

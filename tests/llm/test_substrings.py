@@ -82,3 +82,18 @@ def test_buckets_cover_the_set_in_order():
         assert cuts[0] == 0 and cuts[-1] == len(sent.key) and (np.diff(cuts) >= 0).all()
         table = sent.rows(9, buckets, True)
         assert b"".join(table.column("keys").to_pylist()) == sent.key.tobytes()
+
+
+def test_equal_rows_are_dealt_once(spark):
+    """A third of all rows are one row: a task holds it once, and it comes out whole."""
+    rng = random.Random(6)
+    same = " ".join(f"s{i}" for i in range(60))
+    part = " ".join(f"s{i}" for i in range(20, 45))
+    docs = [(7, same)] * 300 + [(8, "too short")] * 5 + [(None, None)] * 3
+    docs += [(100 + d, " ".join(f"u{d}x{i}" for i in range(rng.randrange(50))) + f" {part if d % 2 else ''}") for d in range(300)]
+    table = documents(spark, [(d, t, None, None, None) for d, t in docs])
+    rows_ = substrings._different(table).collect()
+    assert len(rows_) == 303 and sum(r.copies for r in rows_) == 608
+    found = substrings.without_repeats(table, 20, shard_bytes=400)
+    got = [(r.doc_id, r.n_words, r.kept_text) for r in found.collect()]
+    assert sorted(got, key=key) == sorted(((d, n, " ".join(k)) for d, n, k in cut(docs, 20)), key=key)
