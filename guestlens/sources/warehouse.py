@@ -145,8 +145,7 @@ class Warehouse:
     def volumes(self, tolerance: float = 0.01) -> DataFrame:
         """Rows of each published version of a table, of the latest ``HISTORY``,
         against what its earlier versions let expect."""
-        history = self.spark.createDataFrame(self._entries(), _PUBLISHED)
-        return volumes(history.select("table_name", "publication", "rows"), tolerance)
+        return volumes(self._published().select("table_name", "publication", "rows"), tolerance)
 
     def register_views(self) -> None:
         """Make every table a temporary view, for plain SQL over the warehouse."""
@@ -248,12 +247,13 @@ class Warehouse:
 
     def _entries(self) -> list[Row]:
         """The latest list, newest entries first: at most ``HISTORY`` of each table."""
+        return sorted(self._published().collect(), key=lambda r: -r.publication)
+
+    def _published(self) -> DataFrame:
         lists = self._lists()
         if not lists:
-            return []
-        folder = f"{self.root}/_published/{lists[-1]}"
-        found = self.spark.read.schema(_PUBLISHED).parquet(folder).collect()
-        return sorted(found, key=lambda r: -r.publication)
+            return self.spark.createDataFrame([], _PUBLISHED)
+        return self.spark.read.schema(_PUBLISHED).parquet(f"{self.root}/_published/{lists[-1]}")
 
     def _empty(self, name: str) -> DataFrame:
         return self.spark.createDataFrame([], TABLES[name].ddl)
