@@ -10,15 +10,21 @@ from __future__ import annotations
 
 import os
 import string
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: What ends a document's ids in the registered queries.
 END_ID = 1
-#: Words remembered per worker before it starts anew, and words per library call.
-REMEMBERED = 300_000
+#: Words a worker remembers before it sets them aside, where they stay until the next
+#: so many are full, and words per library call.
+REMEMBERED = 250_000
 TOGETHER = 512
+#: Bytes of text whose words are looked up together; a longer text is taken whole.
+AT_ONCE = 2_000_000
 
 _PROBE = "Aa bb, it's\n don't\t12 3rd  (x) co-op é ÉÉ. \x0b ß\x0c\r\nend"
 _MARKS = bytes(c for c in string.punctuation.encode() if c not in b"'")
@@ -41,6 +47,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[bytes, bytes] = {}
+        self.aside: dict[bytes, bytes] = {}
         whole = self._ids(_PROBE)
         self.by_words = whole == b"".join(self._ids(w) for w in _PROBE.encode().decode().split())
         self.marks_apart = self.by_words and self._ids("co.") == self._ids("co") + self._ids(".")
@@ -52,26 +59,33 @@ class Encoder:
                 self.closes[number] = piece.endswith(ends)
 
     def _ids(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self._numbers([text])[0].tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4") for x in found]
+
+    def _learn(self, words: Iterable[bytes]) -> None:
         """Remember the ids of these words."""
-        simple, rest = [], []
+        simple, rest = set(), []
         for word in words:
+            if word.isalpha():  # letters of ASCII alone, which most are
+                simple.add(word)
+                continue
             letters = word.rstrip(_MARKS) if self.marks_apart else word
             if letters and letters.decode().isalpha():
-                simple.append(letters)
+                simple.add(letters)
                 if letters != word:
                     rest.append((word, letters, word[len(letters) :]))
             else:
                 rest.append((word, b"", b""))
-        simple = [w for w in dict.fromkeys(simple) if w not in self.known]
-        for i in range(0, len(simple), TOGETHER):
-            self._learn_letters(simple[i : i + TOGETHER])
+        letters_new = list(simple.difference(self.known))
+        for i in range(0, len(letters_new), TOGETHER):
+            self._learn_letters(letters_new[i : i + TOGETHER])
         alone = [w for w, letters, _ in rest if not letters]
-        alone += list({marks for _, letters, marks in rest if letters} - self.known.keys())
-        for word, ids in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)):
-            self.known[word] = np.asarray(ids.ids, dtype="<u4").tobytes()
+        alone += {marks for _, letters, marks in rest if letters}.difference(self.known)
+        for word, ids in zip(alone, self._numbers([w.decode() for w in alone])):
+            self.known[word] = ids.tobytes()
         for word, letters, marks in rest:
             if letters:
                 self.known[word] = self.known[letters] + self.known[marks]
@@ -80,14 +94,11 @@ class Encoder:
         """Words of letters alone are one unit each, so one call can take many
         and the pieces that close a word tell them apart."""
         if self.closes is not None:
-            joined = b" ".join(words).decode()
-            ids = np.asarray(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
+            ids = self._numbers([b" ".join(words).decode()])[0]
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(words) and ends[-1] == len(ids):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(words, ends.tolist()):
-                    self.known[word] = raw[4 * start : 4 * end]
-                    start = end
+                raw, places = ids.tobytes(), (4 * ends).tolist()
+                self.known.update(zip(words, map(raw.__getitem__, map(slice, [0, *places], places))))
                 return
         for word in words:
             self.known[word] = self._ids(word.decode())
@@ -97,24 +108,44 @@ class Encoder:
         if not self.by_words:
             return [self._ids((t or b"").decode()) for t in texts]
         out: list[bytes] = []
-        part: list[list[bytes]] = []
+        part: list[bytes | None] = []
         size = 0
         for text in texts:
-            part.append(text.split() if text else [])
+            part.append(text)
             size += len(text or b"")
-            if size > 1_000_000:
+            if size > AT_ONCE:
                 out += self._encode_words(part)
                 part, size = [], 0
         return out + self._encode_words(part)
 
-    def _encode_words(self, texts: list[list[bytes]]) -> list[bytes]:
-        new = set().union(*texts) - self.known.keys()
+    def _encode_words(self, texts: list[bytes | None]) -> list[bytes]:
+        """Each different word of these texts is looked up once; the ids of all its
+        places are then copied from there."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        self._remember(set(words))
+        ids = [self.known[word] for word in words]
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        place = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[place])])
+        copied = np.repeat(starts[place] - ends[:-1], sizes[place])
+        copied += np.arange(len(copied))
+        raw = pool[copied].tobytes()
+        cuts = (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _remember(self, words: set[bytes]) -> None:
+        # A set less a dict looks up what is in the set; less its keys it would go
+        # through all that is known.
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*texts)
-        self._learn(sorted(new))
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in texts]
+            self.known, self.aside, new = {}, self.known, words
+        again = new.intersection(self.aside)
+        self.known.update((word, self.aside[word]) for word in again)
+        self._learn(new.difference(again))
 
 
 @lru_cache(maxsize=4)

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from guestlens.llm import bitpack, packing, wordpieces
+from guestlens.llm import bitpack, packing, tokens, wordpieces
 from guestlens.llm.catalog import QUERIES
 from guestlens.llm.tables import ship
 from guestlens.llm.tokens import Encoder
@@ -64,6 +64,18 @@ def test_ids_equal_the_library_on_any_text(text):
     assert ENCODER.encode([text.encode()]) == [wanted]
 
 
+def test_words_set_aside_and_forgotten_give_the_same_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 12)
+    monkeypatch.setattr(tokens, "AT_ONCE", 200)
+    chance = random.Random(5)
+    some = [w + m for w in ("alpha", "Bêta", "gamma7", "don't", "x", "ÉÉ") for m in ("", ".", "...", "!", "é")]
+    texts = [None, "", " \n "] + [" ".join(chance.choices(some, k=chance.randrange(60))) for _ in range(200)]
+    encoder = Encoder(PATH)
+    found = encoder.encode([t if t is None else t.encode() for t in texts])
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder.aside and encoder.encode([]) == []
+
+
 def test_other_tokenizers_are_encoded_whole():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = Encoder(path)
