@@ -16,6 +16,9 @@ from guestlens.sources.shared import shared_folder
 
 _SCHEMAS: dict[str, StructType] = {}
 
+#: Lines of a text file that holds its kind's share of them.
+FILE_ROWS = 200_000
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table; its schema is read from the files once, as that is a job."""
@@ -154,8 +157,8 @@ def write_reviews_file(spark: SparkSession, folder: str) -> str:
 
 
 def write_bad_rows(spark: SparkSession, folder: str) -> str:
-    """Order lines as text lines, good and bad ones, in eight files with a header
-    each. Line breaks in quotes are in every other file."""
+    """Order lines as text lines, good and bad ones, in eight kinds of files with a
+    header each. Line breaks in quotes are in every other file."""
     lines = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey * 10 + l_linenumber AS id", "l_partkey AS part", "l_partkey % 8 AS kind", "CAST(l_orderkey % 4 AS INT) AS file"
     )
@@ -166,24 +169,32 @@ def write_bad_rows(spark: SparkSession, folder: str) -> str:
         WHEN 6 THEN concat(id, ';at the end;', part, ';') ELSE concat(id, ';5" x;2;6" y') END"""
     )
     own_file = F.when(F.col("kind") == 3, 1).otherwise(0) + 2 * F.col("file")
-    rows = lines.select(own_file.alias("file"), F.lit(1).alias("place"), text.alias("value"))
-    heads = spark.range(8).selectExpr("CAST(id AS INT) AS file", "0 AS place", "'id;name;score' AS value")
-    path = shared_folder(spark, "bad-rows")
-    dealt = rows.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
-    dealt.select("file", "value").write.partitionBy("file").text(path)
-    return f"{path}/*"
+    return _write_lines(lines.select(own_file.alias("file"), text.alias("value")), 8, "id;name;score", "bad-rows")
 
 
 def write_surplus_rows(spark: SparkSession, folder: str, like: str) -> str:
-    """Events as lines with more fields than a file of reviews has, in four files
-    with the header of the files ``like``."""
+    """Events as lines with more fields than a file of reviews has, in four kinds of
+    files with the header of the files ``like``."""
     names = spark.read.option("sep", ";").option("header", True).csv(like).columns
     lines = table(spark, folder, "events").selectExpr(
-        "CAST(event_id % 4 AS INT) AS file", "1 AS place", f"concat(event_id, '{';' * len(names)}', event_type) AS value"
+        "CAST(event_id % 4 AS INT) AS file", f"concat(event_id, '{';' * len(names)}', event_type) AS value"
+    )
+    return _write_lines(lines, 4, ";".join(names), "surplus")
+
+
+def _write_lines(lines: DataFrame, kinds: int, header: str, name: str) -> str:
+    """Lines (file, value) as text files, some ``FILE_ROWS`` rows each, with a header
+    on top; ``file`` is one of so many ``kinds``. A file is sorted and written in one
+    task, so more lines make more files of each kind and not larger ones."""
+    spark = lines.sparkSession
+    parts = max(1, -(-lines.count() // (FILE_ROWS * kinds)))
+    own_file = F.col("file") + kinds * F.pmod(F.xxhash64("value"), F.lit(parts)).cast("int")
+    rows = lines.select(own_file.alias("file"), F.lit(1).alias("place"), "value")
+    heads = spark.range(kinds * parts).select(
+        F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit(header).alias("value")
     )
-    heads = spark.range(4).selectExpr("CAST(id AS INT) AS file", "0 AS place", f"'{';'.join(names)}' AS value")
-    path = shared_folder(spark, "surplus")
-    dealt = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
+    path = shared_folder(spark, name)
+    dealt = rows.unionByName(heads).repartitionById(kinds * parts, "file").sortWithinPartitions("file", "place")
     dealt.select("file", "value").write.partitionBy("file").text(path)
     return f"{path}/*"
 
