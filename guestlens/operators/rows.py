@@ -19,14 +19,14 @@ def keep_first(
     left out, as ``duplicate``.
     """
     order = [order] if isinstance(order, str) else order
-    rest = [c for c in df.columns if c not in key]
+    wanted = [c for c in df.columns if keep_order or c not in order]
+    rest = [c for c in wanted if c not in key]
     sums = [F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")]
     if seen is not None:
         sums.append(F.count("*").alias("_rows"))
     first = df.groupBy(*key).agg(*sums)
     if seen is not None:
         first = first.observe(seen, F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("duplicate"))
-    wanted = [c for c in df.columns if keep_order or c not in order]
     return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in wanted])
 
 

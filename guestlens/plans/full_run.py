@@ -144,7 +144,7 @@ def _run(
         marked = staging.mark_known(cleaned, lodgings)
         split = Observation()
         lost = F.count_if(~F.col("known")).alias("orphan")
-        marked.observe(split, lost).write.partitionBy("known").parquet(work)
+        marked.observe(split, lost).write.parquet(work)
         checked = spark.read.schema(marked.schema).parquet(work)
         known = checked.where("known")
         users, loaded = _together(

@@ -125,13 +125,10 @@ def write_reviews_file(spark: SparkSession, folder: str) -> str:
     be restated in SQL. Line numbers repeat within an order, which gives
     duplicate review ids."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    lines = order_lines(spark, folder).withColumn(
-        "id_review", F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    )
-    ordered = lines.orderBy(
+    ordered = _ordered_lines(spark, folder, [
         "id_review", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-    )
+    ])
     text = ordered.select(
         "id_review",
         F.col("o_custkey").alias("id_hostel"),
@@ -156,6 +153,34 @@ def write_reviews_file(spark: SparkSession, folder: str) -> str:
     return _write_text(text, shared_folder(spark, "reviews"))
 
 
+def _ordered_lines(spark: SparkSession, folder: str, order: list[str]) -> DataFrame:
+    """Order lines in the given order, which begins with ``id_review``.
+
+    Lines and orders are joined in ranges of the order key, which are ranges of the
+    review id as well, so that the lines are shuffled once and joined once. The
+    ranges are made from counts of lines, some ``FILE_ROWS`` each.
+    """
+    id_review = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_review")
+    lines = table(spark, folder, "lineitem")
+    ends = [F.min("l_orderkey"), F.max("l_orderkey"), F.min("l_linenumber"), F.max("l_linenumber")]
+    rows, low, high, *numbers = lines.agg(F.count("*"), *ends).first()
+    if None in (low, *numbers) or not 0 <= numbers[0] <= numbers[1] < 10:
+        # Ids of different orders may overlap.
+        return order_lines(spark, folder).select("*", id_review).orderBy(*order)
+    width = (high - low) // (16 * (1 + rows // FILE_ROWS)) + 1
+    cell = F.expr(f"CAST((l_orderkey - {low}) DIV {width} AS INT)")
+    counts = {r.cell: r["count"] for r in lines.groupBy(cell.alias("cell")).count().collect()}
+    parts, before = [], 0
+    for c in range((high - low) // width + 1):
+        parts.append(before // FILE_ROWS)
+        before += counts.get(c, 0)
+    part = F.get(F.split(F.lit(",".join(map(str, parts))), ",").cast("array<int>"), cell).alias("part")
+    orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    lines, orders = (t.select("*", part).repartitionById(parts[-1] + 1, "part") for t in (lines, orders))
+    joined = lines.join(orders, ["part", "l_orderkey"]).drop("part").select("*", id_review)
+    return joined.sortWithinPartitions(*order)
+
+
 def write_bad_rows(spark: SparkSession, folder: str) -> str:
     """Order lines as text lines, good and bad ones, in eight kinds of files with a
     header each. Line breaks in quotes are in every other file."""

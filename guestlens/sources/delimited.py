@@ -21,6 +21,10 @@ from guestlens.operators.rows import planned_bytes
 ROW_ORDER = "_row_order"
 _CORRUPT = "_corrupt_record"
 
+#: Files up to which a row's place holds the number of its file in the order of names,
+#: which are broadcast; beyond that it holds the name, some 100 bytes with every row.
+NUMBERED_FILES = 100_000
+
 #: Splits of files with line breaks in quotes up to which what is known of them,
 #: some 200 bytes each, is broadcast.
 BROADCAST_SPLITS = 200_000
@@ -192,8 +196,20 @@ def _parsed(records: DataFrame, names: list[str], schema: str, options: dict[str
     )
     refuse = "CAST(raise_error(concat('CSV header does not conform to the schema: ', file)) AS BOOLEAN)"
     rows = rows.where(f"if(header, if({same or 'true'}, false, {refuse}), true)")
-    order = F.struct(F.col("file").alias("file_path"), F.col("block").alias("file_block_start"), "id")
-    return rows.select("row.*", order.alias(ROW_ORDER))
+    return rows.select("row.*", *[F.col(c).alias(f"_{c}") for c in ("file", "block", "id")])
+
+
+def _in_order(spark: SparkSession, rows: DataFrame, files: list[str]) -> DataFrame:
+    """``ROW_ORDER`` instead of _file, _block and _id. It goes along with every row, so
+    it holds the file's number instead of its name: names are only for other files."""
+    # Spark lists files as file:///folder/name and gives rows file:/folder/name.
+    names = sorted({re.sub(r"^([\w.+-]+):///", r"\1:/", f) for f in files})
+    known = F.split(F.lit("\n".join(names if len(names) <= NUMBERED_FILES else [])), "\n")
+    numbers = spark.range(1).select(F.posexplode(known).alias("_number", "_file"))
+    numbered = rows.join(F.broadcast(numbers), "_file", "left")
+    name = F.when(F.col("_number").isNull(), F.col("_file"))
+    place = F.struct("_number", name.alias("_file"), "_block", "_id").alias(ROW_ORDER)
+    return numbered.select(*[f"`{c}`" for c in rows.columns if c not in ("_file", "_block", "_id")], place)
 
 
 def read_delimited(
@@ -230,26 +246,30 @@ def read_delimited(
     reader = reader.schema(schema)
     # Directly after the scan: ids rise with the position inside one split, and
     # file and split start put the splits in order.
-    place = F.struct(
-        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("id")
-    )
+    place = [
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+    ]
     broken = files_with_open_quotes(spark, path, sep) if multi_line is None else []
     found = reader.option("multiLine", bool(multi_line)).csv(path)
+    files = found.inputFiles()
     if broken:
         found = found.where(~F.col("_metadata.file_path").isin(broken))
-    ordered = found.select("*", place.alias(ROW_ORDER))
+    placed = found.select("*", *place)
     if broken:
         records = _records(spark, [unquote(f) for f in broken], sep)
-        ordered = ordered.unionByName(_parsed(records, names, schema, options))
+        placed = placed.unionByName(_parsed(records, names, schema, options))
+    ordered = _in_order(spark, placed, files)
 
     # Surplus separators outside quoted fields mark a row with too many fields.
     # Spark refuses a scan of the corrupt column alone, as in a bare count, so
     # the test also names a data column, of which it takes no characters.
     record = f"concat_ws('', {_CORRUPT}, left(`{names[0]}`, 0))"
-    bare = f"regexp_replace({record}, {literal(_quoted(sep))}, '$1')"
+    bare = f"if(contains({record}, '\"'), regexp_replace({record}, {literal(_quoted(sep))}, '$1'), {record})"
     separators = f"length({bare}) - length(replace({bare}, {literal(sep)}, ''))"
-    fits = f"({_CORRUPT} IS NULL OR {separators} <= {len(names) - 1})"
+    ordered = ordered.withColumn("_fits", F.expr(f"{_CORRUPT} IS NULL OR {separators} <= {len(names) - 1}"))
     if seen is not None:
-        ordered = ordered.observe(seen, F.count("*").alias("read"), F.expr(f"count_if(NOT {fits})").alias("surplus"))
-    kept = ordered.where(fits)
+        ordered = ordered.observe(seen, F.count("*").alias("read"), F.expr("count_if(NOT _fits)").alias("surplus"))
+    kept = ordered.where("_fits")
     return kept.selectExpr(*[f"{null_tokens(f'`{n}`')} AS `{n}`" for n in names], ROW_ORDER)

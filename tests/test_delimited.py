@@ -225,3 +225,18 @@ def test_files_with_other_headers_are_refused(spark, tmp_path, multi_line):
     write(tmp_path, "part-1.csv", "b;a\n1;2\n")
     with pytest.raises(Exception, match="does not conform"):
         read_delimited(spark, str(tmp_path), multi_line=multi_line).collect()
+
+
+@pytest.mark.parametrize("numbered", [100, 0])
+def test_rows_are_in_the_order_of_file_names_however_many_there_are(spark, tmp_path, monkeypatch, numbered):
+    monkeypatch.setattr(delimited, "NUMBERED_FILES", numbered)
+    names = ["b 1.csv", "a%20.csv", "ü.csv", "c d.csv", "B.csv", "a.csv"]
+    for n in names:
+        broken = f'"{n}\nx"' if n.startswith("c") else n
+        (tmp_path / n).write_text(f"n;i\n{broken};1\n{n};2\n")
+    df = read_delimited(spark, str(tmp_path))
+    found = [(r.n.split("\n")[0], r.i) for r in df.orderBy(ROW_ORDER).collect()]
+    by_path = sorted(names, key=lambda n: (tmp_path / n).as_uri().replace("%C3%BC", "ü"))
+    assert found == [(n, i) for n in by_path for i in "12"]
+    # A name with every row is some 100 bytes that are sorted and shuffled.
+    assert df.where(f"{ROW_ORDER}._file IS NOT NULL").count() == (0 if numbered else 12)

@@ -25,3 +25,15 @@ def test_more_lines_make_more_files_and_not_larger_ones(spark, monkeypatch):
         read = Observation()
         read_delimited(spark, path, seen=read).write.format("noop").mode("overwrite").save()
         assert read.get["read"] == star.table(spark, FOLDER, name).count()
+
+
+def test_reviews_are_written_in_order_of_ids_by_one_shuffle_of_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(star, "FILE_ROWS", 500)
+    order = ["id_review", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    ordered = star._ordered_lines(spark, FOLDER, order)
+    keys = [tuple(r) for r in ordered.select(*order).collect()]
+    lines = star.order_lines(spark, FOLDER).selectExpr("l_orderkey * 10 + l_linenumber AS id_review", *order[1:])
+    assert keys == sorted(tuple(r) for r in lines.collect())
+    sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 2 * 500
+    assert "rangepartitioning" not in ordered._jdf.queryExecution().toString()
