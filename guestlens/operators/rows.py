@@ -62,6 +62,30 @@ def may_contain(rows: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame
     return kept.drop("_bit", "_word", "_bits")
 
 
+def _bit_sets(table: DataFrame, key: str) -> DataFrame:
+    """The whole numbers of a column, 64 neighbours to a row: _word and _bits."""
+    bit = f"bit_or(shiftleft(1L, CAST({key} & 63 AS INT)))"
+    known = table.where(f"{key} IS NOT NULL")
+    return known.groupBy(F.expr(f"shiftright({key}, 6)").alias("_word")).agg(F.expr(bit).alias("_bits"))
+
+
+def fits_bits(table: DataFrame, key: str) -> bool:
+    """Whether the key's values lie close enough together to be broadcast as bit sets."""
+    return _bit_sets(table, key).count() <= FILTER_BITS // 64
+
+
+def mark_present(rows: DataFrame, table: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds ``name``: whether the row's key, a whole number, occurs in the table.
+
+    Exact, and no row is moved: ids given out in turn are a bit each, so the table may
+    be far larger than one that is broadcast by rows. Ask ``fits_bits`` before.
+    """
+    sets = F.broadcast(_bit_sets(table, key))
+    found = rows.join(sets, F.expr(f"shiftright({key}, 6)") == F.col("_word"), "left")
+    present = F.expr(f"coalesce(getbit(_bits, CAST({key} & 63 AS INT)) = 1, false)")
+    return found.withColumn(name, present).drop("_word", "_bits")
+
+
 def insert_if_absent(
     incoming: DataFrame, target: DataFrame, key: list[str], order: str | list[str]
 ) -> DataFrame:

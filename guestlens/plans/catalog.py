@@ -541,11 +541,13 @@ def volume_report(spark, folder):
     house = Warehouse(spark, shared_folder(spark, "warehouse"))
     lodgings = star.lodgings(spark, folder).withColumns({"total_ratings": F.lit(0), "free_cancellation": F.lit(False)})
     house.refresh("stg_hostels", lodgings)
-    house.refresh("stg_reviews", star.reviews(spark, folder))
+    lines = star.kept_lines(spark, folder)
+    house.refresh("stg_reviews", star.reviews(spark, folder, lines))
     house.refresh("stg_hostels", lodgings.where("star_rating > 0"))
     house.refresh("stg_hostels", lodgings.where("star_rating > 1"))
     details = star.write_details_file(spark, folder)
-    reviews = star.write_reviews_file(spark, folder)
+    reviews = star.write_reviews_file(spark, folder, lines)
+    lines.unpersist()
     return full_run(spark, details, reviews, house.root, "volumes").volumes()
 
 

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens.operators.quality import observe_unique, parent_rule, row_tests
-from guestlens.operators.rows import fits_broadcast, keep_first
+from guestlens.operators.rows import keep_first
 from guestlens.plans import kpis, staging
 from guestlens.schemas import TABLES
-from guestlens.sources.delimited import read_delimited, require_inputs
+from guestlens.sources.delimited import read_delimited, require_inputs, whole_files
 from guestlens.sources.warehouse import ROWS, Warehouse
 
 # --- Fixed values: stage names and exclusion reason in the run log ------------
@@ -112,7 +112,7 @@ def _run(
     def store(name: str, df: DataFrame) -> DataFrame:
         """Write an intermediate result, so that nothing before it runs again."""
         folder = house.work_folder(version, name)
-        df.write.parquet(folder)
+        df.write.option("compression", "zstd").parquet(folder)
         return spark.read.schema(df.schema).parquet(folder)
 
     def save_unique(name: str, df: DataFrame) -> DataFrame:
@@ -133,18 +133,18 @@ def _run(
 
     with _logged(STAGE_REVIEWS) as stage:
         seen = staging.Seen()
-        raw = read_delimited(spark, reviews, multi_line=multi_line, seen=seen.read)
-        keys = Observation()
-        cleaned = observe_unique(staging.clean_reviews(raw, seen), ["id_review"], keys)
-        if not fits_broadcast(staging.known_ids(lodgings)):
-            # Parsed once: the lookup reads its rows twice when it splits keys.
-            cleaned = store("cleaned_reviews", cleaned)
+        keys, split = Observation(), Observation()
         # Written once: orphans, reviews and users all start from this table.
         work = house.work_folder(version, "reviews")
-        marked = staging.mark_known(cleaned, lodgings)
-        split = Observation()
-        lost = F.count_if(~F.col("known")).alias("orphan")
-        marked.observe(split, lost).write.parquet(work)
+        with whole_files(spark, reviews):
+            raw = read_delimited(spark, reviews, multi_line=multi_line, seen=seen.read)
+            cleaned = observe_unique(staging.clean_reviews(raw, seen), ["id_review"], keys)
+            if not staging.marked_in_place(lodgings):
+                # Parsed once: the lookup reads its rows twice when it splits keys.
+                cleaned = store("cleaned_reviews", cleaned)
+            marked = staging.mark_known(cleaned, lodgings)
+            lost = F.count_if(~F.col("known")).alias("orphan")
+            marked.observe(split, lost).write.option("compression", "zstd").parquet(work)
         checked = spark.read.schema(marked.schema).parquet(work)
         known = checked.where("known")
         users, loaded = _together(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from guestlens.functions.text import flag, lenient_decimal, literal, odd_flag, whole_number
-from guestlens.operators.rows import keep_first, lookup
+from guestlens.operators.rows import fits_bits, fits_broadcast, keep_first, lookup, mark_present
 from guestlens.schemas import DIMENSIONS
 from guestlens.sources.delimited import ROW_ORDER
 
@@ -112,10 +112,17 @@ def known_ids(lodgings: DataFrame) -> DataFrame:
 def mark_known(reviews: DataFrame, lodgings: DataFrame) -> DataFrame:
     """Add ``known``: whether the review's lodging exists. One join serves both
     the reviews to load and the orphans to set aside."""
+    if not fits_broadcast(known_ids(lodgings)) and marked_in_place(lodgings):
+        return mark_present(reviews, lodgings, "id_hostel", "known")
     marked = lookup(reviews, known_ids(lodgings), "id_hostel", "left", row_id="id_review")
     return marked.fillna({"known": False})
 
 
+def marked_in_place(lodgings: DataFrame) -> bool:
+    """Whether ``mark_known`` leaves the reviews where they are."""
+    return fits_broadcast(known_ids(lodgings)) or fits_bits(lodgings, "id_hostel")
+
+
 def clean_users(reviews: DataFrame) -> DataFrame:
     """Users named in the surviving reviews; the first profile seen stays."""
     profile = reviews.select("id_user", *PROFILE.values(), "number_reviews", ROW_ORDER)

@@ -8,6 +8,7 @@ safety rating, so nulls occur in every group.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -68,8 +69,9 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").join(orders, "l_orderkey")
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return order_lines(spark, folder).selectExpr(
+def reviews(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """Order lines as reviews; ``lines`` are the order lines where they are at hand."""
+    return (order_lines(spark, folder) if lines is None else lines).selectExpr(
         "l_orderkey * 10 + l_linenumber AS id_review",
         "o_custkey AS id_hostel",
         "l_partkey AS id_user",
@@ -120,15 +122,24 @@ def write_details_file(spark: SparkSession, folder: str) -> str:
     return _write_text(text.drop("copy"), shared_folder(spark, "details"))
 
 
-def write_reviews_file(spark: SparkSession, folder: str) -> str:
+_FILE_ORDER = [
+    "id_review", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
+def kept_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines in the order of a reviews file, joined once for all that is made of
+    them. They stay on the executors' disks until ``unpersist``."""
+    return _ordered_lines(spark, folder, _FILE_ORDER).persist(StorageLevel.DISK_ONLY)
+
+
+def write_reviews_file(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> str:
     """Order lines as a reviews file, in a total order, so that file order can
     be restated in SQL. Line numbers repeat within an order, which gives
-    duplicate review ids."""
+    duplicate review ids. ``lines`` are those of ``kept_lines`` where they are at hand."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    ordered = _ordered_lines(spark, folder, [
-        "id_review", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-    ])
+    ordered = _ordered_lines(spark, folder, _FILE_ORDER) if lines is None else lines
     text = ordered.select(
         "id_review",
         F.col("o_custkey").alias("id_hostel"),
@@ -225,5 +236,7 @@ def _write_lines(lines: DataFrame, kinds: int, header: str, name: str) -> str:
 
 
 def _write_text(df: DataFrame, path: str) -> str:
-    df.write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
+    # A file of ``FILE_ROWS`` lines is read in one task anyway, so it may be compressed.
+    packed = df.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    packed.option("sep", ";").option("header", True).option("escape", '"').csv(path)
     return path

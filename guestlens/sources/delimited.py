@@ -9,6 +9,8 @@ with line breaks inside quotes are read in as many tasks as any others.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -44,6 +46,32 @@ def require_inputs(spark: SparkSession, paths: list[str | list[str]]) -> None:
         raise FileNotFoundError(f"input files not found: {missing}")
 
 
+#: Bytes of text that a compressed file holds, at a guess, for each of its own.
+PACKED = 4
+
+
+@contextmanager
+def whole_files(spark: SparkSession, path: str | list[str]) -> Iterator[None]:
+    """While compressed files are read, give each task the fewer of them: they count by
+    their size on disk, and hold several times that. Other files are read as ever."""
+    factories = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    files = spark.read.text(path).inputFiles()
+    # One file of a kind tells for all of that ending.
+    kinds = {f.rsplit(".", 1)[-1]: f for f in files}
+    if not any(factories.getCodec(name(f)) for f in kinds.values()):
+        yield
+        return
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    most = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    spark.conf.set(conf, str(max(1, most // PACKED)))
+    try:
+        yield
+    finally:
+        spark.conf.set(conf, before)
+
+
 # -- quotes as patterns ------------------------------------------------------------
 
 #: Inside a quoted field, up to its end or that of the line.

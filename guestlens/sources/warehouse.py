@@ -83,10 +83,10 @@ class Warehouse:
         observed = Observation(name)
         taken = {ROWS: "count(*)"} | (metrics or {})
         rows = rows.observe(observed, *[F.expr(text).alias(m) for m, text in taken.items()])
-        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in table.looked_up}
-        if filters:
-            filters["parquet.bloom.filter.adaptive.enabled"] = "true"
-        rows.write.mode("errorifexists").options(**filters).parquet(folder)
+        options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in table.looked_up}
+        if options:
+            options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        rows.write.mode("errorifexists").options(compression="zstd", **options).parquet(folder)
         self.metrics[name] = observed.get
         return self._load(name, folder)
 

@@ -240,3 +240,19 @@ def test_rows_are_in_the_order_of_file_names_however_many_there_are(spark, tmp_p
     assert found == [(n, i) for n in by_path for i in "12"]
     # A name with every row is some 100 bytes that are sorted and shuffled.
     assert df.where(f"{ROW_ORDER}._file IS NOT NULL").count() == (0 if numbered else 12)
+
+
+def test_tasks_of_compressed_files_take_fewer_bytes(spark, tmp_path):
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    lines = spark.range(9).selectExpr("CAST(id AS STRING) AS value")
+    lines.write.text(plain)
+    lines.write.option("compression", "gzip").text(packed)
+    with delimited.whole_files(spark, plain):
+        assert spark.conf.get(conf) == before
+    with pytest.raises(KeyError), delimited.whole_files(spark, [plain, packed]):
+        most = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        assert most * delimited.PACKED == 128 << 20
+        raise KeyError
+    assert spark.conf.get(conf) == before

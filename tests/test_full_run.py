@@ -267,3 +267,23 @@ def test_a_run_logs_its_stages_in_one_file(spark, tmp_path):
     house = full_run(spark, *files(tmp_path), "run")
     assert len(list((tmp_path / "house" / "pipeline_run_log").glob("*/*.parquet"))) == 1
     assert house.read("pipeline_run_log").where("finished_at >= started_at").count() == 7
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 0])
+def test_reviews_are_not_stored_and_moved_to_be_marked(spark, tmp_path, monkeypatch, bits):
+    """Lodgings too many to broadcast by rows: a bit each, or, far apart, a shuffle."""
+    monkeypatch.setattr("guestlens.operators.rows.FILTER_BITS", bits)
+    details, reviews, root = files(tmp_path)
+    asked = []
+    folder = Warehouse.work_folder
+    monkeypatch.setattr(Warehouse, "work_folder", lambda h, version, name: asked.append(name) or folder(h, version, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        house = full_run(spark, details, reviews, root, "marked")
+        with_drop = asked.count("cleaned_reviews")
+        assert [(r.id_review, r.id_hostel) for r in orphans(house).collect()] == [(11, 9)]
+        assert sorted(r.id_review for r in house.read("stg_reviews").collect()) == [10, 12]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Asked for once to be removed, and before that to be written, if it is.
+    assert with_drop == (1 if bits else 2)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guestlens.operators import rows as operators
-from guestlens.operators.rows import hot_keys, insert_if_absent, keep_first, lookup, may_contain
+from guestlens.operators.rows import fits_bits, hot_keys, insert_if_absent, keep_first, lookup, mark_present, may_contain
 
 
 def skewed(spark, n=6_000):
@@ -165,3 +165,21 @@ def test_an_append_does_not_move_the_target(spark, tmp_path):
         assert sorted(r.key for r in found.collect()) == [3 * i for i in range(50) if 3 * i > 96]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_marks_of_present_keys_are_exact_and_move_no_row(spark):
+    ids = [-(2**31), -65, -64, -1, 0, 1, 63, 64, 2**31 - 1]
+    table = spark.createDataFrame([(i,) for i in [*ids, 0, None]], "key int")
+    probes = sorted({j for i in ids for j in (i - 1, i, i + 1) if -(2**31) <= j < 2**31})
+    rows = spark.createDataFrame([(i,) for i in [*probes, None]], "key int")
+    marked = mark_present(rows, table, "key", "known")
+    assert {r.key: r.known for r in marked.collect()} == {i: i in ids for i in [*probes, None]}
+    assert marked.count() == len(probes) + 1
+    tree = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
+
+
+def test_keys_far_apart_are_not_broadcast_as_bits(spark, monkeypatch):
+    near, far = spark.range(640), spark.range(640).selectExpr("id * 64 AS id")
+    monkeypatch.setattr(operators, "FILTER_BITS", 64 * 10)
+    assert fits_bits(near, "id") and not fits_bits(far, "id")

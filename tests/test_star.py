@@ -37,3 +37,29 @@ def test_reviews_are_written_in_order_of_ids_by_one_shuffle_of_the_lines(spark,
     sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 5 and max(sizes) < 2 * 500
     assert "rangepartitioning" not in ordered._jdf.queryExecution().toString()
+
+
+def test_reviews_are_written_packed_and_read_as_they_were(spark):
+    path = star.write_reviews_file(spark, FOLDER)
+    files = spark.read.text(path).inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    seen = Observation()
+    read_delimited(spark, path, seen=seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"read": star.table(spark, FOLDER, "lineitem").count(), "surplus": 0}
+
+
+def test_kept_lines_serve_the_reviews_and_their_file(spark):
+    lines = star.kept_lines(spark, FOLDER)
+    try:
+        rows = star.reviews(spark, FOLDER, lines)
+        assert sorted(map(str, rows.collect())) == sorted(map(str, star.reviews(spark, FOLDER).collect()))
+        # Nothing is joined or shuffled for a second use of them.
+        tree = rows._jdf.queryExecution().executedPlan().toString()
+        assert tree.index("InMemoryTableScan") < tree.index("Join")
+        texts = [
+            [r.value for r in spark.read.text(p).orderBy("_metadata.file_path", F.monotonically_increasing_id()).collect()]
+            for p in (star.write_reviews_file(spark, FOLDER, lines), star.write_reviews_file(spark, FOLDER))
+        ]
+        assert texts[0] == texts[1]
+    finally:
+        lines.unpersist()

@@ -188,3 +188,10 @@ def test_a_new_warehouse_is_read_without_errors(spark, tmp_path, capfd):
     house = Warehouse(spark, str(tmp_path / "none"))
     assert house.read("stg_hostels").count() == house.read("pipeline_run_log").count() == 0
     assert "PATH_NOT_FOUND" not in "".join(capfd.readouterr())
+
+
+def test_tables_are_packed_well(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    rows = spark.range(3).selectExpr("id AS id_user", *[f"'x' AS {c}" for c in list(TABLES["stg_users"].columns)[1:6]], "1 AS number_reviews")
+    staged = house.refresh("stg_users", rows)
+    assert all(f.endswith(".zstd.parquet") for f in staged.inputFiles())
