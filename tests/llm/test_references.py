@@ -120,6 +120,6 @@ def test_words_are_counted_whole_whatever_parts_them(spark):
 
 def test_words_of_a_reference_go_out_as_they_are(spark):
     """No struct is made of each word before the words are counted."""
-    docs = documents(spark, [(i, f"a few plain words in a text that says no more than {i}", "en") for i in range(3)])
+    docs = documents(spark, [(i, f"a few plain words in a text that says no more than {i}", "en", "a", 50) for i in range(3)])
     tree = quality.references(quality.measures(docs))._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" in tree and "inline(" not in tree
